@@ -2,68 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def sunday_week(day: Column) -> Column:
-    """Week of the year counted from the first Sunday; 0 before it."""
-    return F.floor((F.dayofyear(day) + 7 - F.dayofweek(day)) / 7).cast("int")
+_LAST_YEAR = "add_months(d, -12)"
 
 
-def _week_start(day: Column) -> Column:
-    return F.date_sub(day, F.dayofweek(day) - 1)
+def _sunday_week(day: str) -> str:
+    """Week of the year counted from the first Sunday; 0 before it."""
+    return f"cast((dayofyear({day}) + 7 - dayofweek({day})) div 7 as int)"
 
 
-def _iso_week_start(day: Column) -> Column:
-    return F.trunc(day, "week")
+def _week_start(day: str) -> str:
+    return f"date_sub({day}, dayofweek({day}) - 1)"
 
 
-def attributes(day: Column) -> list[Column]:
-    """The 35 attribute columns of a date dimension row."""
-    last_year = F.add_months(day, -12)
+ATTRIBUTES: dict[str, str] = {
+    "date_day": "d",
+    "prior_date_day": "date_sub(d, 1)",
+    "next_date_day": "date_add(d, 1)",
+    "prior_year_date_day": _LAST_YEAR,
     # the same weekday one year earlier: 52 whole weeks back
-    last_year_weekday = F.date_sub(day, 364)
-    quarter_start = F.trunc(day, "quarter")
-    year_start = F.trunc(day, "year")
-    by_name = {
-        "date_day": day,
-        "prior_date_day": F.date_sub(day, 1),
-        "next_date_day": F.date_add(day, 1),
-        "prior_year_date_day": last_year,
-        "prior_year_over_year_date_day": last_year_weekday,
-        "day_of_week": F.dayofweek(day),
-        "day_of_week_name": F.date_format(day, "EEEE"),
-        "day_of_week_name_short": F.date_format(day, "EEE"),
-        "day_of_month": F.dayofmonth(day),
-        "day_of_year": F.dayofyear(day),
-        "week_start_date": _week_start(day),
-        "week_end_date": F.date_add(_week_start(day), 6),
-        "prior_year_week_start_date": _week_start(last_year),
-        "prior_year_week_end_date": F.date_add(_week_start(last_year), 6),
-        "week_of_year": sunday_week(day),
-        "iso_week_start_date": _iso_week_start(day),
-        "iso_week_end_date": F.date_add(_iso_week_start(day), 6),
-        "prior_year_iso_week_start_date": _iso_week_start(last_year),
-        "prior_year_iso_week_end_date": F.date_add(_iso_week_start(last_year), 6),
-        "iso_week_of_year": F.weekofyear(day),
-        "prior_year_week_of_year": sunday_week(last_year),
-        "prior_year_iso_week_of_year": F.weekofyear(last_year),
-        "month_of_year": F.month(day),
-        "month_name": F.date_format(day, "MMMM"),
-        "month_name_short": F.date_format(day, "MMM"),
-        "month_start_date": F.trunc(day, "month"),
-        "month_end_date": F.last_day(day),
-        "prior_year_month_start_date": F.trunc(last_year, "month"),
-        "prior_year_month_end_date": F.last_day(last_year),
-        "quarter_of_year": F.quarter(day),
-        "quarter_start_date": quarter_start,
-        "quarter_end_date": F.date_sub(F.add_months(quarter_start, 3), 1),
-        "year_number": F.year(day),
-        "year_start_date": year_start,
-        "year_end_date": F.date_sub(F.add_months(year_start, 12), 1),
-    }
-    return [column.alias(name) for name, column in by_name.items()]
+    "prior_year_over_year_date_day": "date_sub(d, 364)",
+    "day_of_week": "dayofweek(d)",
+    "day_of_week_name": "date_format(d, 'EEEE')",
+    "day_of_week_name_short": "date_format(d, 'EEE')",
+    "day_of_month": "dayofmonth(d)",
+    "day_of_year": "dayofyear(d)",
+    "week_start_date": _week_start("d"),
+    "week_end_date": f"date_add({_week_start('d')}, 6)",
+    "prior_year_week_start_date": _week_start(_LAST_YEAR),
+    "prior_year_week_end_date": f"date_add({_week_start(_LAST_YEAR)}, 6)",
+    "week_of_year": _sunday_week("d"),
+    "iso_week_start_date": "trunc(d, 'week')",
+    "iso_week_end_date": "date_add(trunc(d, 'week'), 6)",
+    "prior_year_iso_week_start_date": f"trunc({_LAST_YEAR}, 'week')",
+    "prior_year_iso_week_end_date": f"date_add(trunc({_LAST_YEAR}, 'week'), 6)",
+    "iso_week_of_year": "weekofyear(d)",
+    "prior_year_week_of_year": _sunday_week(_LAST_YEAR),
+    "prior_year_iso_week_of_year": f"weekofyear({_LAST_YEAR})",
+    "month_of_year": "month(d)",
+    "month_name": "date_format(d, 'MMMM')",
+    "month_name_short": "date_format(d, 'MMM')",
+    "month_start_date": "trunc(d, 'month')",
+    "month_end_date": "last_day(d)",
+    "prior_year_month_start_date": f"trunc({_LAST_YEAR}, 'month')",
+    "prior_year_month_end_date": f"last_day({_LAST_YEAR})",
+    "quarter_of_year": "quarter(d)",
+    "quarter_start_date": "trunc(d, 'quarter')",
+    "quarter_end_date": "date_sub(add_months(trunc(d, 'quarter'), 3), 1)",
+    "year_number": "year(d)",
+    "year_start_date": "trunc(d, 'year')",
+    "year_end_date": "date_sub(add_months(trunc(d, 'year'), 12), 1)",
+}
+
+
+def with_attributes(days: DataFrame) -> DataFrame:
+    """The 35 calendar attributes of a one-column frame of dates."""
+    return days.toDF("d").selectExpr(*[f"{e} as {name}" for name, e in ATTRIBUTES.items()])
 
 
 def date_dimension(
@@ -74,7 +71,7 @@ def date_dimension(
     if not end_inclusive:
         last = F.date_sub(last, 1)
     days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("date_day"))
-    return days.select(*attributes(F.col("date_day")))
+    return with_attributes(days)
 
 
 def date_dimension_over(df: DataFrame, day: str) -> DataFrame:
@@ -87,4 +84,4 @@ def date_dimension_over(df: DataFrame, day: str) -> DataFrame:
     days = span.where(F.col("a").isNotNull()).select(
         F.explode(F.sequence(F.col("a"), F.col("b"))).alias("date_day")
     )
-    return days.select(*attributes(F.col("date_day")))
+    return with_attributes(days)

@@ -13,25 +13,31 @@ from pyspark.sql import types as T
 NULL_KEY_PART = "_dbt_utils_surrogate_key_null_"
 
 
-def decode(code: Column, mapping: Mapping, default: str = "Unknown") -> Column:
+def _literal(value) -> str:
+    if isinstance(value, int):
+        return f"{value}L"
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def decode(code: str, mapping: Mapping, default: str = "Unknown") -> Column:
     """Label of ``code``; codes outside the mapping, and NULL, give ``default``."""
-    key_type = "bigint" if all(isinstance(k, int) for k in mapping) else "string"
-    entries = [F.lit(part) for pair in mapping.items() for part in pair]
-    table = F.create_map(*entries)
-    if key_type == "bigint":
-        table = table.cast("map<bigint,string>")
-    return F.coalesce(F.try_element_at(table, code.try_cast(key_type)), F.lit(default))
+    kind = "bigint" if all(isinstance(k, int) for k in mapping) else "string"
+    entries = ", ".join(f"{_literal(k)}, {_literal(v)}" for k, v in mapping.items())
+    return F.expr(
+        f"coalesce(try_element_at(map({entries}), try_cast({code} as {kind})), {_literal(default)})"
+    )
 
 
-def flag_gt(left: Column, right: Column) -> Column:
+def flag_gt(left: str, right: str) -> Column:
     """``left > right`` as a flag: a comparison with NULL is FALSE."""
-    return F.coalesce(left > right, F.lit(False))
+    return F.expr(f"coalesce(({left}) > ({right}), false)")
 
 
-def surrogate_key(*parts: Column) -> Column:
+def surrogate_key(*parts: str) -> Column:
     """md5 over the parts joined with ``-``."""
-    texts = [F.coalesce(p.cast("string"), F.lit(NULL_KEY_PART)) for p in parts]
-    return F.md5(F.concat_ws("-", *texts))
+    texts = ", ".join(f"coalesce(cast({p} as string), '{NULL_KEY_PART}')" for p in parts)
+    return F.expr(f"md5(concat_ws('-', {texts}))")
 
 
 def compact_arrays(df: DataFrame) -> DataFrame:

@@ -9,42 +9,57 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_KM = 6371.0
 
 
-def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance between two points in degrees; NULL in, NULL out."""
-    lat1, lon1, lat2, lon2 = (c.cast("double") for c in (lat1, lon1, lat2, lon2))
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    chord = half_lat * half_lat + (
-        F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
+def _haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    double = lambda c: f"cast({c} as double)"
+    half_sin = lambda a, b: f"sin(radians({double(b)} - {double(a)}) / 2)"
+    cosine = lambda c: f"cos(radians({double(c)}))"
+    chord = (
+        f"power({half_sin(lat1, lat2)}, 2) + "
+        f"{cosine(lat1)} * {cosine(lat2)} * power({half_sin(lon1, lon2)}, 2)"
     )
-    # least() skips NULLs, so the clamp has to be told about them
-    chord = F.when(chord > 1.0, F.lit(1.0)).otherwise(chord)
-    return F.atan2(F.sqrt(chord), F.sqrt(1.0 - chord)) * (2.0 * EARTH_RADIUS_KM)
+    # rounding may lift opposite points a hair above 1; a NULL must stay NULL,
+    # which least() alone would not do
+    chord = f"if(({chord}) is null, null, least({chord}, 1D))"
+    return f"{2 * EARTH_RADIUS_KM}D * atan2(sqrt({chord}), sqrt(1D - {chord}))"
+
+
+def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """Great-circle distance between two points in degrees; NULL in, NULL out."""
+    return F.expr(_haversine(lat1, lon1, lat2, lon2))
 
 
-def speed_kmh(km: Column, seconds: Column) -> Column:
+def speed_kmh(km: str, seconds: str) -> Column:
     """Average speed; NULL when no time has passed."""
-    return F.try_divide(km, seconds / 3600)
+    return F.expr(f"try_divide({km}, ({seconds}) / 3600D)")
 
 
-def eta_minutes(km: Column, kmh: Column) -> Column:
+def eta_minutes(km: str, kmh: str) -> Column:
     """Minutes to cover ``km`` at ``kmh``; NULL for a standing vehicle."""
-    return F.try_divide(km, kmh) * 60
+    return F.expr(f"try_divide({km}, {kmh}) * 60")
 
 
-def elapsed_seconds(first: Column, last: Column) -> Column:
+def elapsed_seconds(first: str, last: str) -> Column:
     """Whole seconds between two timestamps."""
-    return last.cast("timestamp").cast("bigint") - first.cast("timestamp").cast("bigint")
+    whole = lambda c: f"cast(cast({c} as timestamp) as bigint)"
+    return F.expr(f"{whole(last)} - {whole(first)}")
 
 
 def with_motion(df: DataFrame) -> DataFrame:
     """Add ``distance`` (km), ``time_delta`` (s) and ``average_speed`` (km/h)."""
     moved = df.withColumns(
         {
-            "distance": haversine_km(
-                F.col("first_lat"), F.col("first_lon"), F.col("last_lat"), F.col("last_lon")
-            ),
-            "time_delta": elapsed_seconds(F.col("first_timestamp"), F.col("last_timestamp")),
+            "distance": haversine_km("first_lat", "first_lon", "last_lat", "last_lon"),
+            "time_delta": elapsed_seconds("first_timestamp", "last_timestamp"),
         }
     )
-    return moved.withColumn("average_speed", speed_kmh(F.col("distance"), F.col("time_delta")))
+    return moved.withColumn("average_speed", speed_kmh("distance", "time_delta"))
+
+
+def register_functions(spark) -> None:
+    """``haversine_km`` for SQL text, as a SQL function that is inlined into the plan."""
+    body = _haversine("lat1", "lon1", "lat2", "lon2")
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION haversine_km("
+        "lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE) "
+        f"RETURNS DOUBLE RETURN {body}"
+    )

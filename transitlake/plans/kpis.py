@@ -47,9 +47,16 @@ def trip_kpis(
     """
     if grouping not in GROUPINGS:
         raise ValueError(f"unknown grouping {grouping!r}")
-    minutes = gt.duration_minutes(
-        gt.to_seconds(F.col("planned_start_time")), gt.to_seconds(F.col("planned_end_time"))
-    )
+    if "travel_minutes" in fact.columns:
+        minutes = F.col("travel_minutes")
+    else:
+        fact = fact.withColumns(
+            {
+                "planned_start_s": gt.to_seconds("planned_start_time"),
+                "planned_end_s": gt.to_seconds("planned_end_time"),
+            }
+        )
+        minutes = gt.duration_minutes("planned_start_s", "planned_end_s")
     rows = _with_dimensions(fact, dim_routes, dim_date, by).select(
         *by,
         F.struct("trip_id", "planned_date").alias("run"),

@@ -41,7 +41,7 @@ def dim_routes(
         route_stops, F.col("route_id") == F.col("call_route_id"), "left"
     )
     dim = joined.select(
-        surrogate_key(F.col("route_id"), F.col("l_line_id")).alias("sk_routes"),
+        surrogate_key("route_id", "l_line_id").alias("sk_routes"),
         "route_id",
         F.col("l_line_id").alias("line_id"),
         "route_name",
@@ -150,13 +150,21 @@ def fact_trips(
         F.col("scheduled_end_time").alias("planned_end_time"),
         F.col("shape_dist_traveled").alias("total_distance_traveled"),
         "number_of_stops",
+        gt.seconds_of(stop_times, "scheduled_start_s", "scheduled_start_time").alias(
+            "planned_start_s"
+        ),
+        gt.seconds_of(stop_times, "scheduled_end_s", "scheduled_end_time").alias("planned_end_s"),
+    )
+    # worked out once per trip, before the trip is repeated for each of its days
+    planned = planned.withColumn(
+        "travel_minutes", gt.duration_minutes("planned_start_s", "planned_end_s")
+    ).withColumn(
+        "average_speed_kmh",
+        F.expr("try_divide(total_distance_traveled * 0.001D, travel_minutes / 60)"),
     )
     joined = planned.join(attributes, F.col("trip_id") == F.col("attr_trip_id"), "left").join(
         days, F.col("trip_id") == F.col("day_trip_id"), "left"
     )
-    minutes = gt.duration_minutes(
-        gt.to_seconds(F.col("planned_start_time")), gt.to_seconds(F.col("planned_end_time"))
-    )
     return joined.select(
         "trip_id",
         "planned_start_time",
@@ -165,10 +173,11 @@ def fact_trips(
         "total_distance_traveled",
         "number_of_stops",
         "sk_routes",
-        F.try_divide(F.col("total_distance_traveled") * 0.001, minutes / 60).alias(
-            "average_speed_kmh"
-        ),
+        "average_speed_kmh",
         "direction",
+        "planned_start_s",
+        "planned_end_s",
+        "travel_minutes",
     )
 
 
@@ -184,13 +193,13 @@ def dim_historical_trips(
     planned = fact_trips.select(
         F.col("trip_id").alias("p_trip_id"),
         F.col("planned_date").alias("p_date"),
-        gt.to_seconds(F.col("planned_start_time")).alias("p_start"),
-        gt.to_seconds(F.col("planned_end_time")).alias("p_end"),
+        gt.seconds_of(fact_trips, "planned_start_s", "planned_start_time").alias("p_start"),
+        gt.seconds_of(fact_trips, "planned_end_s", "planned_end_time").alias("p_end"),
     )
     observed = real_stop_times.withColumns(
         {
-            "r_start": gt.to_seconds(F.col("real_start_time")),
-            "r_end": gt.to_seconds(F.col("real_end_time")),
+            "r_start": gt.seconds_of(real_stop_times, "real_start_s", "real_start_time"),
+            "r_end": gt.seconds_of(real_stop_times, "real_end_s", "real_end_time"),
         }
     )
     joined = observed.join(
@@ -198,18 +207,17 @@ def dim_historical_trips(
         (F.col("trip_id") == F.col("p_trip_id")) & (F.col("trip_date") == F.col("p_date")),
         "left",
     )
-    r_start, r_end, p_start, p_end = (F.col(c) for c in ("r_start", "r_end", "p_start", "p_end"))
     dim = joined.select(
         "trip_id",
         "real_start_time",
         "real_end_time",
         "trip_date",
-        flag_gt(r_start, p_start).alias("departed_late"),
-        flag_gt(r_end, p_end).alias("arrived_late"),
-        (gt.delay_seconds(r_start, p_start) + gt.delay_seconds(r_end, p_end)).alias(
+        flag_gt("r_start", "p_start").alias("departed_late"),
+        flag_gt("r_end", "p_end").alias("arrived_late"),
+        (gt.delay_seconds("r_start", "p_start") + gt.delay_seconds("r_end", "p_end")).alias(
             "accumulated_delay"
         ),
-        (gt.wrapped_delay_seconds(r_start, p_start) + gt.wrapped_delay_seconds(r_end, p_end)).alias(
+        (gt.wrapped_delay_seconds("r_start", "p_start") + gt.wrapped_delay_seconds("r_end", "p_end")).alias(
             "accumulated_delay_wrapped_s"
         ),
     )

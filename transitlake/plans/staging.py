@@ -1,6 +1,7 @@
 """Raw feeds to cleaned staging relations.
 
-Clock times come out as ``HH:mm:ss`` text.
+Clock times come out as ``HH:mm:ss`` text, with the same time in whole seconds
+beside it (``*_s``) for the models that calculate with it.
 """
 
 from __future__ import annotations
@@ -73,35 +74,44 @@ def stop_times(raw: DataFrame, dedupe: bool = False) -> DataFrame:
     stops = raw.select(
         "trip_id",
         F.col("stop_sequence").cast("bigint").alias("seq"),
-        gt.to_seconds(F.col("departure_time")).alias("dep"),
+        gt.to_seconds("departure_time").alias("dep"),
         F.col("shape_dist_traveled").cast("double").alias("dist"),
     )
     if dedupe:
         stops = stops.distinct()
     # NULL sorts first in both parts
-    position = F.coalesce(F.col("seq"), F.lit(-1)) * _SEQUENCE_STEP + F.coalesce(
-        F.col("dep") + 1, F.lit(0)
+    placed = stops.selectExpr(
+        "trip_id",
+        "dist",
+        f"coalesce(seq, -1L) * {_SEQUENCE_STEP} + coalesce(dep + 1, 0) as position",
     )
-    ends = stops.groupBy("trip_id").agg(
-        F.min(position).alias("first"),
-        F.max(position).alias("last"),
-        F.max_by("dist", position).alias("shape_dist_traveled"),
+    ends = placed.groupBy("trip_id").agg(
+        F.min("position").alias("first"),
+        F.max("position").alias("last"),
+        F.max_by("dist", "position").alias("shape_dist_traveled"),
         F.count(F.lit(1)).alias("number_of_stops"),
     )
-
-    def departure(packed: str):
-        part = F.pmod(F.col(packed), F.lit(_SEQUENCE_STEP))
-        seconds = F.when(part > 0, (part - 1).cast("int"))
-        return gt.seconds_to_text(gt.second_of_day(seconds))
-
-    last_seq = F.floor(F.col("last") / _SEQUENCE_STEP)
-    return ends.select(
-        F.when(F.col("number_of_stops") > 1, departure("first")).alias("scheduled_start_time"),
-        departure("last").alias("scheduled_end_time"),
-        F.when(last_seq >= 0, last_seq).cast("int").alias("stop_sequence"),
+    # the packed departure part is 0 where the departure is NULL
+    departure = lambda packed: (
+        f"cast(pmod(nullif(pmod({packed}, {_SEQUENCE_STEP}), 0) - 1, {gt.DAY_SECONDS}) as int)"
+    )
+    seconds = ends.selectExpr(
+        "trip_id",
+        "shape_dist_traveled",
+        "number_of_stops",
+        f"case when number_of_stops > 1 then {departure('first')} end as scheduled_start_s",
+        f"{departure('last')} as scheduled_end_s",
+        f"nullif(cast(floor(last / {_SEQUENCE_STEP}) as int), -1) as stop_sequence",
+    )
+    return seconds.select(
+        gt.seconds_to_text("scheduled_start_s").alias("scheduled_start_time"),
+        gt.seconds_to_text("scheduled_end_s").alias("scheduled_end_time"),
+        "stop_sequence",
         "shape_dist_traveled",
         "trip_id",
         "number_of_stops",
+        "scheduled_start_s",
+        "scheduled_end_s",
     )
 
 
@@ -120,11 +130,19 @@ def real_stop_times(raw: DataFrame, feed_tz: str = "UTC", by_day: bool = False)
         seen = seen.withColumn("trip_day", F.to_date("seen_at"))
         keys.append("trip_day")
     ends = seen.groupBy(*keys).agg(F.min("seen_at").alias("a"), F.max("seen_at").alias("b"))
-    return ends.select(
+    seconds = ends.select(
         "trip_id",
         F.to_date("a").alias("trip_date"),
-        gt.seconds_to_text(gt.minute_of_timestamp(F.col("a"))).alias("real_start_time"),
-        gt.seconds_to_text(gt.minute_of_timestamp(F.col("b"))).alias("real_end_time"),
+        gt.minute_of_timestamp("a").alias("real_start_s"),
+        gt.minute_of_timestamp("b").alias("real_end_s"),
+    )
+    return seconds.select(
+        "trip_id",
+        "trip_date",
+        gt.seconds_to_text("real_start_s").alias("real_start_time"),
+        gt.seconds_to_text("real_end_s").alias("real_end_time"),
+        "real_start_s",
+        "real_end_s",
     )
 
 
@@ -222,7 +240,7 @@ def weather_data(raw: DataFrame) -> DataFrame:
         F.try_to_date("dataPrevisao", "yyyy-MM-dd").alias("date"),
         F.col("tMax").try_cast("double").alias("max_temperature"),
         F.col("tMin").try_cast("double").alias("min_temperature"),
-        decode(F.col("classIntVento"), WIND_SPEED).alias("wind_speed_class"),
-        decode(F.col("classIntPrecipita"), PRECIPITATION).alias("precipitation_class"),
-        decode(F.col("idTipoTempo"), WEATHER_TYPE).alias("weather_type"),
+        decode("classIntVento", WIND_SPEED).alias("wind_speed_class"),
+        decode("classIntPrecipita", PRECIPITATION).alias("precipitation_class"),
+        decode("idTipoTempo", WEATHER_TYPE).alias("weather_type"),
     )

@@ -26,18 +26,12 @@ def with_eta(windows: DataFrame, stops: DataFrame) -> DataFrame:
     near = with_next_stop(windows, stops)
     measured = near.withColumns(
         {
-            "distance_till_stop": haversine_km(
-                F.col("last_lat"), F.col("last_lon"), F.col("stop_lat"), F.col("stop_lon")
-            ),
-            "time_delta": elapsed_seconds(F.col("first_timestamp"), F.col("last_timestamp")),
+            "distance_till_stop": haversine_km("last_lat", "last_lon", "stop_lat", "stop_lon"),
+            "time_delta": elapsed_seconds("first_timestamp", "last_timestamp"),
         }
     )
-    moving = measured.withColumn(
-        "average_speed", speed_kmh(F.col("distance"), F.col("time_delta"))
-    )
-    return moving.withColumn(
-        "stop_eta", eta_minutes(F.col("distance_till_stop"), F.col("average_speed"))
-    )
+    moving = measured.withColumn("average_speed", speed_kmh("distance", "time_delta"))
+    return moving.withColumn("stop_eta", eta_minutes("distance_till_stop", "average_speed"))
 
 
 def live_vehicles(windows: DataFrame, stops: DataFrame, seconds: int = LIVE_SECONDS) -> DataFrame:

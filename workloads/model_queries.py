@@ -199,6 +199,11 @@ def sql_of(rest: str, names: str) -> str:
     return f"WITH {ctes} {rest}"
 
 
+def listed(df: DataFrame) -> DataFrame:
+    """Without the integer twins of clock times."""
+    return df.drop(*[c for c in df.columns if c.endswith("_s")])
+
+
 # --- relations --------------------------------------------------------------
 
 
@@ -267,7 +272,7 @@ class Relations:
 
 @query("stg_stop_times", sql_of("SELECT * FROM stg_stop_times", "stg_stop_times"))
 def stg_stop_times(spark, folder):
-    return Relations(spark, folder).stop_times()
+    return listed(Relations(spark, folder).stop_times())
 
 
 @query(
@@ -278,7 +283,7 @@ def stg_stop_times(spark, folder):
     ),
 )
 def stg_real_stop_times(spark, folder):
-    return Relations(spark, folder).real_stop_times()
+    return listed(Relations(spark, folder).real_stop_times())
 
 
 @query(
@@ -392,7 +397,7 @@ def service_days(spark, folder):
     ),
 )
 def fact_trips(spark, folder):
-    return Relations(spark, folder).fact_trips()
+    return listed(Relations(spark, folder).fact_trips()).drop("travel_minutes")
 
 
 @query(

@@ -133,7 +133,7 @@ def lag_over_endpoints(spark: SparkSession, folder: str) -> DataFrame:
 def decode_event_type(spark: SparkSession, folder: str) -> DataFrame:
     labels = {"view": "Viewed", "click": "Clicked", "purchase": "Bought"}
     return table(spark, folder, "events").select(
-        "event_id", decode(F.col("event_type"), labels).alias("label")
+        "event_id", decode("event_type", labels).alias("label")
     )
 
 
@@ -147,13 +147,12 @@ def decode_event_type(spark: SparkSession, folder: str) -> DataFrame:
 def flag_late_ship(spark: SparkSession, folder: str) -> DataFrame:
     items = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    due = F.col("o_orderdate") + F.expr("interval 60 days")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        flag_gt(F.col("l_shipdate"), due).alias("shipped_late"),
+        flag_gt("l_shipdate", "o_orderdate + interval 60 days").alias("shipped_late"),
     )
 
 
@@ -250,7 +249,7 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     joined = table(spark, folder, "customer").join(
         nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
-    return joined.select("c_custkey", surrogate_key(F.col("c_custkey"), F.col("n_name")).alias("sk"))
+    return joined.select("c_custkey", surrogate_key("c_custkey", "n_name").alias("sk"))
 
 
 # --- joins -----------------------------------------------------------------
@@ -483,7 +482,7 @@ def load_mode(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def gtfs_time_normalize(spark: SparkSession, folder: str) -> DataFrame:
-    t = F.col("departure_time")
+    t = "departure_time"
     return feeds.stop_times(spark, folder).select(
         "trip_id",
         "departure_time",
@@ -517,11 +516,12 @@ def _order_times(spark: SparkSession, folder: str) -> DataFrame:
                              ELSE abs(b // 60 - a // 60) END AS minutes FROM ({_TIMES}))""",
 )
 def trip_speed_wrap(spark: SparkSession, folder: str) -> DataFrame:
-    minutes = gt.duration_minutes(F.col("a"), F.col("b"))
-    return _order_times(spark, folder).select(
+    minutes = gt.duration_minutes("a", "b")
+    timed = _order_times(spark, folder).withColumn("minutes", minutes)
+    return timed.select(
         "o_orderkey",
-        minutes.alias("minutes"),
-        speed_kmh(F.col("o_totalprice") * 0.001, minutes * 60).alias("speed_kmh"),
+        "minutes",
+        speed_kmh("o_totalprice * 0.001D", "minutes * 60").alias("speed_kmh"),
     )
 
 
@@ -533,15 +533,16 @@ def trip_speed_wrap(spark: SparkSession, folder: str) -> DataFrame:
         FROM ({_TIMES})""",
 )
 def time_delay_sum(spark: SparkSession, folder: str) -> DataFrame:
-    a, b, c, d = (F.col(n) for n in "abcd")
-    delay = gt.delay_seconds(c, a) + gt.delay_seconds(d, b)
-    wrapped = gt.wrapped_delay_seconds(c, a) + gt.wrapped_delay_seconds(d, b)
-    # out to an interval and back
-    epoch = F.timestamp_seconds(F.lit(0))
-    seconds = F.unix_seconds(epoch + gt.as_interval(delay))
-    return _order_times(spark, folder).select(
-        "o_orderkey", seconds.alias("delay_s"), wrapped.alias("wrapped_s")
+    delays = _order_times(spark, folder).select(
+        "o_orderkey",
+        (gt.delay_seconds("c", "a") + gt.delay_seconds("d", "b")).alias("delay"),
+        (gt.wrapped_delay_seconds("c", "a") + gt.wrapped_delay_seconds("d", "b")).alias(
+            "wrapped_s"
+        ),
     )
+    # out to an interval and back
+    moment = F.timestamp_seconds(F.lit(0)) + gt.as_interval("delay")
+    return delays.select("o_orderkey", F.unix_seconds(moment).alias("delay_s"), "wrapped_s")
 
 
 @query(
@@ -714,7 +715,7 @@ def haversine_pairs(spark: SparkSession, folder: str) -> DataFrame:
         "(user_id % 160) - 80 as c",
         "if(event_type = 'error', null, (user_id * 7) % 340 - 170) as d",
     )
-    return points.select("event_id", haversine_km(*(F.col(n) for n in "abcd")).alias("km"))
+    return points.select("event_id", haversine_km(*"abcd").alias("km"))
 
 
 @query(
@@ -723,7 +724,7 @@ def haversine_pairs(spark: SparkSession, folder: str) -> DataFrame:
 )
 def eta_to_stop(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
-        "event_id", eta_minutes(F.col("value"), F.col("user_id") % 60).alias("eta")
+        "event_id", eta_minutes("value", "user_id % 60").alias("eta")
     )
 
 
