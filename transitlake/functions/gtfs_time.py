@@ -17,9 +17,11 @@ def _to_seconds(text: str) -> str:
     # the digits as one number HHMMSS; the shape is checked on the colons, which
     # is several times cheaper per row than a regular expression and three splits
     t = f"trim({text})"
-    n = f"try_cast(replace({t}, ':', '') as int)"
+    digits = f"replace({t}, ':', '')"
+    n = f"try_cast({digits} as int)"
     shape = (
-        f"length({t}) between 7 and 9 and substr({t}, -3, 1) = ':' and substr({t}, -6, 1) = ':' "
+        f"length({t}) between 7 and 9 and length({digits}) = length({t}) - 2 "
+        f"and substr({t}, -3, 1) = ':' and substr({t}, -6, 1) = ':' "
         f"and substr({t}, 1, 1) between '0' and '9'"
     )
     ranges = f"{n} % 100 < 60 and {n} div 100 % 100 < 60"

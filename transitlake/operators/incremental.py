@@ -79,7 +79,10 @@ def new_or_changed(
     present = set(stored.columns)
     aligned = stored.select(
         *[
-            (F.col(f"`{n}`") if n in present else F.lit(None)).cast(fields[n].dataType).alias(n)
+            (F.col(f"`{n}`") if n in present else F.lit(None))
+            # by name, so that the NULL-ability of nested parts is left alone
+            .cast(fields[n].dataType.simpleString())
+            .alias(n)
             for n in names
         ]
     )

@@ -74,3 +74,8 @@ FEEDS: dict[str, tuple[str, T.StructType]] = {
     "municipalities": ("json", MUNICIPALITIES),
     "weather_data": ("json", WEATHER_DATA),
 }
+
+
+def with_stamp(schema: T.StructType) -> T.StructType:
+    """A raw table's schema: the feed's plus the load time."""
+    return T.StructType([*schema.fields, T.StructField("ingested_at", T.TimestampType())])
