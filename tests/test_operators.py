@@ -116,6 +116,24 @@ def test_row_difference_nested_types(spark):
     assert len(got) == 2 and all(r.m == {"k": 1, "l": 3} and r.s.m == {"z": 1} for r in got)
 
 
+def test_row_difference_floats_are_exact(spark):
+    schema = "d double, f float, a array<double>"
+    rows = [(0.1 + 0.2, 1.1, [0.3]), (-0.0, None, None), (float("nan"), 2.5, [float("nan")]),
+            (5e-324, 3.4e38, []), (1e308, -1e-45, [1.0, None])]
+    data = spark.createDataFrame(rows, schema)
+    assert new_or_changed(data, data).count() == 0
+    zero = spark.createDataFrame([(0.0, None, None)], schema)
+    assert new_or_changed(zero, data).count() == 0
+    near = spark.createDataFrame([(0.3, 1.1, [0.3])], schema)
+    assert new_or_changed(near, data).count() == 1
+    empty = data.where("false")
+    back = new_or_changed(data, empty)
+    assert back.schema == data.schema
+    assert sorted(map(str, back.collect())) == sorted(
+        str(r).replace("-0.0", "0.0") for r in data.collect()
+    )
+
+
 def test_row_difference_ignores_stamp_and_allows_new_columns(spark):
     stored = spark.createDataFrame([(1, "old")], "a int, ingested_at string")
     incoming = spark.createDataFrame([(1, None), (1, "n")], "a int, b string")

@@ -20,13 +20,21 @@ COPIES_PER_BLOCK = 100_000
 
 
 def _comparable(value: Column, kind: T.DataType) -> Column:
-    """A form of ``value`` that can be compared and hashed: maps become sorted entries."""
+    """A form of ``value`` that groups and joins as a plain key.
+
+    Maps become sorted entries. Floating-point numbers become text, which is
+    exact both ways: Spark wraps floating keys in a normalization of its own,
+    and grouped rows would then not count as placed for the join that follows.
+    """
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        # adding zero makes -0.0 and 0.0 one number
+        return (value + F.lit(0).cast(kind)).cast("string")
     if isinstance(kind, T.MapType):
         entries = F.map_entries(value)
         return F.array_sort(_comparable(entries, T.ArrayType(_entry_type(kind))))
-    if isinstance(kind, T.ArrayType) and _has_map(kind.elementType):
+    if isinstance(kind, T.ArrayType) and _is_encoded(kind.elementType):
         return F.transform(value, lambda item: _comparable(item, kind.elementType))
-    if isinstance(kind, T.StructType) and _has_map(kind):
+    if isinstance(kind, T.StructType) and _is_encoded(kind):
         fields = [_comparable(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
         return F.when(value.isNotNull(), F.struct(*fields))
     return value
@@ -38,26 +46,16 @@ def _entry_type(kind: T.MapType) -> T.StructType:
     )
 
 
-def _has_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.MapType):
+def _is_encoded(kind: T.DataType) -> bool:
+    if isinstance(kind, (T.MapType, T.FloatType, T.DoubleType)):
         return True
     if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
+        return _is_encoded(kind.elementType)
     if isinstance(kind, T.StructType):
-        return any(_has_map(f.dataType) for f in kind.fields)
+        return any(_is_encoded(f.dataType) for f in kind.fields)
     return False
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Every column in a form that joins and set operations accept."""
-    changed = {
-        f.name: _comparable(F.col(f"`{f.name}`"), f.dataType)
-        for f in df.schema.fields
-        if _has_map(f.dataType)
-    }
-    return df.withColumns(changed) if changed else df
-
-
 def new_or_changed(
     incoming: DataFrame, stored: DataFrame, exclude: Sequence[str] = ("ingested_at",)
 ) -> DataFrame:
@@ -72,50 +70,48 @@ def new_or_changed(
     and no task receives them all; the copies are restored afterwards in blocks.
     """
     names = [c for c in incoming.columns if c not in exclude]
-    fields = {f.name: f for f in incoming.schema.fields}
-    nested = [n for n in names if _has_map(fields[n].dataType)]
+    kinds = {f.name: f.dataType for f in incoming.schema.fields}
+    # nested columns that are compared in another form travel along as they are
+    kept = [
+        n
+        for n in names
+        if _is_encoded(kinds[n]) and not isinstance(kinds[n], (T.FloatType, T.DoubleType))
+    ]
+    left = _as_record(incoming, names, kinds, kept)
+    left = left.groupBy("_digest", "_record").agg(
+        F.count(F.lit(1)).alias("_copies"),
+        *[F.any_value(f"_kept_{n}").alias(f"_kept_{n}") for n in kept],
+    )
 
-    left = _as_record(comparable(incoming.select(*names)), incoming.select(*names), nested)
     present = set(stored.columns)
     aligned = stored.select(
         *[
             (F.col(f"`{n}`") if n in present else F.lit(None))
             # by name, so that the NULL-ability of nested parts is left alone
-            .cast(fields[n].dataType.simpleString())
+            .cast(kinds[n].simpleString())
             .alias(n)
             for n in names
         ]
     )
-    right = _as_record(comparable(aligned), aligned, [])
-
-    originals = [F.any_value(f"_o_{n}").alias(f"_o_{n}") for n in nested]
-    left = left.groupBy("_digest", "_record").agg(
-        F.count(F.lit(1)).alias("_copies"), *originals
-    )
-    right = right.distinct()
+    right = _as_record(aligned, names, kinds, []).select("_digest", "_record").distinct()
 
     # struct equality treats NULL fields as equal; the digest settles most
     # comparisons on a single long
     same = (left["_digest"] == right["_digest"]) & (left["_record"] == right["_record"])
     fresh = left.join(right, same, "left_anti")
-
     out = [
-        F.col(f"_o_{n}").alias(n) if n in nested else F.col(f"_record.`{n}`").alias(n)
+        (F.col(f"_kept_{n}") if n in kept else F.col(f"_record.`{n}`").cast(kinds[n])).alias(n)
         for n in names
     ]
     return _restore_copies(fresh).select(*out)
 
 
-def _as_record(compared: DataFrame, original: DataFrame, nested: Sequence[str]) -> DataFrame:
-    columns = [F.col(f"`{c}`") for c in compared.columns]
-    if not nested:
-        record = compared.select(F.struct(*columns).alias("_record"))
-    else:
-        # rebuild from the original columns so that both forms stay on one row
-        kinds = {f.name: f.dataType for f in original.schema.fields}
-        parts = [_comparable(F.col(f"`{n}`"), kinds[n]).alias(n) for n in original.columns]
-        kept = [F.col(f"`{n}`").alias(f"_o_{n}") for n in nested]
-        record = original.select(F.struct(*parts).alias("_record"), *kept)
+def _as_record(
+    df: DataFrame, names: Sequence[str], kinds: dict[str, T.DataType], kept: Sequence[str]
+) -> DataFrame:
+    parts = [_comparable(F.col(f"`{n}`"), kinds[n]).alias(n) for n in names]
+    originals = [F.col(f"`{n}`").alias(f"_kept_{n}") for n in kept]
+    record = df.select(F.struct(*parts).alias("_record"), *originals)
     return record.withColumn("_digest", F.xxhash64("_record"))
 
 
