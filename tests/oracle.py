@@ -24,8 +24,9 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
+    # exact, and 0.0 is not -0.0: both sides round for themselves
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 5)
+        return None if math.isnan(value) else repr(value)
     return value
 
 

@@ -151,7 +151,9 @@ def test_fused_stop_times_equal_window_form(spark):
                          float(rng.randrange(9999))))
     raw = frame(spark, data, schemas.STOP_TIMES)
     ends = endpoints_per_key(raw, ["trip_id"], ["stop_sequence"])
-    lagged = previous_value(ends, ["trip_id"], ["stop_sequence"], "departure_time", "start")
+    lagged = previous_value(
+        ends, ["trip_id"], ["stop_sequence"], "departure_time", "start", hot_rows=None
+    )
     last = latest_per_key(lagged, ["trip_id"], "stop_sequence")
     counts = raw.groupBy("trip_id").agg(F.count("*").alias("n"))
     window_form = last.join(counts, "trip_id").select(

@@ -49,21 +49,21 @@ def test_endpoints_per_key(spark):
 
 
 @pytest.mark.parametrize("hot", [0.0, 0.5])
-def test_previous_value_in_slices_equals_lag(spark, hot):
+def test_previous_value_of_hot_keys_equals_lag(spark, hot):
     rng = random.Random(7)
     data = [
-        (1 if rng.random() < hot else rng.randrange(6), rng.randrange(200), i,
+        (1 if rng.random() < hot else rng.choice([None, 1, 2, 3, 4, 5]), rng.randrange(200), i,
          None if rng.random() < 0.1 else rng.randrange(100))
         for i in range(600)
     ]
     rows = spark.createDataFrame(data, "k int, t int, i int, v int")
     plain = previous_value(rows, ["k"], ["t", "i"], "v", "p")
-    sliced = previous_value(
-        rows, ["k"], ["t", "i"], "v", "p", slice_by=F.floor(F.col("t") / 10)
-    )
+    # from every key being cut to none
+    sliced = previous_value(rows, ["k"], ["t", "i"], "v", "p", hot_rows=30)
+    assert bag(previous_value(rows, ["k"], ["t", "i"], "v", "p", hot_rows=105)) == bag(plain)
     assert bag(plain) == bag(sliced)
     want, last = Counter(), {}
-    for k, t, i, v in sorted(data, key=lambda r: (r[0], r[1], r[2])):
+    for k, t, i, v in sorted(data, key=lambda r: (r[0] or 0, r[1], r[2])):
         want[(k, t, i, v, last.get(k))] += 1
         last[k] = v
     assert bag(sliced) == want

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from transitlake.session import ensure_checkpoint_dir
+
+# A key with more rows than this is not sorted by a single task.
+HOT_ROWS = 5_000_000
+
 
 def previous_value(
     df: DataFrame,
@@ -14,37 +20,67 @@ def previous_value(
     order: Sequence[str],
     value: str,
     out: str,
-    slice_by: Column | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``: the value of the preceding row of the key, NULL for its first row.
 
-    Without ``slice_by`` this is a plain ``lag`` window; use it where a key has
-    few rows. With ``slice_by``, a non-decreasing function of the leading order
-    column such as the day or hour of an event, the rows of one key are spread
-    over (key, slice) groups, so no task has to sort a whole hot key. The first
-    row of a slice takes its value from the last row of the nearest earlier
-    slice, which comes from a pre-aggregated table of one row per key and slice.
+    ``order`` should identify a row within its key. Keys of ordinary size use a
+    ``lag`` window. The rows of hot keys are range-partitioned over (key, order),
+    so they are cut into even pieces however they are distributed, and the first
+    row of a piece takes its value from the last row of the piece before. Which
+    keys are hot is found by a count per key; there can be only few of them.
+    ``hot_rows=None`` skips the count, for inputs with a few rows per key.
     """
-    if slice_by is None:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, F.lag(value).over(window))
-
-    sliced = df.withColumn("_slice", slice_by)
-    parts = [*keys, "_slice"]
-    in_slice = Window.partitionBy(*parts).orderBy(*order)
-    rows = sliced.withColumns(
-        {"_lag": F.lag(value).over(in_slice), "_nth": F.row_number().over(in_slice)}
+    lagged = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)).alias(out)
+    if hot_rows is None:
+        return df.select("*", lagged)
+
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.where(F.col("_rows") > hot_rows)
+    total = hot.agg(F.sum("_rows")).first()[0]
+    if not total:
+        return df.select("*", lagged)
+
+    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    is_hot = _null_safe(keys, "_hot_")
+    cold_rows = df.join(hot, is_hot, "left_anti").select("*", lagged)
+    hot_pieces = math.ceil(total / hot_rows) * 2
+    return cold_rows.unionByName(
+        _previous_across_pieces(
+            df.join(hot, is_hot, "left_semi"), keys, order, value, out, hot_pieces
+        )
     )
 
-    tails = sliced.groupBy(*parts).agg(F.max_by(value, F.struct(*order)).alias("_tail"))
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    carried = tails.select(*parts, F.lag("_tail").over(across).alias("_carried"))
-    carried = carried.select(*[F.col(c).alias(f"_c_{c}") for c in parts], "_carried")
 
-    same_part = None
-    for name in parts:
-        test = F.col(name).eqNullSafe(F.col(f"_c_{name}"))
-        same_part = test if same_part is None else same_part & test
-    joined = rows.join(carried, same_part, "left")
+def _null_safe(names: Sequence[str], prefix: str):
+    condition = F.lit(True)
+    for name in names:
+        condition = condition & F.col(name).eqNullSafe(F.col(f"{prefix}{name}"))
+    return condition
+
+
+def _previous_across_pieces(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, pieces: int
+) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    # Range bounds come from a sample, so the pieces are fixed by a checkpoint:
+    # both uses below, and any retry after a lost executor, see the same ones.
+    ranged = (
+        df.repartitionByRange(pieces, *keys, *order)
+        .withColumn("_piece", F.spark_partition_id())
+        .checkpoint()
+    )
+    parts = [*keys, "_piece"]
+    within = Window.partitionBy(*parts).orderBy(*order)
+    rows = ranged.withColumns(
+        {"_lag": F.lag(value).over(within), "_nth": F.row_number().over(within)}
+    )
+    # one row per key and piece
+    tails = ranged.groupBy(*parts).agg(F.max_by(value, F.struct(*order)).alias("_tail"))
+    across = Window.partitionBy(*keys).orderBy("_piece")
+    carried = tails.select(
+        *[F.col(c).alias(f"_c_{c}") for c in parts], F.lag("_tail").over(across).alias("_carried")
+    )
+    joined = rows.join(carried, _null_safe(parts, "_c_"), "left")
     previous = F.when(F.col("_nth") == 1, F.col("_carried")).otherwise(F.col("_lag"))
     return joined.select(*df.columns, previous.alias(out))

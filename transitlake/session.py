@@ -69,8 +69,14 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     Only where that setting is absent (a test on one machine) is a temporary
     folder used instead.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    return os.path.join(ensure_checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder, set where it is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="transitlake-")
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+    return root

@@ -74,20 +74,31 @@ def user_first_last_fused(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
-    "lag_event_gap",
-    """SELECT event_id, user_id,
+_LAG_SQL = """SELECT event_id, user_id,
               epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id
                                                      ORDER BY ts, event_id) AS gap_us
-       FROM events""",
-)
-def lag_event_gap(spark: SparkSession, folder: str) -> DataFrame:
+       FROM events"""
+
+
+def _event_gaps(spark: SparkSession, folder: str, **how) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "user_id", "ts")
-    lagged = previous_value(
-        events, ["user_id"], ["ts", "event_id"], "ts", "prev", slice_by=F.to_date("ts")
+    lagged = previous_value(events, ["user_id"], ["ts", "event_id"], "ts", "prev", **how)
+    return lagged.selectExpr(
+        "event_id",
+        "user_id",
+        "unix_micros(cast(ts as timestamp)) - unix_micros(cast(prev as timestamp)) as gap_us",
     )
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    return lagged.select("event_id", "user_id", (micros("ts") - micros("prev")).alias("gap_us"))
+
+
+@query("lag_event_gap", _LAG_SQL)
+def lag_event_gap(spark: SparkSession, folder: str) -> DataFrame:
+    return _event_gaps(spark, folder)
+
+
+@query("lag_event_gap_hot_keys", _LAG_SQL)
+def lag_event_gap_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a limit so low that about half of the users are cut into pieces."""
+    return _event_gaps(spark, folder, hot_rows=66)
 
 
 @query(
@@ -114,7 +125,9 @@ def lag_over_endpoints(spark: SparkSession, folder: str) -> DataFrame:
     ends = endpoints_per_key(
         feeds.stop_times(spark, folder).select("trip_id", *order), ["trip_id"], order
     )
-    lagged = previous_value(ends, ["trip_id"], order, "departure_time", "first_departure")
+    lagged = previous_value(
+        ends, ["trip_id"], order, "departure_time", "first_departure", hot_rows=None
+    )
     last = latest_per_key(lagged, ["trip_id"], "stop_sequence", ["departure_time"])
     return last.select(
         "trip_id", "first_departure", F.col("departure_time").alias("last_departure")
@@ -511,7 +524,7 @@ def _order_times(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "trip_speed_wrap",
     f"""SELECT o_orderkey, minutes,
-               round(o_totalprice * 0.001 / nullif(minutes / 60.0, 0), 6) AS speed_kmh
+               round(o_totalprice * 0.001 / nullif(minutes * 60 / 3600.0, 0), 6) AS speed_kmh
         FROM (SELECT *, CASE WHEN b < a THEN 1440 - abs(b // 60 - a // 60)
                              ELSE abs(b // 60 - a // 60) END AS minutes FROM ({_TIMES}))""",
 )

@@ -17,6 +17,16 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+def _rounded(x: str) -> str:
+    """Six digits, rounded in binary as SQL engines do; large numbers as they are.
+
+    (Spark's own ``round`` works on the decimal text of a number, and differs in
+    the last digit where that text ends in 5.)
+    """
+    scaled = f"floor(abs({x}) * 1e6D + 0.5D) / 1e6D"
+    return f"case when abs({x}) < 1e12D then signum({x}) * {scaled} + 0D else {x} end"
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Types every engine prints alike: bigint, double (6 digits), text, boolean."""
     out = []
@@ -25,8 +35,7 @@ def plain(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-            # adding zero turns a rounded -0.0 into 0.0
-            c = F.round(c.cast("double"), 6) + F.lit(0.0)
+            c = F.expr(_rounded(f"cast(`{f.name}` as double)"))
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
