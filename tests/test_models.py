@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from transitlake import schemas
 from transitlake.functions import gtfs_time as gt
 from transitlake.operators.dedupe import endpoints_per_key, latest_per_key
-from transitlake.operators.incremental import full_refresh
 from transitlake.operators.quality import QualityError
 from transitlake.operators.sequence import previous_value
 from transitlake.plans import kpis, marts, refresh, staging, suites
+from transitlake.sources.tables import full_refresh
 
 V1, V2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 NOW = datetime(2024, 6, 1)

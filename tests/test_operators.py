@@ -208,6 +208,18 @@ def test_load_table_by_size(spark, tmp_path, monkeypatch):
         load_table(spark, rows, target, "other")
 
 
+def test_load_named_table(spark):
+    spark.sql("DROP TABLE IF EXISTS loaded")
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "i int, t string")
+    assert load_table(spark, rows, "loaded", now=NOW) == "all"
+    assert load_table(spark, rows, "loaded", now=NOW) == "diff"
+    assert spark.table("loaded").count() == 2
+    more = spark.createDataFrame([(1, "b")], "i int, t string")
+    load_table(spark, more, "loaded", "by_size", NOW)
+    assert spark.table("loaded").count() == 3
+    spark.sql("DROP TABLE loaded")
+
+
 def test_recent_slice_is_strict(spark):
     rows = spark.range(0, 200, 60).select(F.timestamp_seconds("id").alias("ts"), "id")
     assert [r.id for r in recent_slice(rows, "ts", 120).orderBy("id").collect()] == [120, 180]

@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from transitlake import schemas
-from transitlake.operators.incremental import full_refresh
-from transitlake.sources import archives, files, landing
+from transitlake.sources import archives, files, landing, tables
+from transitlake.sources.tables import full_refresh
 
 
 def test_csv_parts_by_header_name(spark, tmp_path):
@@ -128,3 +128,14 @@ def test_full_refresh(spark, tmp_path):
     spark.catalog.refreshByPath(target)
     assert spark.read.parquet(target).columns == ["id", "t"]
     assert spark.read.parquet(target).count() == 5
+
+
+def test_partitioned_write_and_existence(spark, tmp_path):
+    target = str(tmp_path / "t")
+    assert not tables.exists(spark, target)
+    (tmp_path / "t" / "_temporary").mkdir(parents=True)
+    assert not tables.exists(spark, target)
+    rows = spark.range(100).selectExpr("id", "id % 3 as part")
+    tables.write(rows, target, "overwrite", ["part"])
+    assert tables.exists(spark, target)
+    assert tables.read(spark, target, rows.schema).where("part = 1").count() == 33

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitlake.functions.clean import compact_arrays, with_ingested_at
+from transitlake.sources import tables
 
 # Fixed values of the load policy.
 MAX_COMPARE_ROWS = 300_000
@@ -168,14 +169,6 @@ def choose_mode_column(
     )
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a written table is found at ``path``."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")))
-
-
 def load_table(
     spark: SparkSession,
     incoming: DataFrame,
@@ -183,7 +176,7 @@ def load_table(
     policy: str = "diff",
     now: datetime | None = None,
 ) -> str:
-    """Append ``incoming`` to the parquet table at ``target``; returns the mode used.
+    """Append ``incoming`` to a stored table (path or name); returns the mode used.
 
     ``diff`` always compares, at any size, because the comparison is a join.
     ``by_size`` follows :func:`choose_mode`, with the oldest load stamp as the
@@ -192,27 +185,27 @@ def load_table(
     if policy not in ("diff", "by_size"):
         raise ValueError(f"unknown policy {policy!r}")
     incoming = compact_arrays(incoming)
-    mode = "diff" if table_exists(spark, target) else "all"
+    mode = "diff" if tables.exists(spark, target) else "all"
+    if mode == "diff" and policy == "by_size":
+        mode = _mode_by_size(spark, target, now)
     if mode == "diff":
         # the schema is known, so no footer is opened to infer one, and files
         # written before a column existed give NULL for it
-        stored = spark.read.schema(incoming.drop("ingested_at").schema).parquet(target)
-        if policy == "by_size":
-            clock = now or datetime.now(timezone.utc).replace(tzinfo=None)
-            stamps = spark.read.schema("ingested_at timestamp").parquet(target)
-            known = stamps.agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.unix_seconds(F.min("ingested_at")).alias("created"),
-            ).first()
-            created = datetime.fromtimestamp(known["created"], timezone.utc).replace(tzinfo=None)
-            mode = choose_mode(True, known["rows"], created, clock)
-        if mode == "diff":
-            incoming = new_or_changed(incoming, stored)
+        stored = tables.read(spark, target, incoming.drop("ingested_at").schema)
+        incoming = new_or_changed(incoming, stored)
     stamped = with_ingested_at(incoming, now)
-    stamped.write.mode("overwrite" if mode == "replace" else "append").parquet(target)
+    tables.write(stamped, target, "overwrite" if mode == "replace" else "append")
     return mode
 
 
-def full_refresh(source: DataFrame, target: str) -> None:
-    """Replace the table at ``target`` by a copy of ``source``, schema included."""
-    source.write.mode("overwrite").parquet(target)
+def _mode_by_size(spark: SparkSession, target: str, now: datetime | None) -> str:
+    stamps = tables.read(
+        spark, target, T.StructType([T.StructField("ingested_at", T.TimestampType())])
+    )
+    rows, created = stamps.agg(
+        F.count(F.lit(1)), F.unix_seconds(F.min("ingested_at"))
+    ).first()
+    clock = now or datetime.now(timezone.utc).replace(tzinfo=None)
+    if created is not None:
+        created = datetime.fromtimestamp(created, timezone.utc).replace(tzinfo=None)
+    return choose_mode(True, rows, created, clock)

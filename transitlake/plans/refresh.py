@@ -16,6 +16,7 @@ from transitlake.operators.incremental import load_table
 from transitlake.operators.quality import Check, QualityError, run_suite
 from transitlake.plans import marts, staging, suites
 from transitlake.session import use_utc
+from transitlake.sources import tables
 from transitlake.sources.files import read_csv_feed, read_json_array
 
 
@@ -75,19 +76,9 @@ def staging_relations(
 
 
 def materialize(df: DataFrame, target: str, partition_by: str | None = None) -> DataFrame:
-    """Write a mart and return it as read back.
-
-    A partitioned mart is rebalanced first: each date goes to few tasks and a
-    heavy date to several, so files are neither tiny nor written by one task.
-    """
-    writer = df
-    if partition_by:
-        writer = df.hint("rebalance", partition_by)
-    out = writer.write.mode("overwrite")
-    if partition_by:
-        out = out.partitionBy(partition_by)
-    out.parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target)
+    """Write a mart (to a path or a catalog table) and return it as read back."""
+    tables.write(df, target, "overwrite", [partition_by] if partition_by else [])
+    return tables.read(df.sparkSession, target, df.schema)
 
 
 def check(
@@ -156,7 +147,7 @@ def run(
     """Load a day's feeds and rebuild the star schema.
 
     The table of observed stop times is expected below ``raw_root`` already; it
-    is copied there by :func:`transitlake.operators.incremental.full_refresh`.
+    is copied there by :func:`transitlake.sources.tables.full_refresh`.
     """
     use_utc(spark)
     outcome = Outcome(load_modes=load_raw(spark, feed_folder, raw_root, now=now))

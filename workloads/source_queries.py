@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlake import schemas
-from transitlake.operators.incremental import full_refresh, load_table
+from transitlake.operators.incremental import load_table
 from transitlake.session import shared_folder
 from transitlake.sources.archives import zip_member_table
 from transitlake.sources.files import (
@@ -28,6 +28,7 @@ from transitlake.sources.files import (
     stop_locations,
 )
 from transitlake.sources.landing import read_landing, write_landing_partitioned
+from transitlake.sources.tables import full_refresh
 from transitlake.streaming.pings import read_pings, run, vehicle_windows, write_windows
 from workloads import feeds
 from workloads.feeds import FEED_SQL, table, with_feeds
@@ -78,11 +79,13 @@ def csv_multipart(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv_feed(spark, base, "stop_times", schemas.STOP_TIMES)
 
 
-def _documents(df: DataFrame, key: str, base: str, envelope: str | None = None) -> str:
-    """Write records as JSON documents of bounded size, one per file."""
-    chunk = F.floor(F.col(key) / RECORDS_PER_DOCUMENT).alias("chunk")
-    record = F.struct(*[c for c in df.columns if c != key])
-    arrays = df.select(chunk, record.alias("r")).groupBy("chunk").agg(
+def _documents(df: DataFrame, base: str, envelope: str | None = None) -> str:
+    """Write records as JSON documents of bounded size, one per file.
+
+    Documents are cut by position in the scan, so no key can make one too large.
+    """
+    chunk = F.floor(F.monotonically_increasing_id() / RECORDS_PER_DOCUMENT).alias("chunk")
+    arrays = df.select(chunk, F.struct("*").alias("r")).groupBy("chunk").agg(
         F.collect_list("r").alias("records")
     )
     if envelope is None:
@@ -102,14 +105,13 @@ def _documents(df: DataFrame, key: str, base: str, envelope: str | None = None)
               o_orderkey % 2 AS direction_id FROM orders""",
 )
 def json_array_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Records from files that hold one JSON array each (the keys are unique and dense)."""
+    """Records from files that hold one JSON array each."""
     trips = table(spark, folder, "orders").selectExpr(
-        "o_orderkey as k",
         "cast(o_orderkey as string) as trip_id",
         "cast(o_custkey as string) as route_id",
         "o_orderkey % 2 as direction_id",
     )
-    path = _documents(trips, "k", shared_folder(spark, "json-array"))
+    path = _documents(trips, shared_folder(spark, "json-array"))
     return read_json_array(spark, path, schemas.TRIPS).select(
         "trip_id", "route_id", "direction_id"
     )
@@ -122,10 +124,8 @@ def json_array_scan(spark: SparkSession, folder: str) -> DataFrame:
 )
 def enveloped_json(spark: SparkSession, folder: str) -> DataFrame:
     """Records out of the ``data`` array of JSON documents."""
-    weather = feeds.weather_data(spark, folder).withColumn(
-        "k", F.col("dataAtualiza").cast("bigint")
-    )
-    path = _documents(weather, "k", shared_folder(spark, "enveloped"), envelope="data")
+    weather = feeds.weather_data(spark, folder)
+    path = _documents(weather, shared_folder(spark, "enveloped"), envelope="data")
     records = read_enveloped_json(spark, path, "data", schemas.WEATHER_DATA)
     return records.select("dataPrevisao", "tMax", "classIntVento", "dataAtualiza")
 
