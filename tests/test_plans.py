@@ -91,3 +91,89 @@ def test_array_membership_is_an_equi_join(spark, no_broadcast):
         array_member_fold(routes, "municipalities", places, "m", ["id"], [F.count("name")])
     )
     assert "SortMergeJoin" in text
+
+
+@pytest.fixture
+def skew_settings(spark, no_broadcast):
+    changed = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan(df)
+
+
+@pytest.fixture
+def hot_items(spark):
+    """Line items of which half belong to one order."""
+    items = feeds.table(spark, FOLDER, "lineitem")
+    one = items.withColumn("l_orderkey", F.lit(7).cast("bigint"))
+    # several input files, as a large table has
+    return items.unionByName(one).repartition(8)
+
+
+def test_a_hot_key_is_split_in_a_join(spark, skew_settings, hot_items):
+    orders = feeds.table(spark, FOLDER, "orders")
+    joined = hot_items.join(orders, hot_items.l_orderkey == orders.o_orderkey, "left")
+    assert "skew=true" in final_plan(joined)
+
+
+def test_a_hot_member_is_split_in_an_array_join(spark, skew_settings):
+    routes = feeds.routes(spark, FOLDER).withColumn(
+        "municipalities", F.array(F.lit("1"), F.col("id"))
+    )
+    many = routes.union(routes).union(routes).union(routes).repartition(8)
+    places = feeds.municipalities(spark, FOLDER).select(F.col("id").alias("m"), "name")
+    folded = array_member_fold(
+        many, "municipalities", places, "m", ["id"], [F.count("name").alias("n")]
+    )
+    assert "skew=true" in final_plan(folded)
+
+
+def shuffled_records(spark, df) -> int:
+    """Records written to the first shuffle of a query."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    best = []
+
+    def walk(n):
+        if n.nodeName().startswith("AdaptiveSparkPlan"):
+            walk(n.executedPlan())
+        elif "QueryStage" in n.nodeName():
+            walk(n.plan())
+        elif n.nodeName() == "Exchange":
+            metric = n.metrics().get("shuffleRecordsWritten").get()
+            best.append(metric.value())
+            walk(n.children().apply(0))
+        else:
+            for i in range(n.children().size()):
+                walk(n.children().apply(i))
+
+    walk(node)
+    return best[0]
+
+
+def test_a_hot_key_sends_a_row_per_task(spark, hot_items):
+    hot = hot_items.where("l_orderkey = 7").coalesce(8)
+    total = hot.count()
+    assert total > 5_000
+    latest = latest_per_key(hot, ["l_orderkey"], "l_shipdate", ["l_partkey"])
+    assert shuffled_records(spark, latest) <= 8
+    copies = hot.selectExpr("1 as a", "'x' as b")
+    stored = spark.createDataFrame([(2, "x")], "a int, b string")
+    new = new_or_changed(copies, stored)
+    assert new.count() == total

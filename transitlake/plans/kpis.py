@@ -41,9 +41,10 @@ def trip_kpis(
 ) -> DataFrame:
     """Trips, kilometres, travel minutes and average speed by any dimension columns.
 
-    A trip counts once per day. Each (group, trip, day) is first brought to one
-    record, which also spreads a large group over many tasks before its total
-    is formed.
+    A trip counts once per day, also where the day is unknown. Each (group, trip,
+    day) is first brought to one record, which also spreads a large group over
+    many tasks before its total is formed. Rows already placed by trip, as a
+    freshly built fact is, are not moved for that step.
     """
     if grouping not in GROUPINGS:
         raise ValueError(f"unknown grouping {grouping!r}")
@@ -59,7 +60,8 @@ def trip_kpis(
         minutes = gt.duration_minutes("planned_start_s", "planned_end_s")
     rows = _with_dimensions(fact, dim_routes, dim_date, by).select(
         *by,
-        F.struct("trip_id", "planned_date").alias("run"),
+        F.col("trip_id").alias("run_trip"),
+        F.expr("coalesce(planned_date, date'0001-01-01')").alias("run_day"),
         (F.col("total_distance_traveled") * 0.001).alias("km"),
         minutes.alias("minutes"),
         F.col("average_speed_kmh").alias("speed"),
@@ -67,7 +69,7 @@ def trip_kpis(
     grouped = {"plain": rows.groupBy, "rollup": rows.rollup, "cube": rows.cube}[grouping](*by)
     return grouped.agg(
         F.avg("speed").alias("average_speed_kmh"),
-        F.count_distinct("run").alias("number_of_trips"),
+        F.count_distinct("run_trip", "run_day").alias("number_of_trips"),
         F.sum("km").alias("km_travelled"),
         F.sum("minutes").alias("travel_minutes"),
     )
