@@ -20,6 +20,10 @@ from transitlake.sources import tables
 from transitlake.sources.files import read_csv_feed, read_json_array
 
 
+# Staging relations with far fewer rows than the feed they come from.
+CONDENSED = {"stop_times", "real_stop_times", "routes", "lines", "stops", "weather_data"}
+
+
 @dataclass
 class Outcome:
     """What a refresh did."""
@@ -99,16 +103,22 @@ def build_marts(
     strict: bool = True,
     now: datetime | None = None,
     outcome: Outcome | None = None,
+    stage_root: str | None = None,
 ) -> Outcome:
     """Staging views, their checks, then the marts and theirs.
 
     Each mart is read back from where it was written, so a later mart starts
-    from files and not from a long lineage.
+    from files and not from a long lineage. With ``stage_root`` the staging
+    relations that condense their feed are written once as well; their checks
+    and the marts then read the few rows per trip, route or stop that are left
+    instead of working through the raw tables again.
     """
     outcome = outcome or Outcome()
     use_utc(spark)
     stage = staging_relations(spark, raw)
     for name, df in stage.items():
+        if stage_root and name in CONDENSED:
+            df = stage[name] = materialize(df, f"{stage_root}/{name}")
         df.createOrReplaceTempView(f"staging_{name}")
         if name in suites.STAGING:
             check(outcome, name, df, suites.STAGING[name], strict)
@@ -144,7 +154,7 @@ def run(
     strict: bool = True,
     now: datetime | None = None,
 ) -> Outcome:
-    """Load a day's feeds and rebuild the star schema.
+    """Load a day's feeds and rebuild the star schema below ``out_root``.
 
     The table of observed stop times is expected below ``raw_root`` already; it
     is copied there by :func:`transitlake.sources.tables.full_refresh`.
@@ -152,5 +162,11 @@ def run(
     use_utc(spark)
     outcome = Outcome(load_modes=load_raw(spark, feed_folder, raw_root, now=now))
     return build_marts(
-        spark, lambda name: read_raw(spark, raw_root, name), out_root, strict, now, outcome
+        spark,
+        lambda name: read_raw(spark, raw_root, name),
+        out_root,
+        strict,
+        now,
+        outcome,
+        stage_root=f"{out_root}/staging",
     )

@@ -696,11 +696,14 @@ def dim_date_join(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- geography -------------------------------------------------------------
 
-HAVERSINE_SQL = """2 * 6371.0 * atan2(
-    sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2)
-         + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)),
-    sqrt(1 - pow(sin(radians({lat2} - {lat1}) / 2), 2)
-         - cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))"""
+_CHORD_SQL = (
+    "(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
+    " + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))"
+)
+HAVERSINE_SQL = (
+    f"2 * 6371.0 * atan2(sqrt({_CHORD_SQL}),"
+    f" sqrt(CASE WHEN {_CHORD_SQL} > 1 THEN 0 ELSE 1 - {_CHORD_SQL} END))"
+)
 
 
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
