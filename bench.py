@@ -40,6 +40,8 @@ def main() -> None:
         **{
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
             "spark.sql.shuffle.partitions": cpus,
+            # the bench tables are small; let AQE keep all cores busy with them
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

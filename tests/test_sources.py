@@ -106,6 +106,16 @@ def test_land_zip_member_and_read_feed(spark, bundles, tmp_path):
     }
 
 
+def test_land_bundle(spark, bundles, tmp_path):
+    out = str(tmp_path / "landing")
+    found = archives.land_bundle(spark, bundles, out)
+    assert found[("trips.txt", "ok")] == 2 and found[("periods.txt", "empty")] == 1
+    assert found[("shapes.txt", "missing")] == 2 and found[("shapes.txt", "bad")] == 1
+    assert files.read_csv_feed(spark, out, "trips", schemas.TRIPS).count() == 3
+    assert files.read_csv_feed(spark, out, "periods", schemas.PERIODS).count() == 0
+    assert not (tmp_path / "landing" / "shapes.csv").exists()
+
+
 def test_landing_by_day(spark, tmp_path):
     root = str(tmp_path)
     landing.write_landing(spark.range(3), root, "f", "2024-01-01")

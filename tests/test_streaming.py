@@ -132,3 +132,17 @@ def test_bounded_run_stops(spark, tmp_path):
     query = write_windows(windows, f"{tmp_path}/out", f"{tmp_path}/cp", trigger="1 second")
     assert run(query, 3) is False
     assert not query.isActive
+
+
+def test_windows_per_ping_follow_the_slide(spark):
+    pings = spark.createDataFrame([tuple(ping(7).get(n) for n in PING.names)], PING)
+    assert vehicle_windows(pings).count() == 4
+    assert vehicle_windows(pings, slide="10 seconds").count() == 12
+
+
+def test_job_works_off_what_is_there(spark, tmp_path):
+    from transitlake.streaming import job
+
+    write_files(tmp_path / "in", [[ping(0)], [ping(900)], [ping(1800)]])
+    job.main([f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp", "0"])
+    assert spark.read.parquet(f"{tmp_path}/out").count() > 0

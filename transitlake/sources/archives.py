@@ -14,6 +14,16 @@ from pyspark.sql import functions as F
 
 LINES_PER_BATCH = 50_000
 
+# The members taken from a feed bundle.
+BUNDLE_MEMBERS = (
+    "stop_times.txt",
+    "calendar_dates.txt",
+    "trips.txt",
+    "dates.txt",
+    "shapes.txt",
+    "periods.txt",
+)
+
 LINES_SCHEMA = (
     "archive string, member string, status string, header string, line_no bigint, line string"
 )
@@ -163,3 +173,22 @@ def land_zip_member(
         .option("maxRecordsPerFile", max_records_per_file)
         .csv(f"{folder.rstrip('/')}/{name}.csv")
     )
+
+
+def land_bundle(
+    spark: SparkSession,
+    zip_glob: str,
+    folder: str,
+    members: Sequence[str] = BUNDLE_MEMBERS,
+) -> dict[tuple[str, str], int]:
+    """Land the members of feed bundles as CSV feeds named after them.
+
+    A member that no archive holds is left out without stopping the others.
+    Returns how many archives hold each (member, status), from first lines only.
+    """
+    counted = member_headers(spark, zip_glob, members).groupBy("member", "status").count()
+    found = {(r["member"], r["status"]): r["count"] for r in counted.collect()}
+    for member in members:
+        if any((member, status) in found for status in ("ok", "empty")):
+            land_zip_member(spark, zip_glob, member, folder, member.rsplit(".", 1)[0])
+    return found

@@ -52,6 +52,8 @@ def stream_windows(spark: SparkSession, folder: str) -> DataFrame:
 
     With a single micro-batch no row is late, so what is written is every window
     that ends no later than the final watermark, whatever the order of the files.
+    A long history is better served by the batch form, ``motion_windows``, which
+    keeps no state.
     """
     base = shared_folder(spark, "stream-windows")
     feeds.pings(spark, folder).write.json(f"{base}/in")
