@@ -59,8 +59,8 @@ def test_previous_value_of_hot_keys_equals_lag(spark, hot):
     rows = spark.createDataFrame(data, "k int, t int, i int, v int")
     plain = previous_value(rows, ["k"], ["t", "i"], "v", "p")
     # from every key being cut to none
-    sliced = previous_value(rows, ["k"], ["t", "i"], "v", "p", hot_rows=30)
-    assert bag(previous_value(rows, ["k"], ["t", "i"], "v", "p", hot_rows=105)) == bag(plain)
+    sliced = previous_value(rows, ["k"], ["t", "i"], "v", "p", hot_rows=30, pieces=9)
+    assert bag(previous_value(rows, ["k"], ["t", "i"], "v", "p", hot_rows=105, pieces=5)) == bag(plain)
     assert bag(plain) == bag(sliced)
     want, last = Counter(), {}
     for k, t, i, v in sorted(data, key=lambda r: (r[0] or 0, r[1], r[2])):

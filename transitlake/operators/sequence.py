@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -21,6 +20,7 @@ def previous_value(
     value: str,
     out: str,
     hot_rows: int | None = HOT_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add ``out``: the value of the preceding row of the key, NULL for its first row.
 
@@ -30,6 +30,8 @@ def previous_value(
     row of a piece takes its value from the last row of the piece before. Which
     keys are hot is found by a count per key; there can be only few of them.
     ``hot_rows=None`` skips the count, for inputs with a few rows per key.
+    ``pieces`` defaults to the session's number of shuffle partitions, which is
+    sized for the whole input.
     """
     lagged = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)).alias(out)
     if hot_rows is None:
@@ -37,17 +39,16 @@ def previous_value(
 
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = counts.where(F.col("_rows") > hot_rows)
-    total = hot.agg(F.sum("_rows")).first()[0]
-    if not total:
+    if hot.isEmpty():
         return df.select("*", lagged)
 
     hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
     is_hot = _null_safe(keys, "_hot_")
     cold_rows = df.join(hot, is_hot, "left_anti").select("*", lagged)
-    hot_pieces = math.ceil(total / hot_rows) * 2
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cold_rows.unionByName(
         _previous_across_pieces(
-            df.join(hot, is_hot, "left_semi"), keys, order, value, out, hot_pieces
+            df.join(hot, is_hot, "left_semi"), keys, order, value, out, pieces
         )
     )
 
