@@ -51,6 +51,9 @@ def compact_arrays(df: DataFrame) -> DataFrame:
 
 
 def with_ingested_at(df: DataFrame, now: datetime | None = None) -> DataFrame:
-    """Stamp rows with the load time (one value for the whole load)."""
-    stamp = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    """Stamp rows with the load time (one value for the whole load).
+
+    A given ``now`` is read in the session's time zone, not the driver machine's.
+    """
+    stamp = F.current_timestamp() if now is None else F.lit(str(now)).cast("timestamp")
     return df.withColumn("ingested_at", stamp)

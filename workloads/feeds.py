@@ -209,10 +209,13 @@ FEEDS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pings": pings,
 }
 
-_LOADS = (
-    "CROSS JOIN (VALUES (0, TIMESTAMP '2024-01-01'), (1, TIMESTAMP '2024-01-02')) "
-    "AS v(ver, ingested_at)"
-)
+
+def _two_loads(name: str) -> str:
+    return (
+        f"(SELECT *, TIMESTAMP '2024-01-01' + to_days(ver) AS ingested_at "
+        f"FROM (SELECT *, unnest([0, 1]) AS ver FROM {name}))"
+    )
+
 
 FEED_SQL: dict[str, str] = {
     "municipalities": """
@@ -222,7 +225,7 @@ FEED_SQL: dict[str, str] = {
                'Line ' || n_name || ' v' || ver AS long_name,
                ['R' || n_nationkey, 'R' || (n_nationkey + ver)] AS routes,
                ['P' || n_regionkey] AS patterns, ingested_at
-        FROM nation {_LOADS}""",
+        FROM {_two_loads('nation')}""",
     "routes": f"""
         SELECT CAST(c_custkey AS VARCHAR) AS id, c_name || ' v' || ver AS long_name,
                CAST(CASE WHEN c_acctbal < 0 THEN c_nationkey + 100 ELSE c_nationkey END
@@ -233,7 +236,7 @@ FEED_SQL: dict[str, str] = {
                           CAST((c_nationkey + 7 + ver) % 25 AS VARCHAR), NULL, '999',
                           CAST(c_nationkey AS VARCHAR)] END AS municipalities,
                ingested_at
-        FROM customer {_LOADS}""",
+        FROM {_two_loads('customer')}""",
     "stops": f"""
         SELECT CAST(s_suppkey AS VARCHAR) AS id,
                lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS stop_id,
@@ -247,7 +250,7 @@ FEED_SQL: dict[str, str] = {
                          CAST((s_suppkey * 37 + i * 11 + ver) % 1009 AS VARCHAR)) END AS routes,
                38.6e0 + s_suppkey * 0.0003e0 AS lat, -9.3e0 + s_nationkey * 0.01e0 AS lon,
                ingested_at
-        FROM supplier {_LOADS}""",
+        FROM {_two_loads('supplier')}""",
     "trips": """
         SELECT CAST(o_orderkey AS VARCHAR) AS trip_id,
                CAST(o_custkey + ver AS VARCHAR) AS route_id,

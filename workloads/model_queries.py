@@ -7,7 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from transitlake.functions.calendar import date_dimension_over
 from transitlake.operators import quality
+from transitlake.operators.dedupe import latest_per_key
 from transitlake.plans import kpis, marts, staging, suites, views
 from transitlake.sources.files import stop_locations
 from transitlake.streaming.pings import vehicle_windows
@@ -247,8 +249,6 @@ class Relations:
         return marts.dim_weather(self.weather_data(), LOADED_AT)
 
     def dim_date(self):
-        from transitlake.functions.calendar import date_dimension_over
-
         days = self.calendar_dates()
         return marts.dim_date(date_dimension_over(days, "date"), days, LOADED_AT)
 
@@ -265,8 +265,6 @@ class Relations:
 
     def stop_locations(self):
         # the newest version of each stop, so that a window meets one location
-        from transitlake.operators.dedupe import latest_per_key
-
         return stop_locations(latest_per_key(self.raw("stops"), ["id"], "ingested_at"))
 
 
@@ -422,7 +420,9 @@ _KPI_AGGREGATES = """round(avg(average_speed_kmh), 6) AS average_speed_kmh,
 
 def _kpis(spark, folder, by, grouping="plain"):
     r = Relations(spark, folder)
-    return kpis.trip_kpis(r.fact_trips(), r.dim_routes(), r.dim_date(), by, grouping)
+    routes = r.dim_routes()
+    fact = marts.fact_trips(r.stop_times(), r.trips(), routes, r.calendar_dates())
+    return kpis.trip_kpis(fact, routes, r.dim_date(), by, grouping)
 
 
 @query(
