@@ -149,3 +149,18 @@ def test_partitioned_write_and_existence(spark, tmp_path):
     tables.write(rows, target, "overwrite", ["part"])
     assert tables.exists(spark, target)
     assert tables.read(spark, target, rows.schema).where("part = 1").count() == 33
+
+
+def test_archive_readers_need_no_package_on_executors(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(archives._read_members))
+    code = "import pickle; f = pickle.load(open('f', 'rb')); print(list(f(iter([]))))"
+    # isolated mode: neither this folder nor PYTHONPATH is searched
+    done = subprocess.run(
+        [sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120
+    )
+    assert done.stdout.strip() == "[]", done.stderr

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The readers below run on executors, where this package need not be installed:
+# they are shipped with the task instead of being imported there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LINES_PER_BATCH = 50_000
 
 # The members taken from a feed bundle.
