@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitlake.llm import piece_encoding, url_reputation
+from transitlake.llm import piece_encoding, url_reputation, warc_bundles
 from transitlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,21 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@query(
+    "op1_warc_bundles",
+    """WITH p AS (SELECT page_id, sha256(encode(coalesce(html, ''))) AS payload_digest,
+                         octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+            f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+       SELECT page_id, payload_bytes, payload_digest,
+              CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit'
+                   ELSE 'response' END AS record_type,
+              CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+       FROM f""",
+)
+def op1_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_bundles.archive_query(table(spark, folder, "pages"))
+
+
 # The rules the contract gives.
 URL_RULES = (
     ("com", "/", "allow"),
