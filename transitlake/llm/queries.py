@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitlake.llm import piece_encoding, url_reputation, warc_bundles
+from transitlake.llm import (
+    edit_decontamination,
+    line_templates,
+    piece_encoding,
+    url_reputation,
+    warc_bundles,
+)
 from transitlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +52,13 @@ def op1_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return warc_bundles.archive_query(table(spark, folder, "pages"))
 
 
+@query("op2_edit_decontamination")
+def op2_edit_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return edit_decontamination.find_leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 # The rules the contract gives.
 URL_RULES = (
     ("com", "/", "allow"),
@@ -69,3 +82,8 @@ def op3_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_piece_encoding")
 def op5_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return piece_encoding.digest_query(table(spark, folder, "documents"), piece_model())
+
+
+@query("op6_line_templates")
+def op6_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return line_templates.dedup_query(table(spark, folder, "documents"))
