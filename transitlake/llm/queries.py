@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from transitlake.llm import (
     edit_decontamination,
     line_templates,
+    ngram_quality,
     piece_encoding,
     url_reputation,
     warc_bundles,
@@ -87,3 +88,10 @@ def op5_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_line_templates")
 def op6_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     return line_templates.dedup_query(table(spark, folder, "documents"))
+
+
+@query("op10_ngram_quality")
+def op10_ngram_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    judged = ngram_quality.judge(docs, table(spark, folder, "labels"))
+    return judged.select("doc_id", "lang", "perplexity", "threshold", "kept")
