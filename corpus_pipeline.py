@@ -5,14 +5,59 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from transitlake.llm import (
+    edit_decontamination,
+    hamming_near_dup,
+    line_templates,
+    ngram_quality,
+    piece_encoding,
+)
 from transitlake.llm.common import stored, table
+from transitlake.llm.queries import piece_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
-# Scoring, template trees and signatures have no SQL form.
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity is usual for trusted text of their language stay."""
+    return ngram_quality.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of templates that recur across documents go; n_chars follows the text."""
+    kept = line_templates.own_lines(docs)
+    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return kept.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: that of the smallest id."""
+    return hamming_near_dup.first_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return edit_decontamination.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every whole text."""
+    return piece_encoding.encode_decode(
+        docs, piece_model(), carry=["doc_id", "lang", "source"]
+    ).drop("decoded")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
+]
+
+# Scores, template trees and signatures have no SQL form.
 ORACLE_SQL = None
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from transitlake.llm import (
     edit_decontamination,
+    hamming_near_dup,
     line_templates,
     ngram_quality,
     piece_encoding,
@@ -95,3 +96,8 @@ def op10_ngram_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     judged = ngram_quality.judge(docs, table(spark, folder, "labels"))
     return judged.select("doc_id", "lang", "perplexity", "threshold", "kept")
+
+
+@query("op8_hamming_near_dup")
+def op8_hamming_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    return hamming_near_dup.near_duplicates(table(spark, folder, "documents"))
