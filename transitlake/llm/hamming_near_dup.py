@@ -31,7 +31,9 @@ CHUNK = 4
 # At the similarity limit a value differs with probability 1/4: 16 of 64 on average,
 # more than MOST_APART in one pair of 100,000.
 MOST_APART = 2 * (HASHES // CHUNK) - 1
-BLOCK = 256
+# Nodes of one block under a key, and how many hashes of a set travel with a node.
+BLOCK = 1024
+SKETCHED = 512
 SKETCH = "doc_id bigint, node binary, n_shingles bigint, signature binary"
 
 _rng = np.random.default_rng(20240)
@@ -148,68 +150,150 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
-    """The pairs (a, b) of nodes that are links; the sets come from the texts anew."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(
-        pairs.select(F.col("b").alias("node"))
-    ).distinct()
+def full_sets(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes in ``pairs``, from the texts anew."""
+    wanted = (
+        pairs.select(F.col("a").alias("node"))
+        .unionByName(pairs.select(F.col("b").alias("node")))
+        .distinct()
+    )
     # one document of each node
     places = nodes.join(wanted, "node", "left_semi").select(F.col("text_id").alias("__id")).distinct()
     texts = docs.join(places, docs["doc_id"].eqNullSafe(places["__id"]), "left_semi")
     # rows that repeat a doc_id may hold other texts; those of no wanted node meet no pair
-    sets = stored(
+    return stored(
         texts.mapInArrow(_sets, "node binary, shingles binary").dropDuplicates(["node"]), "sets"
     )
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
+    """The pairs (a, b) of nodes that are links by their full sets."""
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
     return stored(both.mapInArrow(_confirm(limit), "a binary, b binary"), "links")
 
 
-def _blocked_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components within the distance, from rows sorted by block pair."""
-    held: list[tuple] = []
-    at = None
-
-    def pairs(rows: list[tuple]) -> list[tuple]:
-        sig = np.frombuffer(b"".join([r[3] for r in rows]), np.uint16).reshape(-1, HASHES)
-        names: dict[bytes, int] = {}
-        label = np.array([names.setdefault(r[2], len(names)) for r in rows])
-        side = np.array([r[0] for r in rows])
-        out = []
-        for i in range(len(rows) - 1):
-            # both rows of a block with itself, or one of each of two blocks
-            apart = (sig[i + 1 :] != sig[i]).sum(axis=1)
-            ok = (apart <= MOST_APART) & (label[i + 1 :] != label[i])
-            if side.any():
-                ok &= side[i + 1 :] != side[i]
-            for j in np.flatnonzero(ok) + i + 1:
-                out.append(tuple(sorted((rows[i][1], rows[j][1]), reverse=True)))
-        return out
-
-    def batch_of(found) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.binary())],
-            names=["a", "b"],
+def _least_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each node its size and its SKETCHED least mixed hashes (32 bits, sorted)."""
+    for batch in batches:
+        sizes, least = [], []
+        for raw in batch.column("shingles").to_pylist():
+            h = np.sort((np.frombuffer(raw, np.uint64) >> np.uint64(16)).astype(np.uint32))
+            sizes.append(len(h))
+            least.append(h[:SKETCHED].tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array(sizes, pa.int64()), pa.array(least, pa.binary())],
+            names=["node", "size", "least_hashes"],
         )
 
-    for batch in batches:
-        found: list[tuple] = []
-        columns = [batch.column(c).to_pylist() for c in
-                   ("key", "low", "high", "side", "node", "component", "signature")]
-        for key, low, high, *row in zip(*columns, strict=True):
-            if (key, low, high) != at:
-                if len(held) > 1:
-                    found += pairs(held)
-                held, at = [], (key, low, high)
-            held.append(tuple(row))
-        yield batch_of(list(dict.fromkeys(found)))
-    if len(held) > 1:
-        yield batch_of(list(dict.fromkeys(pairs(held))))
-
-
-def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Candidate pairs between components that share a key."""
+
+def _first_shared(sig: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many values differ, and the number of the first key that is shared."""
+    same = others == sig
+    apart = HASHES - same.sum(axis=1)
+    chunks = same.reshape(len(others), -1, CHUNK)
+    misses = CHUNK - chunks.sum(axis=2)
+    chunk = (misses <= 1).argmax(axis=1)
+    row = np.arange(len(others))
+    open_ = np.where(misses[row, chunk] == 0, 0, chunks[row, chunk].argmin(axis=1))
+    return apart, chunk * CHUNK + open_
+
+
+def _similarity(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> tuple[float, float]:
+    """Similarity of two sets by their least hashes, and its standard error (0: exact)."""
+    both = np.intersect1d(x, y)
+    if nx <= SKETCHED and ny <= SKETCHED:
+        return len(both) / (nx + ny - len(both)), 0.0
+    union = np.union1d(x, y)[:SKETCHED]
+    j = np.searchsorted(both, union[-1], "right") / len(union)
+    return j, (0.1875 / len(union)) ** 0.5
+
+
+class _Groups:
+    """Which rows of a block are known to belong together."""
+
+    def __init__(self, names: list[bytes]):
+        number: dict[bytes, int] = {}
+        self.label = np.array([number.setdefault(n, len(number)) for n in names])
+
+    def join(self, i: int, j: int) -> None:
+        self.label[self.label == self.label[j]] = self.label[i]
+
+
+def _linked_in_block(
+    key: int, two_blocks: bool, rows: list[tuple], limit: float
+) -> list[tuple[bytes, bytes]]:
+    """Links across components among the rows (side, node, component, signature, size,
+    least hashes) under one key. A pair counts under the first key it shares only."""
+    sig = np.frombuffer(b"".join([r[3] for r in rows]), np.uint16).reshape(-1, HASHES)
+    side = np.array([r[0] for r in rows])
+    size = np.array([r[4] for r in rows])
+    groups = _Groups([r[2] for r in rows])
+    if len(set(groups.label.tolist())) < 2:
+        return []
+    place = key >> (16 * (CHUNK - 1))
+    sets: dict[int, np.ndarray] = {}
+    out = []
+    for i in range(len(rows) - 1):
+        rest = np.arange(i + 1, len(rows))
+        ok = (groups.label[rest] != groups.label[i]) & (
+            100 * np.minimum(size[rest], size[i]) >= limit * np.maximum(size[rest], size[i])
+        )
+        if two_blocks:
+            ok &= side[rest] != side[i]
+        rest = rest[ok]
+        if not len(rest):
+            continue
+        apart, first = _first_shared(sig[i], sig[rest])
+        for j in rest[(apart <= MOST_APART) & (first == place)].tolist():
+            if groups.label[i] == groups.label[j]:
+                continue
+            for k in (i, j):
+                if k not in sets:
+                    sets[k] = np.frombuffer(rows[k][5], np.uint32)
+            s, error = _similarity(sets[i], size[i], sets[j], size[j])
+            if 100 * (s + 5 * error) + 1e-9 < limit:
+                continue
+            out.append((max(rows[i][1], rows[j][1]), min(rows[i][1], rows[j][1])))
+            if 100 * (s - 5 * error) >= limit:
+                groups.join(i, j)
+    return out
+
+
+def _blocked_links(limit: int):
+    columns = ("key", "low", "high", "side", "node", "component", "signature", "size", "least_hashes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Candidate links from rows sorted by key and pair of blocks."""
+        held: list[tuple] = []
+        at = None
+
+        def batch_of(found) -> pa.RecordBatch:
+            a, b = zip(*found) if found else ((), ())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"]
+            )
+
+        for batch in batches:
+            found: list[tuple] = []
+            for key, low, high, *row in zip(*[batch.column(c).to_pylist() for c in columns], strict=True):
+                if (key, low, high) != at:
+                    if len(held) > 1:
+                        found += _linked_in_block(at[0], at[1] != at[2], held, limit)
+                    held, at = [], (key, low, high)
+                held.append(tuple(row))
+            yield batch_of(found)
+        if len(held) > 1:
+            yield batch_of(_linked_in_block(at[0], at[1] != at[2], held, limit))
+
+    return run
+
+
+def _across(
+    members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, limit: int
+) -> DataFrame:
+    """Candidate links between components that share a key."""
     tagged = stored(
         members.where("n > 2")
         .join(labels, "node", "left")
@@ -222,9 +306,12 @@ def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFram
         .where("x != y")
         .select("key")
     )
+    facts = sets.mapInArrow(_least_hashes, "node binary, size bigint, least_hashes binary").join(
+        nodes.select("node", "signature"), "node"
+    )
     rows = (
         tagged.join(mixed, "key", "left_semi")
-        .join(nodes.select("node", "signature"), "node")
+        .join(facts, "node")
         .withColumn("blocks", F.expr(f"cast(ceil(n / {BLOCK}D) as int)"))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
         # once with each block, itself included; side tells the two apart
@@ -237,10 +324,12 @@ def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFram
             "node",
             "component",
             "signature",
+            "size",
+            "least_hashes",
         )
     )
     dealt = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return dealt.mapInArrow(_blocked_pairs, "a binary, b binary").distinct()
+    return dealt.mapInArrow(_blocked_links(limit), "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, limit: int = 75) -> DataFrame:
@@ -279,12 +368,12 @@ def near_duplicates(docs: DataFrame, limit: int = 75) -> DataFrame:
     members = stored(keys.join(least, "key"), "members")
     star = members.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     star = stored(star.distinct(), "star")
-    links = confirmed(star, docs, nodes, limit)
+    sets = full_sets(star, docs, nodes)
+    links = confirmed(star, sets, limit)
     labels = components(links)
-    more = stored(_across(members, labels, nodes).join(star, ["a", "b"], "left_anti"), "across")
+    more = stored(_across(members, labels, nodes, sets, limit), "across")
     if more.limit(1).count():
-        links = links.unionByName(confirmed(more, docs, nodes, limit))
-        labels = components(links)
+        labels = components(links.unionByName(confirmed(more, sets, limit)))
     tagged = sketches.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )

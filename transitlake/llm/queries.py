@@ -12,6 +12,7 @@ from transitlake.llm import (
     hamming_near_dup,
     line_templates,
     ngram_quality,
+    order_minhash,
     piece_encoding,
     url_reputation,
     warc_bundles,
@@ -101,3 +102,8 @@ def op10_ngram_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_hamming_near_dup")
 def op8_hamming_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return hamming_near_dup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op4_order_minhash")
+def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.with_next(table(spark, folder, "documents"))
