@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from transitlake.llm import (
     edit_decontamination,
     hamming_near_dup,
+    license_scan,
     line_templates,
     ngram_quality,
     order_minhash,
@@ -107,3 +108,8 @@ def op8_hamming_near_dup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_order_minhash")
 def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.with_next(table(spark, folder, "documents"))
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"))
