@@ -15,6 +15,7 @@ from transitlake.llm import (
     ngram_quality,
     order_minhash,
     piece_encoding,
+    run_length_index,
     url_reputation,
     warc_bundles,
 )
@@ -113,3 +114,8 @@ def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_license_scan")
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents"))
+
+
+@query("op7_run_length_index")
+def op7_run_length_index(spark: SparkSession, folder: str) -> DataFrame:
+    return run_length_index.remove_repeats(table(spark, folder, "documents"), digests=True)
