@@ -1,7 +1,8 @@
 """Line dedup by a tree of log templates.
 
 A line goes down a tree of fixed depth: by its number of tokens, then by its leading
-tokens, where a token with a digit counts as a field and matches any other. In a leaf,
+tokens, where a token with a digit counts as a field and matches any other (unless
+most tokens are such, as in a table of numbers, which stays as it is). In a leaf,
 a template fixes the rest of the tokens but for one stretch: the rest is cut into
 ``stretches`` parts, and a long line belongs to each template that leaves one part
 open. Lines of one leaf that agree outside a part thus share a template, which is the
@@ -30,10 +31,13 @@ KEYS = "doc_id bigint, template bigint"
 
 def template_keys(line: str, depth: int, stretches: int, longest_exact: int) -> list[int]:
     """Keys of the templates that a line belongs to; none for a blank line."""
-    tokens = FIELD.sub(OPEN, line).split()
+    tokens = line.split()
     n = len(tokens)
     if not n:
         return []
+    general = FIELD.sub(OPEN, line).split()
+    if 2 * general.count(OPEN) <= n:
+        tokens = general
     if n <= longest_exact:
         return [_key(f"{n}\x00" + " ".join(tokens))]
     ends = [depth + (n - depth) * i // stretches for i in range(stretches + 1)]

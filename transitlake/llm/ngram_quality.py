@@ -232,7 +232,9 @@ def judge(
     ``docs`` has doc_id, text and lang, all columns come back; ``labels`` has doc_id,
     quality and toxic. Trusted text: documents all of whose labels say quality 1 and
     not toxic. The model is trained on all of it; a document is kept when its
-    perplexity is at most the ``quantile`` of the trusted documents of its language.
+    perplexity is at most the ``quantile`` of the trusted documents of its language,
+    each of which is measured by a model of the half that it is not in, since a text
+    looks better to a model that has read it.
     A language without trusted documents takes the quantile over all languages;
     without any trusted document all are kept.
 
@@ -244,14 +246,22 @@ def judge(
     """
     names = [c for c in docs.columns if c not in ("perplexity", "threshold", "kept")]
     docs = docs.select(*names)
-    good = trusted_ids(labels)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("__trusted"), whole_text().alias("text"))
-    trusted = stored(texts.join(good, "__trusted", "left_semi").select("text"), "trusted")
-    model = train(trusted, alphabet, order)
-    losses = scored(docs.select("doc_id", "lang", "text"), model).select(
-        F.col("doc_id").cast("bigint").alias("__trusted"), "lang", "__loss"
+    texts = docs.select(
+        F.col("doc_id").cast("bigint").alias("__trusted"), "lang", whole_text().alias("text")
     )
-    limits = stored(thresholds(losses.join(good, "__trusted", "left_semi"), quantile), "thresholds")
+    # copies of a text fall in one half
+    half = F.pmod(F.xxhash64("text"), F.lit(2)).alias("half")
+    trusted = stored(
+        texts.join(trusted_ids(labels), "__trusted", "left_semi").select("lang", half, "text"),
+        "trusted",
+    )
+    model = train(trusted.select("text"), alphabet, order)
+    unseen = None
+    for k in (0, 1):
+        other = train(trusted.where(F.col("half") != k).select("text"), alphabet, order)
+        losses = scored(trusted.where(F.col("half") == k).select("lang", "text"), other)
+        unseen = losses if unseen is None else unseen.unionByName(losses)
+    limits = stored(thresholds(unseen.select("lang", "__loss"), quantile), "thresholds")
     rows = scored(docs, model)
     own = limits.where("not __all").select("__lang", "__most")
     overall = limits.where("__all").agg(F.max("__most").alias("__overall")).first()[0]

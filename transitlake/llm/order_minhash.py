@@ -131,6 +131,8 @@ def _with_piece(df: DataFrame, borders: list[float]) -> DataFrame:
     """``__piece``: how many borders are at or below the key."""
     from pyspark.ml.feature import Bucketizer
 
+    if not borders:
+        return df.withColumn("__piece", F.lit(0))
     cut = Bucketizer(
         splits=[float("-inf"), *borders, float("inf")], inputCol="__wide", outputCol="__piece"
     )
