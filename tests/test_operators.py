@@ -13,7 +13,7 @@ from transitlake.operators import quality
 from transitlake.operators.dedupe import endpoints_per_key, latest_per_key
 from transitlake.operators.filters import recent_slice
 from transitlake.operators import incremental
-from transitlake.operators.incremental import choose_mode, load_table, new_or_changed
+from transitlake.operators.incremental import load_table, new_or_changed
 from transitlake.operators.joins import array_member_fold, array_member_left, unnest
 from transitlake.operators.sequence import previous_value
 
@@ -167,19 +167,6 @@ def test_row_difference_property(spark, incoming, stored):
 NOW = datetime(2024, 5, 1, 12)
 
 
-@pytest.mark.parametrize(
-    "exists,rows,age_h,mode",
-    [
-        (False, 0, 0, "all"),
-        (True, 299_999, 100, "diff"),
-        (True, 300_000, 22, "append"),
-        (True, 300_000, 24, "replace"),
-    ],
-)
-def test_choose_mode(exists, rows, age_h, mode):
-    assert choose_mode(exists, rows, NOW - timedelta(hours=age_h), NOW) == mode
-
-
 def test_load_table_is_idempotent(spark, tmp_path):
     target = str(tmp_path / "t")
     first = spark.createDataFrame(
@@ -195,19 +182,6 @@ def test_load_table_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(target).count() == 4
 
 
-def test_load_table_by_size(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(incremental.choose_mode, "__defaults__", (3, 23))
-    target = str(tmp_path / "t")
-    rows = spark.range(3)
-    load_table(spark, rows, target, now=NOW)
-    assert load_table(spark, rows, target, "by_size", NOW + timedelta(hours=1)) == "append"
-    assert spark.read.parquet(target).count() == 6
-    assert load_table(spark, rows, target, "by_size", NOW + timedelta(hours=24)) == "replace"
-    assert spark.read.parquet(target).count() == 3
-    with pytest.raises(ValueError):
-        load_table(spark, rows, target, "other")
-
-
 def test_load_named_table(spark):
     spark.sql("DROP TABLE IF EXISTS loaded")
     rows = spark.createDataFrame([(1, "a"), (2, None)], "i int, t string")
@@ -215,7 +189,7 @@ def test_load_named_table(spark):
     assert load_table(spark, rows, "loaded", now=NOW) == "diff"
     assert spark.table("loaded").count() == 2
     more = spark.createDataFrame([(1, "b")], "i int, t string")
-    load_table(spark, more, "loaded", "by_size", NOW)
+    load_table(spark, more, "loaded", NOW)
     assert spark.table("loaded").count() == 3
     spark.sql("DROP TABLE loaded")
 
@@ -250,3 +224,12 @@ def test_quality_checks(spark):
     assert quality.require(rows, [quality.Check("minimum_value", "v", -5)], "rows")
     with pytest.raises(ValueError):
         quality.Check("odd", "k").failing(rows)
+
+
+def test_copies_are_restored_by_many_tasks(spark):
+    rows = spark.range(3_000_000).select(F.lit("same").alias("t"))
+    none = spark.createDataFrame([], "t string")
+    fresh = new_or_changed(rows, none)
+    tasks = fresh.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert sum(r["count"] for r in tasks) == 3_000_000
+    assert len(tasks) > 1

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transitlake import schemas
 from transitlake.sources import archives, files, landing, tables
@@ -164,3 +165,32 @@ def test_archive_readers_need_no_package_on_executors(tmp_path):
         [sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120
     )
     assert done.stdout.strip() == "[]", done.stderr
+
+
+def test_parts_are_numbered_and_nothing_else(spark, tmp_path):
+    for name in ("stops", "stops1", "stops12", "stops1_backup", "bus_stops"):
+        (tmp_path / f"{name}.csv").write_text(f"stop_id\n{name}\n")
+    found = {r.stop_id for r in files.read_csv_feed(spark, str(tmp_path), "stops").collect()}
+    assert found == {"stops", "stops1", "stops12"}
+
+
+def test_envelope_or_plain_array(spark, tmp_path):
+    schema = T.StructType.fromDDL("day string, t string")
+    (tmp_path / "a.json").write_text('{"data": [{"day": "d1", "t": "1"}, {"day": "d2", "t": "2"}]}')
+    (tmp_path / "b.json").write_text('[{"day": "d3", "t": "3"}]')
+    for name, days in (("a", {"d1", "d2"}), ("b", {"d3"})):
+        got = files.read_enveloped_json(spark, str(tmp_path / f"{name}.json"), "data", schema)
+        assert {r.day for r in got.collect()} == days
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from transitlake.session import ensure_checkpoint_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context
+    )
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(session)

@@ -14,6 +14,7 @@ from transitlake.streaming.pings import (
     run,
     vehicle_windows,
     with_event_time,
+    work_off,
     write_windows,
 )
 
@@ -146,3 +147,18 @@ def test_job_works_off_what_is_there(spark, tmp_path):
     write_files(tmp_path / "in", [[ping(0)], [ping(900)], [ping(1800)]])
     job.main([f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp", "0"])
     assert spark.read.parquet(f"{tmp_path}/out").count() > 0
+
+
+def test_backlog_of_overlapping_files_keeps_every_window(spark, tmp_path):
+    rows = [
+        (str(v), f"{v}-0", 1_704_067_200 + 30 * k) for v in range(3) for k in range(120)
+    ]
+    pings = spark.createDataFrame(rows, "id string, trip_id string, timestamp long")
+    # every file holds times of the whole hour
+    pings.repartition(6).write.json(f"{tmp_path}/in")
+    windows = vehicle_windows(read_pings(spark, f"{tmp_path}/in"))
+    work_off(write_windows(windows, f"{tmp_path}/out", f"{tmp_path}/ck", trigger=None))
+    batch = vehicle_windows(spark.read.schema(PING).json(f"{tmp_path}/in"))
+    last = 1_704_067_200 + 30 * 119
+    closed = batch.where(f"unix_timestamp(window.end) <= {last - 180}").count()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == closed > 0

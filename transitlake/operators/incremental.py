@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,6 +116,10 @@ def _as_record(
     return record.withColumn("_digest", F.xxhash64("_record"))
 
 
+def _shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _restore_copies(df: DataFrame) -> DataFrame:
     """Repeat each row ``_copies`` times.
 
@@ -126,7 +130,8 @@ def _restore_copies(df: DataFrame) -> DataFrame:
     one = F.lit(1).cast("bigint")
     last = F.ceil(F.col("_copies") / COPIES_PER_BLOCK).cast("bigint")
     blocks = df.withColumn("_block", F.explode(F.sequence(one, last)))
-    blocks = blocks.repartition("_digest", "_block")
+    # an explicit number: the few bytes of the blocks would else be merged into one task
+    blocks = blocks.repartition(_shuffle_partitions(df.sparkSession), "_digest", "_block")
     size = F.least(
         F.lit(COPIES_PER_BLOCK).cast("bigint"),
         F.col("_copies") - (F.col("_block") - 1) * COPIES_PER_BLOCK,
@@ -134,24 +139,6 @@ def _restore_copies(df: DataFrame) -> DataFrame:
     return blocks.withColumn("_n", F.explode(F.sequence(one, size)))
 
 
-def choose_mode(
-    exists: bool,
-    rows: int,
-    created: datetime | None,
-    now: datetime,
-    max_rows: int = MAX_COMPARE_ROWS,
-    max_age_h: int = MAX_AGE_HOURS,
-) -> str:
-    """What to do with a load: ``all``, ``diff``, ``replace`` or ``append``."""
-    if not exists:
-        return "all"
-    if rows < max_rows:
-        return "diff"
-    if created is not None and created < now - timedelta(hours=max_age_h):
-        return "replace"
-    return "append"
-
-
 def choose_mode_column(
     rows: Column,
     created: Column,
@@ -159,7 +146,11 @@ def choose_mode_column(
     max_rows: int = MAX_COMPARE_ROWS,
     max_age_h: int = MAX_AGE_HOURS,
 ) -> Column:
-    """:func:`choose_mode` over a table of tables; NULL ``rows`` means missing."""
+    """What a size-bound load would do with each of a table of tables.
+
+    Reported for comparison only; :func:`load_table` always compares. NULL ``rows``
+    means missing.
+    """
     too_old = created < now - F.make_dt_interval(F.lit(0), F.lit(max_age_h))
     return (
         F.when(rows.isNull(), "all")
@@ -170,42 +161,19 @@ def choose_mode_column(
 
 
 def load_table(
-    spark: SparkSession,
-    incoming: DataFrame,
-    target: str,
-    policy: str = "diff",
-    now: datetime | None = None,
+    spark: SparkSession, incoming: DataFrame, target: str, now: datetime | None = None
 ) -> str:
-    """Append ``incoming`` to a stored table (path or name); returns the mode used.
+    """Append what is new in ``incoming`` to a stored table (path or name).
 
-    ``diff`` always compares, at any size, because the comparison is a join.
-    ``by_size`` follows :func:`choose_mode`, with the oldest load stamp as the
-    table's age.
+    The comparison is a join and is made at any size. Returns ``diff``, or ``all``
+    for the first load.
     """
-    if policy not in ("diff", "by_size"):
-        raise ValueError(f"unknown policy {policy!r}")
     incoming = compact_arrays(incoming)
     mode = "diff" if tables.exists(spark, target) else "all"
-    if mode == "diff" and policy == "by_size":
-        mode = _mode_by_size(spark, target, now)
     if mode == "diff":
         # the schema is known, so no footer is opened to infer one, and files
         # written before a column existed give NULL for it
         stored = tables.read(spark, target, incoming.drop("ingested_at").schema)
         incoming = new_or_changed(incoming, stored)
-    stamped = with_ingested_at(incoming, now)
-    tables.write(stamped, target, "overwrite" if mode == "replace" else "append")
+    tables.write(with_ingested_at(incoming, now), target, "append")
     return mode
-
-
-def _mode_by_size(spark: SparkSession, target: str, now: datetime | None) -> str:
-    stamps = tables.read(
-        spark, target, T.StructType([T.StructField("ingested_at", T.TimestampType())])
-    )
-    rows, created = stamps.agg(
-        F.count(F.lit(1)), F.unix_seconds(F.min("ingested_at"))
-    ).first()
-    clock = now or datetime.now(timezone.utc).replace(tzinfo=None)
-    if created is not None:
-        created = datetime.fromtimestamp(created, timezone.utc).replace(tzinfo=None)
-    return choose_mode(True, rows, created, clock)

@@ -9,11 +9,14 @@ landed in FEEDS.
 
 from __future__ import annotations
 
+import os
 import sys
 
-from transitlake.plans import refresh
-from transitlake.session import build
-from transitlake.sources.archives import land_bundle
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from transitlake.plans import refresh  # noqa: E402
+from transitlake.session import build  # noqa: E402
+from transitlake.sources.archives import land_bundle  # noqa: E402
 
 
 def main(argv: list[str]) -> refresh.Outcome:

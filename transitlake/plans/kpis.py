@@ -41,10 +41,11 @@ def trip_kpis(
 ) -> DataFrame:
     """Trips, kilometres, travel minutes and average speed by any dimension columns.
 
-    A trip counts once per day, also where the day is unknown. Each (group, trip,
-    day) is first brought to one record, which also spreads a large group over
-    many tasks before its total is formed. Rows already placed by trip, as a
-    freshly built fact is, are not moved for that step.
+    A trip counts once per day and group, with its distance, minutes and speed, also
+    where the day is unknown or the trip has several fact rows (one per version of
+    its route). Each (group, trip, day) is first brought to one record, in a roll-up
+    once for every level; this also spreads a large group over many tasks before its
+    total is formed.
     """
     if grouping not in GROUPINGS:
         raise ValueError(f"unknown grouping {grouping!r}")
@@ -66,12 +67,26 @@ def trip_kpis(
         minutes.alias("minutes"),
         F.col("average_speed_kmh").alias("speed"),
     )
-    grouped = {"plain": rows.groupBy, "rollup": rows.rollup, "cube": rows.cube}[grouping](*by)
-    return grouped.agg(
-        F.avg("speed").alias("average_speed_kmh"),
-        F.count_distinct("run_trip", "run_day").alias("number_of_trips"),
-        F.sum("km").alias("km_travelled"),
-        F.sum("minutes").alias("travel_minutes"),
+    once = [F.max(c).alias(c) for c in ("km", "minutes", "speed")]
+    if grouping == "plain":
+        runs = rows.groupBy(*by, "run_trip", "run_day").agg(*once).withColumn("_level", F.lit(0))
+    else:
+        names = ", ".join(f"`{c}`" for c in by)
+        runs = rows.sparkSession.sql(
+            f"""select {names}, grouping_id({names}) as _level, run_trip, run_day,
+                       max(km) as km, max(minutes) as minutes, max(speed) as speed
+                from {{rows}} group by run_trip, run_day, {grouping}({names})""",
+            rows=rows,
+        )
+    return (
+        runs.groupBy(*by, "_level")
+        .agg(
+            F.avg("speed").alias("average_speed_kmh"),
+            F.count("run_trip").alias("number_of_trips"),
+            F.sum("km").alias("km_travelled"),
+            F.sum("minutes").alias("travel_minutes"),
+        )
+        .drop("_level")
     )
 
 

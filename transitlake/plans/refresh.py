@@ -17,7 +17,7 @@ from transitlake.operators.quality import Check, QualityError, run_suite
 from transitlake.plans import marts, staging, suites
 from transitlake.session import use_utc
 from transitlake.sources import tables
-from transitlake.sources.files import read_csv_feed, read_json_array
+from transitlake.sources.files import read_csv_feed, read_enveloped_json, read_json_array
 
 
 # Staging relations with far fewer rows than the feed they come from.
@@ -32,12 +32,15 @@ class Outcome:
     failures: dict[str, dict[tuple[str, str], int]] = field(default_factory=dict)
 
 
+# Feeds whose records are the array under a field of the document.
+ENVELOPES = {"weather_data": "data"}
+
+
 def load_raw(
     spark: SparkSession,
     feed_folder: str,
     raw_root: str,
     feeds: Sequence[str] | None = None,
-    policy: str = "diff",
     now: datetime | None = None,
 ) -> dict[str, str]:
     """Append what is new in a day's feed files to the raw tables."""
@@ -46,9 +49,12 @@ def load_raw(
         kind, schema = schemas.FEEDS[name]
         if kind == "csv":
             incoming = read_csv_feed(spark, feed_folder, name, schema)
+        elif name in ENVELOPES:
+            path = f"{feed_folder}/{name}.json"
+            incoming = read_enveloped_json(spark, path, ENVELOPES[name], schema)
         else:
             incoming = read_json_array(spark, f"{feed_folder}/{name}.json", schema)
-        modes[name] = load_table(spark, incoming, f"{raw_root}/{name}", policy, now)
+        modes[name] = load_table(spark, incoming, f"{raw_root}/{name}", now)
     return modes
 
 

@@ -6,7 +6,7 @@ beside it (``*_s``) for the models that calculate with it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlake.functions import gtfs_time as gt
@@ -203,9 +203,14 @@ def routes(
     )
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as text, to decide between versions with one stamp."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]))
+
+
 def lines(raw: DataFrame) -> DataFrame:
     """Latest version of every line."""
-    return latest_per_key(raw, ["id"], "ingested_at").select(
+    return latest_per_key(raw, ["id"], "ingested_at", [whole_row(raw)]).select(
         F.col("id").alias("line_id"),
         F.col("long_name").alias("line_name"),
         F.col("routes").alias("list_routes"),
@@ -215,7 +220,7 @@ def lines(raw: DataFrame) -> DataFrame:
 
 def stops(raw: DataFrame) -> DataFrame:
     """Latest version of every stop."""
-    return latest_per_key(raw, ["id"], "ingested_at").select(
+    return latest_per_key(raw, ["id"], "ingested_at", [whole_row(raw)]).select(
         "stop_id",
         F.col("name").alias("stop_name"),
         "municipality_id",
@@ -236,7 +241,7 @@ def trips(raw: DataFrame) -> DataFrame:
 
 def weather_data(raw: DataFrame) -> DataFrame:
     """Latest forecast of every day, codes spelled out."""
-    return latest_per_key(raw, ["dataPrevisao"], "dataAtualiza").select(
+    return latest_per_key(raw, ["dataPrevisao"], "dataAtualiza", [whole_row(raw)]).select(
         F.try_to_date("dataPrevisao", "yyyy-MM-dd").alias("date"),
         F.col("tMax").try_cast("double").alias("max_temperature"),
         F.col("tMin").try_cast("double").alias("min_temperature"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -66,8 +67,8 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a test on one machine) is a temporary
-    folder used instead.
+    Where that setting is absent, a temporary folder is used on a ``local[...]``
+    master, and any other master is an error.
     """
     return os.path.join(ensure_checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
@@ -76,6 +77,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder, set where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="transitlake-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)

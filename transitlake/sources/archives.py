@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LINES_PER_BATCH = 50_000
+MOST_READERS = 10_000
 
 # The members taken from a feed bundle.
 BUNDLE_MEMBERS = (
@@ -54,7 +55,9 @@ def _pairs(spark: SparkSession, zip_glob: str, members: Sequence[str]) -> DataFr
     archives = spark.read.format("binaryFile").load(zip_glob).select("path")
     wanted = F.array(*[F.lit(m) for m in members])
     pairs = archives.select("path", F.explode(wanted).alias("member"))
-    return pairs.repartition("path", "member")
+    # an explicit number: paths are a few bytes, and would else be merged into one task
+    pairs_there = archives.count() * len(members)
+    return pairs.repartition(max(1, min(pairs_there, MOST_READERS)), "path", "member")
 
 
 def _open(path: str):

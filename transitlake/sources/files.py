@@ -13,7 +13,9 @@ def feed_paths(folder: str, name: str, extension: str) -> str:
     ``dates`` matches ``dates.csv`` and ``dates1.csv`` but not
     ``calendar_dates.csv``.
     """
-    return f"{folder.rstrip('/')}/{name}{{,[0-9]*}}.{extension}"
+    # up to six digits, each spelled out: "[0-9]*" would take any name after a digit
+    parts = ",".join("[0-9]" * n for n in range(7))
+    return f"{folder.rstrip('/')}/{name}{{{parts}}}.{extension}"
 
 
 def project_to(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -52,13 +54,23 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def _any_value(schema: T.StructType):
+    return F.coalesce(*[F.col(f"`{f.name}`").cast("string") for f in schema.fields]).isNotNull()
+
+
 def read_enveloped_json(
     spark: SparkSession, path: str, field: str, schema: T.StructType
 ) -> DataFrame:
-    """Records of the array under ``field`` of each JSON document."""
+    """Records of the array under ``field`` of each JSON document.
+
+    A document that is a plain array of records is taken as such (records that are
+    all null aside).
+    """
     envelope = T.StructType([T.StructField(field, T.ArrayType(schema))])
     documents = spark.read.schema(envelope).option("multiLine", True).json(path)
-    return documents.select(F.inline(F.col(field)))
+    enveloped = documents.select(F.inline(F.col(field)))
+    # a document that is the plain array gives its records without the field
+    return enveloped.unionByName(read_json_array(spark, path, schema).where(_any_value(schema)))
 
 
 def stop_locations(stops: DataFrame) -> DataFrame:

@@ -8,10 +8,21 @@ checkpoint folder carries the stream across runs.
 
 from __future__ import annotations
 
+import os
 import sys
 
-from transitlake.session import build, use_utc
-from transitlake.streaming.pings import TRIGGER, read_pings, run, vehicle_windows, write_windows
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from transitlake.session import build, use_utc  # noqa: E402
+from transitlake.streaming.pings import (  # noqa: E402
+    TRIGGER,
+    dropped_rows,
+    read_pings,
+    run,
+    vehicle_windows,
+    work_off,
+    write_windows,
+)
 
 RUN_SECONDS = 300
 
@@ -24,8 +35,9 @@ def main(argv: list[str]) -> None:
     query = write_windows(windows, out, checkpoint, trigger=TRIGGER if seconds else None)
     if seconds:
         run(query, seconds)
+        print("rows dropped as late:", dropped_rows(query))
     else:
-        query.awaitTermination()
+        work_off(query)
 
 
 if __name__ == "__main__":

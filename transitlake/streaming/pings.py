@@ -20,8 +20,13 @@ WATERMARK = "3 minutes"
 TRIGGER = "10 seconds"
 
 
-def read_pings(spark: SparkSession, path: str, max_files: int | None = 1) -> DataFrame:
-    """JSON ping files as a stream; ``max_files`` bounds one micro-batch."""
+def read_pings(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """JSON ping files as a stream.
+
+    ``max_files`` bounds one micro-batch. With a bound, files must come in order of
+    event time: a backlog whose files overlap by more than the watermark would lose
+    rows as late. By default a batch takes all files that are there.
+    """
     reader = spark.readStream.format("json").schema(PING)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -106,6 +111,26 @@ def write_windows(
     return writer.start(out)
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Aggregated rows that came after the watermark, as far as progress tells."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
+def work_off(query: StreamingQuery) -> None:
+    """Wait until a query that works off a backlog ends, without a limit.
+
+    A failure of the query is raised, and so is any row dropped as late.
+    """
+    query.awaitTermination()
+    late = dropped_rows(query)
+    if late:
+        raise RuntimeError(f"{late} rows of the backlog were dropped as late")
+
+
 def run(query: StreamingQuery, timeout_s: int = 300) -> bool:
     """Wait at most ``timeout_s`` seconds, then stop; True if it ended by itself."""
     ended = query.awaitTermination(timeout_s)

@@ -412,11 +412,15 @@ def dim_historical_trips(spark, folder):
 
 # --- key figures ------------------------------------------------------------
 
-_KPI_AGGREGATES = """round(avg(average_speed_kmh), 6) AS average_speed_kmh,
-    count(DISTINCT (f.trip_id, planned_date)) AS number_of_trips,
-    round(sum(total_distance_traveled) * 0.001, 6) AS km_travelled,
+_KPI_AGGREGATES = """round(avg(speed), 6) AS average_speed_kmh,
+    count(trip_id) AS number_of_trips,
+    round(sum(km), 6) AS km_travelled,
     CAST(sum(minutes) AS BIGINT) AS travel_minutes"""
 
+# one record per trip and day in a group, whatever the trip's fact rows
+_KPI_ONCE = """f.trip_id, planned_date AS day, max(average_speed_kmh) AS speed,
+    max(total_distance_traveled * 0.001) AS km, max(minutes) AS minutes"""
+
 
 def _kpis(spark, folder, by, grouping="plain"):
     r = Relations(spark, folder)
@@ -428,8 +432,10 @@ def _kpis(spark, folder, by, grouping="plain"):
 @query(
     "trip_kpis_by_line_direction",
     sql_of(
-        f"""SELECT line_id, direction, {_KPI_AGGREGATES} FROM fact_trips AS f
-            LEFT JOIN dim_routes AS d ON d.sk_routes = f.sk_routes GROUP BY ALL""",
+        f"""SELECT line_id, direction, {_KPI_AGGREGATES}
+            FROM (SELECT line_id, direction, {_KPI_ONCE} FROM fact_trips AS f
+                  LEFT JOIN dim_routes AS d ON d.sk_routes = f.sk_routes GROUP BY ALL)
+            GROUP BY ALL""",
         "fact_trips",
     ),
 )
@@ -440,8 +446,8 @@ def trip_kpis_by_line_direction(spark, folder):
 @query(
     "trip_kpis_by_date",
     sql_of(
-        f"""SELECT CAST(planned_date AS VARCHAR) AS planned_date, {_KPI_AGGREGATES}
-            FROM fact_trips AS f GROUP BY ALL""",
+        f"""SELECT CAST(day AS VARCHAR) AS planned_date, {_KPI_AGGREGATES}
+            FROM (SELECT {_KPI_ONCE} FROM fact_trips AS f GROUP BY ALL) GROUP BY ALL""",
         "fact_trips",
     ),
 )
@@ -452,8 +458,10 @@ def trip_kpis_by_date(spark, folder):
 @query(
     "trip_kpis_by_route",
     sql_of(
-        f"""SELECT route_id, {_KPI_AGGREGATES} FROM fact_trips AS f
-            LEFT JOIN dim_routes AS d ON d.sk_routes = f.sk_routes GROUP BY ALL""",
+        f"""SELECT route_id, {_KPI_AGGREGATES}
+            FROM (SELECT route_id, {_KPI_ONCE} FROM fact_trips AS f
+                  LEFT JOIN dim_routes AS d ON d.sk_routes = f.sk_routes GROUP BY ALL)
+            GROUP BY ALL""",
         "fact_trips",
     ),
 )
@@ -464,11 +472,14 @@ def trip_kpis_by_route(spark, folder):
 @query(
     "trip_kpis_rollup",
     sql_of(
-        f"""SELECT period_name, line_id, {_KPI_AGGREGATES} FROM fact_trips AS f
-            LEFT JOIN dim_routes AS d ON d.sk_routes = f.sk_routes
-            LEFT JOIN (SELECT date_day, min(period_name) AS period_name FROM dim_date GROUP BY 1)
-              ON date_day = planned_date
-            GROUP BY ROLLUP (period_name, line_id)""",
+        f"""SELECT period_name, line_id, {_KPI_AGGREGATES}
+            FROM (SELECT period_name, line_id, grouping_id(period_name, line_id) AS level,
+                         {_KPI_ONCE} FROM fact_trips AS f
+                  LEFT JOIN dim_routes AS d ON d.sk_routes = f.sk_routes
+                  LEFT JOIN (SELECT date_day, min(period_name) AS period_name
+                             FROM dim_date GROUP BY 1) ON date_day = planned_date
+                  GROUP BY f.trip_id, planned_date, ROLLUP (period_name, line_id))
+            GROUP BY period_name, line_id, level""",
         "fact_trips dim_date",
     ),
 )

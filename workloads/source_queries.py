@@ -29,7 +29,7 @@ from transitlake.sources.files import (
 )
 from transitlake.sources.landing import read_landing, write_landing_partitioned
 from transitlake.sources.tables import full_refresh
-from transitlake.streaming.pings import read_pings, run, vehicle_windows, write_windows
+from transitlake.streaming.pings import read_pings, vehicle_windows, work_off, write_windows
 from workloads import feeds
 from workloads.feeds import FEED_SQL, table, with_feeds
 from workloads.model_queries import _WINDOW_COLUMNS, sql_of, window_columns
@@ -57,8 +57,9 @@ def stream_windows(spark: SparkSession, folder: str) -> DataFrame:
     """
     base = shared_folder(spark, "stream-windows")
     feeds.pings(spark, folder).write.json(f"{base}/in")
-    windows = vehicle_windows(read_pings(spark, f"{base}/in", max_files=None))
-    run(write_windows(windows, f"{base}/out", f"{base}/checkpoint", trigger=None), timeout_s=3600)
+    windows = vehicle_windows(read_pings(spark, f"{base}/in"))
+    # waits for the end however long it takes; a failure of the stream is raised
+    work_off(write_windows(windows, f"{base}/out", f"{base}/checkpoint", trigger=None))
     return window_columns(spark.read.schema(windows.schema).parquet(f"{base}/out"))
 
 
