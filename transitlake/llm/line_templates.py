@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from transitlake.llm.common import text_blocks, whole_text
 
-FIELD = re.compile(r"\S*\d\S*")
+DIGIT = re.compile(r"\d")
 OPEN = "<*>"
 KEYS = "doc_id bigint, template bigint"
 
@@ -35,9 +35,10 @@ def template_keys(line: str, depth: int, stretches: int, longest_exact: int) ->
     n = len(tokens)
     if not n:
         return []
-    general = FIELD.sub(OPEN, line).split()
-    if 2 * general.count(OPEN) <= n:
-        tokens = general
+    if DIGIT.search(line):
+        general = [OPEN if DIGIT.search(t) else t for t in tokens]
+        if 2 * general.count(OPEN) <= n:
+            tokens = general
     if n <= longest_exact:
         return [_key(f"{n}\x00" + " ".join(tokens))]
     ends = [depth + (n - depth) * i // stretches for i in range(stretches + 1)]
