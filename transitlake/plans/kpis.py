@@ -73,7 +73,7 @@ def trip_kpis(
     else:
         names = ", ".join(f"`{c}`" for c in by)
         runs = rows.sparkSession.sql(
-            f"""select {names}, grouping_id({names}) as _level, run_trip, run_day,
+            f"""select {names}, grouping_id() as _level, run_trip, run_day,
                        max(km) as km, max(minutes) as minutes, max(speed) as speed
                 from {{rows}} group by run_trip, run_day, {grouping}({names})""",
             rows=rows,
