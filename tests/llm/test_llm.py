@@ -436,6 +436,57 @@ def test_kneser_ney_by_definition(spark):
     assert total == pytest.approx(np.ones(25), rel=1e-4)
 
 
+def direct_word_loss(trusted, spelling, text):
+    """Nats a character of an interpolated modified Kneser-Ney model of pairs, by definition."""
+    table = ngram_quality.lookup_table(spelling.alphabet)
+
+    def p0(word):
+        line = f"  {word} "
+        grams = ngram_quality.ngrams(line, table, spelling.size, spelling.order)
+        return np.exp(-spelling.losses[grams][2:].astype(float).sum())
+
+    def pairs_of(t):
+        tokens = ["<s>", *t.lower().split(), ""]
+        return list(zip(tokens, tokens[1:]))
+
+    def off_of(counts):
+        n = Counter(counts.values())
+        return ngram_quality.discounts(n[1], n[2], n[3], n[4])
+
+    pairs = Counter(g for t in trusted for g in pairs_of(t))
+    ends = Counter(w for _, w in pairs)
+    off2, off1 = off_of(pairs), off_of(ends)
+
+    def share(row, off, word, lower):
+        taken = sum(off[min(n, 3) - 1] for n in row.values())
+        own = row.get(word, 0)
+        return (own - (off[min(own, 3) - 1] if own else 0) + taken * lower) / sum(row.values())
+
+    def p(before, word):
+        single = share(ends, off1, word, p0(word))
+        row = {w: n for (h, w), n in pairs.items() if h == before}
+        return share(row, off2, word, single) if row else single
+
+    return -sum(np.log(p(h, w)) for h, w in pairs_of(text)) / sum(len(w) + 1 for _, w in pairs_of(text))
+
+
+@pytest.mark.parametrize("head", [0, 20, 1 << 20])
+def test_word_model_by_definition(spark, head):
+    rng = random.Random(11)
+    trusted = [" ".join(words(rng, 40, 25)) for _ in range(12)]
+    texts = [trusted[0], "w1 w2 new w1 w3", "Other words\nthere", "w1", trusted[0], "", " \t "]
+    rows = spark.createDataFrame([(i % 2, t) for i, t in enumerate(trusted)], "half bigint, text string")
+    spelling = ngram_quality.train(rows.select(ngram_quality.spelled().alias("text")), 12, 3)
+    values, rest = ngram_quality.word_values(rows, spelling)
+    keyed = spark.createDataFrame([(hash(t), t) for t in texts], "key bigint, text string")
+    got = {r.key: r for r in ngram_quality.text_losses(keyed, values, rest, spelling, head).collect()}
+    assert set(got) == {hash(t) for t in texts[:4]}
+    for t in texts[:4]:
+        assert got[hash(t)].whole == pytest.approx(direct_word_loss(trusted, spelling, t), rel=1e-5)
+        assert got[hash(t)].half1 == pytest.approx(direct_word_loss(trusted[1::2], spelling, t), rel=1e-5)
+        assert got[hash(t)].half0 == pytest.approx(direct_word_loss(trusted[::2], spelling, t), rel=1e-5)
+
+
 def test_quality_keeps_clean_text(spark):
     rng = random.Random(3)
     clean = [" ".join(words(rng, 50)) + "." for _ in range(60)]

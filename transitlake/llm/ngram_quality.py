@@ -1,13 +1,19 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney n-gram model.
 
-The model is over characters: the most frequent ones of the trusted text make the
-alphabet, all others share a symbol. Counts of all trusted text are summed by n-gram
-(each shard of n-grams its own sums), the continuation counts of the lower orders and
-the totals of contexts are aggregations of them, and joins of counts with their
-contexts give the discounted shares. An alphabet of A symbols and order n bound the
-finished table by A^n numbers at any corpus size, so each task scores whole texts
-against all of it. Word n-grams have no such bound: their counts would have to meet
-every token of the corpus in a shuffle that is larger than the corpus.
+Words are predicted from the word before them. Pairs of words of all trusted text are
+counted; continuation counts, totals and discounts are aggregations of these counts,
+and the shares below the single words are spelling probabilities, from a Kneser-Ney
+model over characters, so that a new word costs what its letters cost. An
+interpolated model is a sum over the n-grams of a text:
+
+    ln P(text) = sum of ln(base(w)) over its words + sum of value(g) over its n-grams
+
+where a pair's value is what it adds to its word's, and a word's value holds the
+weight it leaves as a context. Unknown n-grams have the value 0, so the perplexity of
+a document is one join of its n-grams with the values and one sum, both sharded by
+n-gram. The model grows with the trusted text, and no task holds all of it. Only the
+most frequent n-grams, at most HEAD of them, are sent to all tasks, which keeps those
+that nearly every document holds out of the join.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +36,12 @@ ORDER = 3
 MOST_CELLS = 1 << 22
 # Thresholds are exact to this many bins a nat.
 BINS = 2000
+# Most n-grams whose values are sent to all tasks.
+HEAD = 1 << 20
+# Context of the first word and the word after the last; no text has these words.
+START, END = "\n", ""
+# Models: of all trusted text, and of each half of it for the documents of the other.
+MODELS = ("whole", "half1", "half0")
 
 
 def code_points(text: str) -> np.ndarray:
@@ -159,29 +172,263 @@ def train(trusted: DataFrame, size: int = ALPHABET, order: int = ORDER) -> Model
     return Model(alphabet, size, order, (-np.log(p)).astype(np.float32))
 
 
+# --- words and pairs ------------------------------------------------------------
+
+
+def _word_key(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
+def spelled(text: str = "text"):
+    """The text in the form that the spelling model reads: words apart by two blanks."""
+    words = F.regexp_replace(F.trim(F.lower(text)), r"\s+", "  ")
+    return F.concat(F.lit("  "), words, F.lit(" "))
+
+
+class Words:
+    """The words of a block of texts: place in the vocabulary, keys, spelling losses."""
+
+    def __init__(self, texts: list[str], spelling: Model, table: np.ndarray):
+        number = {START: 0, END: 1}
+        self.docs = []
+        for t in texts:
+            ids = [number.setdefault(w, len(number)) for w in t.lower().split()]
+            self.docs.append(np.array([0, *ids, 1], np.int64))
+        self.keys = np.fromiter(map(_word_key, number), np.uint64, len(number)).view(np.int64)
+        words = list(number)[1:]
+        # two blanks before each word are its context, the one after it is its end
+        line = "  " + "  ".join(words) + "  "
+        losses = spelling.losses[ngrams(line, table, spelling.size, spelling.order)]
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(lengths + 2) + 1
+        total = np.concatenate([[0.0], np.cumsum(losses, dtype=np.float64)])
+        base = total[ends] - total[ends - lengths - 1]
+        self.base = np.concatenate([[0.0], -base])  # ln of the spelling probability
+        self.chars = np.concatenate([[0], lengths + 1])  # with the blank after a word
+
+
+def pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Key of a pair; ``PAIR`` is the same in SQL."""
+    b = before.view(np.uint64)
+    return ((b << np.uint64(1)) | (b >> np.uint64(63))).view(np.int64) ^ word
+
+
+PAIR = "(shiftleft(h, 1) | shiftrightunsigned(h, 63)) ^ w"
+
+
+def _pair_counts(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelling = sent.value
+        table = lookup_table(spelling.alphabet)
+        for part, texts in text_blocks(batches):
+            words = Words(texts, spelling, table)
+            half = part.column("half").to_pylist()
+            size = len(words.keys)
+            pair = np.concatenate([d[:-1] * size + d[1:] for d in words.docs])
+            lengths = [len(d) - 1 for d in words.docs]
+            in_half = np.repeat(np.array(half, np.int64), lengths)
+            pair, at = np.unique(pair, return_inverse=True)
+            n = [np.bincount(at[in_half == k], minlength=len(pair)) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words.keys[pair // size]), pa.array(words.keys[pair % size]), *map(pa.array, n)],
+                names=["h", "w", "n0", "n1"],
+            )
+
+    return run
+
+
+def _bases(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelling = sent.value
+        table = lookup_table(spelling.alphabet)
+        for _, texts in text_blocks(batches):
+            words = Words(texts, spelling, table)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words.keys[1:]), pa.array(words.base[1:])], names=["w", "base"]
+            )
+
+    return run
+
+
+def _off(n: str, d: tuple[float, float, float]) -> str:
+    return f"case {n} when 0 then 0D when 1 then {d[0]!r}D when 2 then {d[1]!r}D else {d[2]!r}D end"
+
+
+def _count_discounts(df: DataFrame, names: list[str]) -> list[tuple[float, float, float]]:
+    """Discounts for each column of counts."""
+    found = df.agg(
+        *[F.count(F.when(F.col(n) == k, 1)).alias(f"{n}_{k}") for n in names for k in (1, 2, 3, 4)]
+    ).first()
+    return [discounts(*found[4 * i : 4 * i + 4]) for i in range(len(names))]
+
+
+def word_values(trusted: DataFrame, spelling: Model) -> tuple[DataFrame, list[float]]:
+    """(gram, n, whole, half1, half0): count and value of each n-gram in each model; and
+    per model the logarithm of the weight that single words leave to spelling.
+
+    ``trusted`` has text and half. A gram is the key of a word or of a pair. Each
+    relation is keyed by a word or a pair; a few numbers come to the driver.
+    """
+    sent = trusted.sparkSession.sparkContext.broadcast(spelling)
+    raw = trusted.mapInArrow(_pair_counts(sent), "h bigint, w bigint, n0 bigint, n1 bigint")
+    sums = raw.groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    # in the order of MODELS
+    pairs = stored(sums.selectExpr("h", "w", "n0 + n1 as m0", "n1 as m1", "n0 as m2"), "pairs")
+    models = range(len(MODELS))
+    off2 = _count_discounts(pairs, [f"m{x}" for x in models])
+    contexts = stored(
+        pairs.groupBy("h").agg(
+            *[F.sum(f"m{x}").alias(f"t{x}") for x in models],
+            *[F.expr(f"sum({_off(f'm{x}', off2[x])}) / nullif(sum(m{x}), 0)").alias(f"g{x}") for x in models],
+        ),
+        "contexts",
+    )
+    ends = stored(
+        pairs.groupBy("w").agg(
+            F.sum("m0").alias("n"), *[F.expr(f"count_if(m{x} > 0)").alias(f"c{x}") for x in models]
+        ),
+        "ends",
+    )
+    off1 = _count_discounts(ends, [f"c{x}" for x in models])
+    row = ends.agg(
+        *[F.sum(f"c{x}") for x in models], *[F.expr(f"sum({_off(f'c{x}', off1[x])})") for x in models]
+    ).first()
+    total = [row[x] or 0 for x in models]
+    rest = [row[len(MODELS) + x] / total[x] if total[x] else 1.0 for x in models]
+    base = (
+        trusted.mapInArrow(_bases(sent), "w bigint, base double").groupBy("w").agg(F.max("base").alias("base"))
+    )
+    words = stored(
+        ends.join(base, "w").selectExpr(
+            "w",
+            "n",
+            "base",
+            *[f"(c{x} - {_off(f'c{x}', off1[x])}) / {max(total[x], 1)}D + {rest[x]!r}D * exp(base) as p{x}" for x in models],
+        ),
+        "words",
+    )
+    left = [f"coalesce(ln(g{x}), 0D)" for x in models]
+    single = words.join(contexts.withColumnRenamed("h", "w"), "w", "full").selectExpr(
+        "w as gram",
+        "coalesce(n, t0) as n",
+        *[
+            f"cast(coalesce(ln(p{x}) - {float(np.log(rest[x]))!r}D - base, 0D) + {left[x]} as float) as {MODELS[x]}"
+            for x in models
+        ],
+    )
+    double = (
+        pairs.join(contexts, "h")
+        .join(words.drop("n", "base"), "w")
+        .selectExpr(
+            f"{PAIR} as gram",
+            "m0 as n",
+            *[
+                f"""cast(if(m{x} > 0, ln((m{x} - {_off(f'm{x}', off2[x])}) / t{x} + g{x} * p{x})
+                         - ln(g{x}) - ln(p{x}), 0D) as float) as {MODELS[x]}"""
+                for x in models
+            ],
+        )
+    )
+    return stored(single.unionByName(double), "values"), [float(np.log(r)) for r in rest]
+
+
 # --- scores and thresholds ------------------------------------------------------
 
 
-def _scores(sent, names: list[str]):
+def _most_frequent(values: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The values of the most frequent n-grams, at most ``most``, and all others."""
+    step = F.floor(F.log2("n") * 8)
+    steps = values.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("step"))
+    held, first = 0, None
+    for r in steps.collect():  # some hundred steps
+        held += r.k
+        if held > most:
+            break
+        first = r.step
+    if first is None:
+        return values.limit(0), values
+    return values.where(step >= first), values.where(step < first)
+
+
+def _document_grams(sent):
+    """Per text one row with a null gram: its length, spelling and frequent n-grams;
+    and one row for each different n-gram that is not among the frequent ones."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        table = lookup_table(model.alphabet)
-        for part, texts in text_blocks(batches, "__text"):
-            loss = [model.loss(t, table) / len(t) if t else None for t in texts]
+        spelling, head, head_values = sent.value
+        table = lookup_table(spelling.alphabet)
+        for part, texts in text_blocks(batches):
+            words = Words(texts, spelling, table)
+            key = part.column("key").to_numpy()
+            doc = np.repeat(np.arange(len(texts)), [len(d) for d in words.docs])
+            ids = np.concatenate(words.docs)
+            last = np.flatnonzero(ids == 1)
+            inner = np.ones(len(ids), bool)
+            inner[last] = False
+            grams = np.concatenate(
+                [words.keys[ids], pair_key(words.keys[ids[inner]], words.keys[ids[np.flatnonzero(inner) + 1]])]
+            )
+            owner = np.concatenate([doc, doc[inner]])
+            base = np.bincount(doc, words.base[ids], len(texts))
+            at = np.searchsorted(head, grams)
+            at[at == len(head)] = 0
+            known = head[at] == grams if len(head) else np.zeros(len(grams), bool)
+            # without any row bincount gives integers
+            sums = [np.bincount(owner[known], v[at[known]], len(texts)).astype(float) for v in head_values]
+            order = np.lexsort((grams[~known], owner[~known]))
+            g, o = grams[~known][order], owner[~known][order]
+            start = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (o[1:] != o[:-1])]) if len(g) else np.zeros(0, int)
+            n = np.diff(np.r_[start, len(g)])
+            rows = len(start)
+            blank = [pa.nulls(rows, pa.float64())] * (2 + len(sums))
             yield pa.RecordBatch.from_arrays(
-                [part.column(n) for n in names] + [pa.array(loss, pa.float64())],
-                names=[*names, "__loss"],
+                [pa.array(key[o[start]]), pa.array(g[start]), pa.array(n), *blank],
+                names=["key", "gram", "n", "chars", "base", *MODELS],
+            )
+            chars = np.bincount(doc, words.chars[ids], len(texts)).astype(float)
+            lengths = np.array([len(d) - 1 for d in words.docs], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.nulls(len(key), pa.int64()), pa.array(lengths)]
+                + [pa.array(x, pa.float64()) for x in (chars, base, *sums)],
+                names=["key", "gram", "n", "chars", "base", *MODELS],
             )
 
     return run
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows with ``__loss``: nats a character; null for an empty text. Narrow."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__loss", T.DoubleType())])
-    source = docs.select("*", whole_text().alias("__text"))
-    return source.mapInArrow(_scores(sent, docs.columns), schema)
+def text_losses(
+    texts: DataFrame, values: DataFrame, rest: list[float], spelling: Model, head: int = HEAD
+) -> DataFrame:
+    """(key, whole, half1, half0): nats a character of each different text in each model.
+
+    ``texts`` has key and text; rows of one key have one text, and count once.
+    A text without words has no row.
+    """
+    frequent, others = _most_frequent(values, head)
+    top = frequent.select("gram", *MODELS).toArrow().sort_by("gram")
+    sent = texts.sparkSession.sparkContext.broadcast(
+        (spelling, top["gram"].to_numpy(), [top[m].to_numpy() for m in MODELS])
+    )
+    ddl = "key bigint, gram bigint, n bigint, chars double, base double, " + ", ".join(f"{m} double" for m in MODELS)
+    parts = stored(texts.mapInArrow(_document_grams(sent), ddl), "grams")
+    found = (
+        parts.where("gram is not null")
+        .select("key", "gram", "n")
+        .join(others.drop("n"), "gram")
+        .selectExpr("key", "0 as copies", "0L as n", "0D as chars", "0D as base", *[f"{m} * n as {m}" for m in MODELS])
+    )
+    own = parts.where("gram is null").drop("gram").withColumn("copies", F.lit(1))
+    sums = own.unionByName(found).groupBy("key").agg(
+        *[F.sum(c).alias(c) for c in ("copies", "n", "chars", "base", *MODELS)]
+    )
+    # copies of a text add the same to each sum, so that they cancel here
+    return sums.where("n > copies").select(
+        "key",
+        *[
+            (-(F.col("base") + F.col(m) + F.col("n") * F.lit(r)) / F.col("chars")).alias(m)
+            for m, r in zip(MODELS, rest, strict=True)
+        ],
+    )
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -213,7 +460,7 @@ def thresholds(losses: DataFrame, quantile: float) -> DataFrame:
     )
     each.createOrReplaceTempView("loss_bins")
     return losses.sparkSession.sql(
-        f"""select __all, lang as __lang, (min(bin) + 1) / {BINS}D as __most
+        f"""select __all, lang as __lang, (min(bin) + 1) / {BINS}D as __most, max(total) as __n
             from (select *, sum(n) over (partition by __all, lang order by bin) as upto,
                          sum(n) over (partition by __all, lang) as total from loss_bins)
             where upto >= {quantile}D * total group by __all, lang"""
@@ -226,47 +473,59 @@ def judge(
     quantile: float = 0.995,
     alphabet: int = ALPHABET,
     order: int = ORDER,
+    head: int = HEAD,
 ) -> DataFrame:
     """Every document with ``perplexity`` (a character), ``threshold`` and ``kept``.
 
     ``docs`` has doc_id, text and lang, all columns come back; ``labels`` has doc_id,
     quality and toxic. Trusted text: documents all of whose labels say quality 1 and
-    not toxic. The model is trained on all of it; a document is kept when its
-    perplexity is at most the ``quantile`` of the trusted documents of its language,
-    each of which is measured by a model of the half that it is not in, since a text
-    looks better to a model that has read it.
-    A language without trusted documents takes the quantile over all languages;
-    without any trusted document all are kept.
-
-    Empty and null texts have no perplexity and are kept. Null is a language like any
-    other. Repeated rows count each time; rows with a null doc_id are never trusted.
-    New columns replace columns of the same name.
-
-    The trusted texts are shuffled once, to meet their labels; scoring is narrow.
+    not toxic. The model is trained on all of it (``alphabet`` and ``order`` are those
+    of the spelling model, which has at most alphabet ^ order numbers). A document is
+    kept when its perplexity is at most the ``quantile`` of the trusted documents of
+    its language, each of which is measured by the counts of the half that it is not
+    in, since a text looks better to a model that has read it.
+    A language without trusted documents takes the quantile over all languages, and
+    one with too few to have the quantile (under 1 / (1 - quantile)) the greater of
+    both; without any trusted document all are kept.
+
+    Empty, blank and null texts have no perplexity and are kept. Null is a language
+    like any other. Repeated rows count each time; rows with a null doc_id are never
+    trusted. New columns replace columns of the same name.
+
+    Keys of texts, words and pairs are hashes of 64 bits. The n-grams of all documents
+    are shuffled to their values, but for the ``head`` most frequent ones; how large
+    ``head`` is does not change the result.
     """
     names = [c for c in docs.columns if c not in ("perplexity", "threshold", "kept")]
     docs = docs.select(*names)
+    key = F.xxhash64(whole_text())
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("__trusted"), "lang", whole_text().alias("text")
     )
     # copies of a text fall in one half
     half = F.pmod(F.xxhash64("text"), F.lit(2)).alias("half")
     trusted = stored(
-        texts.join(trusted_ids(labels), "__trusted", "left_semi").select("lang", half, "text"),
+        texts.join(trusted_ids(labels), "__trusted", "left_semi").select(
+            "lang", half, F.xxhash64("text").alias("key"), "text"
+        ),
         "trusted",
     )
-    model = train(trusted.select("text"), alphabet, order)
-    unseen = None
-    for k in (0, 1):
-        other = train(trusted.where(F.col("half") != k).select("text"), alphabet, order)
-        losses = scored(trusted.where(F.col("half") == k).select("lang", "text"), other)
-        unseen = losses if unseen is None else unseen.unionByName(losses)
-    limits = stored(thresholds(unseen.select("lang", "__loss"), quantile), "thresholds")
-    rows = scored(docs, model)
-    own = limits.where("not __all").select("__lang", "__most")
+    spelling = train(trusted.select(spelled().alias("text")), alphabet, order)
+    values, rest = word_values(trusted.select("half", "text"), spelling)
+    losses = stored(
+        text_losses(docs.select(key.alias("key"), whole_text().alias("text")), values, rest, spelling, head),
+        "losses",
+    )
+    unseen = F.when(F.col("half") == 0, F.col("half1")).otherwise(F.col("half0"))
+    held_out = trusted.select("lang", "half", "key").join(losses, "key").select("lang", unseen.alias("__loss"))
+    limits = stored(thresholds(held_out, quantile), "thresholds")
+    own = limits.where("not __all").select("__lang", "__most", "__n")
     overall = limits.where("__all").agg(F.max("__most").alias("__overall")).first()[0]
-    rest = F.lit(overall).cast("double")
-    most = F.coalesce("__most", rest)
+    pooled = F.lit(overall).cast("double")
+    few = F.col("__n") * (1 - quantile) < 1
+    most = F.when(few, F.greatest("__most", pooled)).otherwise(F.coalesce("__most", pooled))
+    scores = losses.select(F.col("key").alias("__key"), F.col("whole").alias("__loss"))
+    rows = docs.withColumn("__key", key).join(scores, "__key", "left")
     return rows.join(own, F.col("lang").eqNullSafe(F.col("__lang")), "left").select(
         *names,
         F.exp("__loss").alias("perplexity"),
