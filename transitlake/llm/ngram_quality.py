@@ -316,18 +316,15 @@ def word_values(trusted: DataFrame, spelling: Model) -> tuple[DataFrame, list[fl
             for x in models
         ],
     )
+    # what a pair has beside its word's share, over the weight that its context leaves
+    own = [
+        f"cast(coalesce((m{x} - {_off(f'm{x}', off2[x])}) / nullif(t{x}, 0) / g{x}, 0D) as float) as a{x}" for x in models
+    ]
     double = (
         pairs.join(contexts, "h")
+        .selectExpr("w", f"{PAIR} as gram", "m0 as n", *own)
         .join(words.drop("n", "base"), "w")
-        .selectExpr(
-            f"{PAIR} as gram",
-            "m0 as n",
-            *[
-                f"""cast(if(m{x} > 0, ln((m{x} - {_off(f'm{x}', off2[x])}) / t{x} + g{x} * p{x})
-                         - ln(g{x}) - ln(p{x}), 0D) as float) as {MODELS[x]}"""
-                for x in models
-            ],
-        )
+        .selectExpr("gram", "n", *[f"cast(ln(1D + a{x} / p{x}) as float) as {MODELS[x]}" for x in models])
     )
     return stored(single.unionByName(double), "values"), [float(np.log(r)) for r in rest]
 
@@ -350,47 +347,68 @@ def _most_frequent(values: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     return values.where(step >= first), values.where(step < first)
 
 
-def _document_grams(sent):
-    """Per text one row with a null gram: its length, spelling and frequent n-grams;
-    and one row for each different n-gram that is not among the frequent ones."""
+class _Grams:
+    """The n-grams of a block of texts, with the number of the text that each is in."""
+
+    def __init__(self, texts: list[str], spelling: Model, table: np.ndarray, head: np.ndarray):
+        self.words = words = Words(texts, spelling, table)
+        self.doc = np.repeat(np.arange(len(texts)), [len(d) for d in words.docs])
+        self.ids = ids = np.concatenate(words.docs)
+        first = np.flatnonzero(ids != 1)  # a pair starts at each word but the END
+        pairs = pair_key(words.keys[ids[first]], words.keys[ids[first + 1]])
+        self.grams = np.concatenate([words.keys[ids], pairs])
+        self.owner = np.concatenate([self.doc, self.doc[first]])
+        self.at = np.searchsorted(head, self.grams)
+        self.at[self.at == len(head)] = 0
+        self.frequent = (
+            head[self.at] == self.grams if len(head) else np.zeros(len(self.grams), bool)
+        )
+
+
+def _text_parts(sent):
+    """Per text its length, spelling and the values of its frequent n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelling, head, head_values = sent.value
         table = lookup_table(spelling.alphabet)
         for part, texts in text_blocks(batches):
-            words = Words(texts, spelling, table)
-            key = part.column("key").to_numpy()
-            doc = np.repeat(np.arange(len(texts)), [len(d) for d in words.docs])
-            ids = np.concatenate(words.docs)
-            last = np.flatnonzero(ids == 1)
-            inner = np.ones(len(ids), bool)
-            inner[last] = False
-            grams = np.concatenate(
-                [words.keys[ids], pair_key(words.keys[ids[inner]], words.keys[ids[np.flatnonzero(inner) + 1]])]
-            )
-            owner = np.concatenate([doc, doc[inner]])
-            base = np.bincount(doc, words.base[ids], len(texts))
-            at = np.searchsorted(head, grams)
-            at[at == len(head)] = 0
-            known = head[at] == grams if len(head) else np.zeros(len(grams), bool)
-            # without any row bincount gives integers
-            sums = [np.bincount(owner[known], v[at[known]], len(texts)).astype(float) for v in head_values]
-            order = np.lexsort((grams[~known], owner[~known]))
-            g, o = grams[~known][order], owner[~known][order]
-            start = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (o[1:] != o[:-1])]) if len(g) else np.zeros(0, int)
-            n = np.diff(np.r_[start, len(g)])
-            rows = len(start)
-            blank = [pa.nulls(rows, pa.float64())] * (2 + len(sums))
+            g = _Grams(texts, spelling, table, head)
+            n, at, owner = len(texts), g.at[g.frequent], g.owner[g.frequent]
+            columns = [
+                np.bincount(g.doc, g.words.chars[g.ids], n),
+                np.bincount(g.doc, g.words.base[g.ids], n),
+                *[np.bincount(owner, v[at], n) for v in head_values],
+            ]
+            lengths = [len(d) - 1 for d in g.words.docs]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key[o[start]]), pa.array(g[start]), pa.array(n), *blank],
-                names=["key", "gram", "n", "chars", "base", *MODELS],
+                [part.column("key"), pa.array(lengths, pa.int64())]
+                # without any row bincount gives integers
+                + [pa.array(c.astype(float)) for c in columns],
+                names=["key", "n", "chars", "base", *MODELS],
             )
-            chars = np.bincount(doc, words.chars[ids], len(texts)).astype(float)
-            lengths = np.array([len(d) - 1 for d in words.docs], np.int64)
+
+    return run
+
+
+def _rare_grams(sent):
+    """One row for each different n-gram of a text that is not a frequent one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelling, head, _ = sent.value
+        table = lookup_table(spelling.alphabet)
+        for part, texts in text_blocks(batches):
+            found = _Grams(texts, spelling, table, head)
+            key = part.column("key").to_numpy()
+            g, o = found.grams[~found.frequent], found.owner[~found.frequent]
+            order = np.lexsort((g, o))
+            g, o = g[order], o[order]
+            new = np.ones(len(g), bool)
+            new[1:] = (g[1:] != g[:-1]) | (o[1:] != o[:-1])
+            start = np.flatnonzero(new)
+            n = np.diff(np.append(start, len(g)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.nulls(len(key), pa.int64()), pa.array(lengths)]
-                + [pa.array(x, pa.float64()) for x in (chars, base, *sums)],
-                names=["key", "gram", "n", "chars", "base", *MODELS],
+                [pa.array(key[o[start]], pa.int64()), pa.array(g[start], pa.int64()), pa.array(n, pa.int64())],
+                names=["key", "gram", "n"],
             )
 
     return run
@@ -409,15 +427,14 @@ def text_losses(
     sent = texts.sparkSession.sparkContext.broadcast(
         (spelling, top["gram"].to_numpy(), [top[m].to_numpy() for m in MODELS])
     )
-    ddl = "key bigint, gram bigint, n bigint, chars double, base double, " + ", ".join(f"{m} double" for m in MODELS)
-    parts = stored(texts.mapInArrow(_document_grams(sent), ddl), "grams")
-    found = (
-        parts.where("gram is not null")
-        .select("key", "gram", "n")
-        .join(others.drop("n"), "gram")
-        .selectExpr("key", "0 as copies", "0L as n", "0D as chars", "0D as base", *[f"{m} * n as {m}" for m in MODELS])
+    ddl = "key bigint, n bigint, chars double, base double, "
+    own = texts.mapInArrow(_text_parts(sent), ddl + ", ".join(f"{m} double" for m in MODELS))
+    own = own.withColumn("copies", F.lit(1))
+    # the texts are read twice, which takes less disk than keeping their n-grams
+    rare = texts.mapInArrow(_rare_grams(sent), "key bigint, gram bigint, n bigint")
+    found = rare.join(others.drop("n"), "gram").selectExpr(
+        "key", "0 as copies", "0L as n", "0D as chars", "0D as base", *[f"{m} * n as {m}" for m in MODELS]
     )
-    own = parts.where("gram is null").drop("gram").withColumn("copies", F.lit(1))
     sums = own.unionByName(found).groupBy("key").agg(
         *[F.sum(c).alias(c) for c in ("copies", "n", "chars", "base", *MODELS)]
     )
