@@ -87,13 +87,30 @@ def test_zip_members(spark, bundles):
     }
 
 
+def test_zip_member_with_quoted_line_breaks(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        text = '"trip,id",note\r\nT1,"two\nlines, ""quoted"""\r\n\r\nT2,\r\nT3\r\n'
+        z.writestr("trips.txt", text)
+    table = archives.zip_member_table(spark, str(tmp_path / "*.zip"), "trips.txt")
+    assert table.columns == ["trip,id", "note"]
+    assert set(map(tuple, table.collect())) == {
+        ("T1", 'two\nlines, "quoted"'), ("T2", None), ("T3", None),
+    }
+
+
+def test_store_names():
+    assert archives.arrow_uri("s3a://b/x.zip") == "s3://b/x.zip"
+    for same in ("s3://b/x.zip", "gs://b/x.zip", "hdfs://n/x.zip"):
+        assert archives.arrow_uri(same) == same
+
+
 def test_zip_member_read_in_batches(spark, tmp_path):
     lines = "".join(f"{i},r\n" for i in range(120_001))
     with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("trips.txt", "trip_id,route_id\n" + lines)
     rows = archives.extract_zip_members(spark, str(tmp_path / "a.zip"), ["trips.txt"])
     n, first, last, distinct = rows.agg(
-        F.count("*"), F.min("line_no"), F.max("line_no"), F.count_distinct("line_no")
+        F.count("*"), F.min("record_no"), F.max("record_no"), F.count_distinct("record_no")
     ).first()
     assert (n, first, last, distinct) == (120_001, 1, 120_001, 120_001)
 

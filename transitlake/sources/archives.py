@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import sys
 import zipfile
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 # they are shipped with the task instead of being imported there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LINES_PER_BATCH = 50_000
+RECORDS_PER_BATCH = 50_000
 MOST_READERS = 10_000
 
 # The members taken from a feed bundle.
@@ -31,23 +32,27 @@ BUNDLE_MEMBERS = (
     "periods.txt",
 )
 
-LINES_SCHEMA = (
-    "archive string, member string, status string, header string, line_no bigint, line string"
+RECORDS_SCHEMA = (
+    "archive string, member string, status string, header array<string>, record_no bigint, "
+    "cells array<string>"
 )
+# Names of stores that Arrow knows by another name.
+SAME_STORE = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
 
 
 def extract_zip_members(
     spark: SparkSession, zip_glob: str, members: Sequence[str]
 ) -> DataFrame:
-    """Data lines of the wanted members of every archive.
+    """Data records of the wanted members of every archive, as cells.
 
     Each (archive, member) pair is its own piece of work: a task opens the
     archive by path, seeks to its member and streams it, so neither an archive
-    nor a member is ever held whole. Status is ``ok`` for a data line, and
+    nor a member is ever held whole. A quoted cell may hold commas and line breaks;
+    an empty cell is NULL, and blank lines are no records. Status is ``ok`` for a data record, and
     ``empty``, ``missing`` or ``bad`` for a single report row that stands for
-    the member (``bad`` may follow lines read before the damage was met).
+    the member (``bad`` may follow records read before the damage was met).
     """
-    return _pairs(spark, zip_glob, members).mapInPandas(_read_members, LINES_SCHEMA)
+    return _pairs(spark, zip_glob, members).mapInPandas(_read_members, RECORDS_SCHEMA)
 
 
 def _pairs(spark: SparkSession, zip_glob: str, members: Sequence[str]) -> DataFrame:
@@ -61,38 +66,47 @@ def _pairs(spark: SparkSession, zip_glob: str, members: Sequence[str]) -> DataFr
 
 
 def _open(path: str):
-    """A seekable file of any store Arrow can reach (local, HDFS, S3, GCS)."""
+    """A seekable file of any store Arrow can reach (local, HDFS, S3, GCS).
+
+    Spark's scheme ``s3a`` is Arrow's ``s3``.
+    """
     from pyarrow import fs
 
     parsed = urlparse(path)
     if parsed.scheme in ("", "file"):
         return open(unquote(parsed.path), "rb")
-    store, inner = fs.FileSystem.from_uri(path)
+    store, inner = fs.FileSystem.from_uri(arrow_uri(path))
     return store.open_input_file(inner)
 
 
+def arrow_uri(path: str) -> str:
+    """The address in the names that Arrow has for stores."""
+    scheme, rest = path.split(":", 1)
+    return f"{SAME_STORE.get(scheme, scheme)}:{rest}"
+
+
 def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, member in zip(batch["path"], batch["member"]):
             yield from _read_member(path, member)
 
 
-def _rows(path, member, status, header=None, first=None, lines=(None,)) -> pd.DataFrame:
-    numbers = [None if first is None else first + i for i in range(len(lines))]
+def _rows(path, member, status, header=None, first=None, records=(None,)) -> pd.DataFrame:
+    numbers = [None if first is None else first + i for i in range(len(records))]
     return pd.DataFrame(
         {
             "archive": path,
             "member": member,
             "status": status,
-            "header": header,
-            "line_no": pd.array(numbers, dtype="Int64"),
-            "line": list(lines),
+            "header": [header] * len(records),
+            "record_no": pd.array(numbers, dtype="Int64"),
+            "cells": list(records),
         }
     )
 
 
 def _read_member(
-    path: str, member: str, lines_per_batch: int = LINES_PER_BATCH
+    path: str, member: str, records_per_batch: int = RECORDS_PER_BATCH
 ) -> Iterator[pd.DataFrame]:
     header = None
     try:
@@ -101,34 +115,36 @@ def _read_member(
                 yield _rows(path, member, "missing")
                 return
             with archive.open(member) as stream:
-                text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
-                header = text.readline().rstrip("\r\n")
-                number, lines = 1, []
-                for line in text:
-                    lines.append(line.rstrip("\r\n"))
-                    if len(lines) == lines_per_batch:
-                        yield _rows(path, member, "ok", header, number, lines)
-                        number, lines = number + len(lines), []
-                if lines:
-                    yield _rows(path, member, "ok", header, number, lines)
+                text = csv.reader(io.TextIOWrapper(stream, encoding="utf-8-sig", newline=""))
+                header = [name.strip() for name in next(text, [])]
+                number, records = 1, []
+                for cells in text:
+                    if not cells:
+                        continue
+                    records.append([c if c else None for c in cells])
+                    if len(records) == records_per_batch:
+                        yield _rows(path, member, "ok", header, number, records)
+                        number, records = number + len(records), []
+                if records:
+                    yield _rows(path, member, "ok", header, number, records)
                 elif number == 1:
                     yield _rows(path, member, "empty", header)
-    except (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError):
+    except (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError, csv.Error):
         # damaged content is reported; failures to reach the store still raise,
         # so that Spark retries the task
         yield _rows(path, member, "bad", header)
 
 
 def member_headers(spark: SparkSession, zip_glob: str, members: Sequence[str]) -> DataFrame:
-    """``(archive, member, status, header)`` from the first line of each member."""
-    listed = _pairs(spark, zip_glob, members).mapInPandas(_read_headers, LINES_SCHEMA)
+    """``(archive, member, status, header)`` from the first record of each member."""
+    listed = _pairs(spark, zip_glob, members).mapInPandas(_read_headers, RECORDS_SCHEMA)
     return listed.select("archive", "member", "status", "header")
 
 
 def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, member in zip(batch["path"], batch["member"]):
-            yield next(_read_member(path, member, lines_per_batch=1))
+            yield next(_read_member(path, member, records_per_batch=1))
 
 
 def zip_member_table(
@@ -136,33 +152,22 @@ def zip_member_table(
 ) -> DataFrame:
     """One member of all archives as a table of text columns, matched by header name.
 
-    Archives may order their columns differently or lack some. What reaches the
-    driver is the set of different header lines.
+    Archives may order their columns differently or lack some; a name that repeats
+    counts where it comes first. Without ``columns`` the names of all archives are
+    taken, and only those, with the least place of each, reach the driver.
     """
-    listed = member_headers(spark, zip_glob, [member]).where(F.col("header").isNotNull())
-    headers = sorted(r["header"] for r in listed.select("header").distinct().collect())
-    layouts = {h: [n.strip().strip('"') for n in h.split(",")] for h in headers}
     if columns is None:
-        columns = list(dict.fromkeys(n for names in layouts.values() for n in names))
-    lines = extract_zip_members(spark, zip_glob, [member]).where(F.col("status") == "ok")
-    width = max((len(names) for names in layouts.values()), default=1)
-    positional = ", ".join(f"c{i} string" for i in range(width))
-    cells = lines.select("header", F.from_csv("line", positional).alias("r")).select(
-        "header", F.array("r.*").alias("cells")
-    )
-    return cells.select(*[_cell(layouts, name).alias(name) for name in columns])
+        listed = member_headers(spark, zip_glob, [member])
+        names = listed.select(F.posexplode("header").alias("place", "name"))
+        found = names.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name")
+        columns = [r["name"] for r in found.collect()]
+    records = extract_zip_members(spark, zip_glob, [member]).where(F.col("status") == "ok")
+    return records.select(*[_cell(name).alias(name) for name in columns])
 
 
-def _cell(layouts: dict[str, list[str]], name: str):
-    places = [
-        part
-        for header, names in layouts.items()
-        if name in names
-        for part in (F.lit(header), F.lit(names.index(name)))
-    ]
-    if not places:
-        return F.lit(None).cast("string")
-    return F.get("cells", F.try_element_at(F.create_map(*places), F.col("header")))
+def _cell(name: str):
+    place = F.array_position("header", F.lit(name))
+    return F.when(place > 0, F.get("cells", (place - 1).cast("int")))
 
 
 def land_zip_member(
@@ -193,7 +198,7 @@ def land_bundle(
     """Land the members of feed bundles as CSV feeds named after them.
 
     A member that no archive holds is left out without stopping the others.
-    Returns how many archives hold each (member, status), from first lines only.
+    Returns how many archives hold each (member, status), from first records only.
     """
     counted = member_headers(spark, zip_glob, members).groupBy("member", "status").count()
     found = {(r["member"], r["status"]): r["count"] for r in counted.collect()}

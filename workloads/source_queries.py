@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from transitlake import schemas
 from transitlake.operators.incremental import load_table
 from transitlake.session import shared_folder
-from transitlake.sources.archives import zip_member_table
+from transitlake.sources.archives import arrow_uri, zip_member_table
 from transitlake.sources.files import (
     project_to,
     read_csv_feed,
@@ -136,11 +136,12 @@ def enveloped_json(spark: SparkSession, folder: str) -> DataFrame:
 def _write_archives(df: DataFrame, base: str, member: str) -> None:
     """One zip archive per partition of ``df``, with its rows as a CSV member."""
     names = df.columns
+    uri = arrow_uri(base) if "://" in base else f"file://{base}"
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        store, root = fs.FileSystem.from_uri(base if "://" in base else f"file://{base}")
+        store, root = fs.FileSystem.from_uri(uri)
         store.create_dir(root)
         path = f"{root}/part-{TaskContext.get().partitionId():05d}.zip"
         count = 0
