@@ -116,11 +116,9 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def calendar_dates(spark: SparkSession, folder: str) -> DataFrame:
-    # a service runs on the first and the last day its customer ordered
-    spans = table(spark, folder, "orders").groupBy("o_custkey").agg(
-        F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b")
-    )
-    days = spans.withColumn("day", F.explode(F.array_distinct(F.array("a", "b"))))
+    # a service runs on every day its customer ordered
+    orders = table(spark, folder, "orders")
+    days = orders.select("o_custkey", F.to_date("o_orderdate").alias("day")).distinct()
     return days.selectExpr(
         "cast(date_format(day, 'yyyyMMdd') as int) as date",
         "cast(if(dayofweek(day) in (1, 7), 2, 1) as bigint) as day_type",
@@ -175,12 +173,12 @@ def weather_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pings(spark: SparkSession, folder: str) -> DataFrame:
-    """A position every three seconds over a fleet of twenty vehicles."""
+    """A position every three seconds; each user is a vehicle."""
     return table(spark, folder, "events").selectExpr(
         "cast(0 as float) as bearing",
         "cast(null as string) as block_id",
         "event_type as current_status",
-        "cast(user_id % 20 as string) as id",
+        "cast(user_id as string) as id",
         "cast(38.6e0 + (event_id % 1000) * 0.0004e0 as float) as lat",
         "cast(null as string) as line_id",
         "cast(-9.3e0 + (user_id % 40) * 0.005e0 as float) as lon",
@@ -191,7 +189,7 @@ def pings(spark: SparkSession, folder: str) -> DataFrame:
         "cast(value as float) as speed",
         "lpad(cast(user_id % 25 as string), 6, '0') as stop_id",
         "1704067200 + event_id * 3 as timestamp",
-        "concat(user_id % 20, '-', cast(floor(event_id / 2000) as bigint)) as trip_id",
+        "concat(user_id, '-', cast(floor(event_id / 2000) as bigint)) as trip_id",
     )
 
 
@@ -263,9 +261,7 @@ FEED_SQL: dict[str, str] = {
                CAST(1 AS BIGINT) AS exception_type,
                CAST(CASE WHEN month(day) = 12 THEN 1 ELSE 0 END AS BIGINT) AS holiday,
                CAST(month(day) AS BIGINT) AS period, 'S' || o_custkey AS service_id
-        FROM (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS day FROM orders GROUP BY 1
-              UNION
-              SELECT o_custkey, CAST(max(o_orderdate) AS DATE) FROM orders GROUP BY 1)""",
+        FROM (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders)""",
     "periods": """
         SELECT CAST(r_regionkey + 1 AS BIGINT) AS period_id, r_name AS period_name FROM region""",
     "stop_times": """
@@ -292,13 +288,13 @@ FEED_SQL: dict[str, str] = {
                lpad(CAST(o_orderkey AS VARCHAR), 15, '0') AS dataAtualiza
         FROM orders""",
     "pings": """
-        SELECT event_type AS current_status, CAST(user_id % 20 AS VARCHAR) AS id,
+        SELECT event_type AS current_status, CAST(user_id AS VARCHAR) AS id,
                CAST(38.6e0 + (event_id % 1000) * 0.0004e0 AS FLOAT) AS lat,
                CAST(-9.3e0 + (user_id % 40) * 0.005e0 AS FLOAT) AS lon,
                'R' || (user_id % 10) AS route_id,
                lpad(CAST(user_id % 25 AS VARCHAR), 6, '0') AS stop_id,
                1704067200 + event_id * 3 AS ts,
-               (user_id % 20) || '-' || (event_id // 2000) AS trip_id
+               user_id || '-' || (event_id // 2000) AS trip_id
         FROM events""",
 }
 
