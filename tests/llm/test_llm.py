@@ -240,6 +240,27 @@ def test_line_templates(spark):
     assert line_templates.drop_recurring_lines(documents(spark, texts).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("holders", [2, 3])
+def test_long_line_recurs_in_few_unlike_documents(spark, holders):
+    rng = random.Random(21)
+    own = lambda k: [" ".join(words(rng, k, 9000)) for _ in range(4)]
+    long, edge, short = (" ".join(words(rng, n, 9000)) for n in (60, 20, 5))
+    texts = ["\n".join([*own(30), long, edge, short]) for _ in range(holders)]
+    alone = "\n".join(own(30))
+    edited = " ".join(alone.split(" ")[:-1]) + " other"
+    texts += [alone, edited, alone, "\n".join(own(30)), "", None]
+    docs = documents(spark, texts)
+    got = by_id(line_templates.drop_recurring_lines(docs))
+    assert got[0].text == texts[0]  # the smallest doc_id keeps
+    for i in range(1, holders):
+        assert got[i].text == "\n".join([*texts[i].split("\n")[:4], short])
+    # copies and near-copies are whole documents to the next stage
+    for i in range(holders, len(texts)):
+        assert got[i].text == texts[i]
+    left = near.first_of_each(line_templates.own_lines(docs))
+    assert {r.doc_id for r in left.collect()} == {*range(holders + 1), *range(holders + 3, len(texts))}
+
+
 def test_template_leaves_one_stretch_open():
     a = "the job of the day was started at noon by one of the workers".split()
     b, c = a[:], a[:]

@@ -8,7 +8,9 @@ a template fixes the rest of the tokens but for one stretch: the rest is cut int
 open. Lines of one leaf that agree outside a part thus share a template, which is the
 similarity test of log parsers (here 1 - 1 / stretches of the rest) in a form that is
 a key: templates are counted by a plain aggregation, in any order and on any number
-of machines. Lines in a template that many documents hold are dropped.
+of machines. Lines in a template that many documents hold are dropped. How many it
+takes depends on how many tokens the template fixes: short boilerplate must recur
+often, a long line says enough when a second, unlike document has it.
 """
 
 from __future__ import annotations
@@ -16,22 +18,32 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitlake.llm.common import text_blocks, whole_text
+from transitlake.llm.common import stored, text_blocks, whole_text
+from transitlake.llm.hamming_near_dup import shingles
 
 DIGIT = re.compile(r"\d")
 OPEN = "<*>"
-KEYS = "doc_id bigint, template bigint"
+KEYS = "doc_id bigint, template bigint, signature binary"
+# (fixed tokens, documents): a template that fixes so many tokens recurs in so many
+# documents; with fewer fixed tokens it takes min_docs. The place in this list, from 1,
+# is in the lowest two bits of a template's key (0: none of them).
+TELLING = ((8, 4), (12, 3), (20, 2))
+# Documents with this estimated share of common shingles are alike; the estimate takes
+# the LEAST smallest shingle hashes of both (exact for sets that are not larger).
+ALIKE = 0.5
+LEAST = 64
 
 
 def template_keys(line: str, depth: int, stretches: int, longest_exact: int) -> list[int]:
     """Keys of the templates that a line belongs to; none for a blank line."""
-    tokens = line.split()
+    words = tokens = line.split()
     n = len(tokens)
     if not n:
         return []
@@ -39,24 +51,37 @@ def template_keys(line: str, depth: int, stretches: int, longest_exact: int) ->
         general = [OPEN if DIGIT.search(t) else t for t in tokens]
         if 2 * general.count(OPEN) <= n:
             tokens = general
+    whole = telling(n - (tokens.count(OPEN) if tokens is not words else 0))
     if n <= longest_exact:
-        return [_key(f"{n}\x00" + " ".join(tokens))]
+        return [_key(f"{n}\x00" + " ".join(tokens), whole)]
     ends = [depth + (n - depth) * i // stretches for i in range(stretches + 1)]
-    return [
-        _key(f"{n}\x01{i}\x00" + " ".join(tokens[: ends[i]] + [OPEN] + tokens[ends[i + 1] :]))
-        for i in range(stretches)
-    ]
+    keys, most = [], 0
+    for i in range(stretches):
+        fixed = tokens[: ends[i]] + tokens[ends[i + 1] :]
+        level = telling(len(fixed) - (fixed.count(OPEN) if tokens is not words else 0))
+        most = max(most, level)
+        kept = " ".join(tokens[: ends[i]] + [OPEN] + tokens[ends[i + 1] :])
+        keys.append(_key(f"{n}\x01{i}\x00" + kept, level))
+    if whole > most:
+        # all tokens together say more than any template with an open stretch
+        keys.append(_key(f"{n}\x00" + " ".join(tokens), whole))
+    return keys
 
 
-def _key(text: str) -> int:
-    h = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+def telling(fixed: int) -> int:
+    """The level in ``TELLING`` of a template with so many fixed tokens."""
+    return sum(fixed >= least for least, _ in TELLING)
+
+
+def _key(text: str, level: int) -> int:
+    h = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) & ~3 | level
     return h - (1 << 64) if h >> 63 else h
 
 
 def _emit(depth: int, stretches: int, longest_exact: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_blocks(batches):
-            ids, keys = [], []
+            ids, keys, signatures = [], [], []
             for doc, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                 own = {
                     k
@@ -64,28 +89,79 @@ def _emit(depth: int, stretches: int, longest_exact: int):
                     for k in template_keys(line, depth, stretches, longest_exact)
                 }
                 keys += own
-                ids += [doc] * len(own)
+                signatures += [None] * len(own)
+                if any(k & 3 for k in own):
+                    keys.append(None)
+                    signatures.append((shingles(text)[:LEAST] >> np.uint64(32)).astype(np.uint32).tobytes())
+                ids += [doc] * (len(keys) - len(ids))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(keys, pa.int64())], names=["doc_id", "template"]
+                [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(signatures, pa.binary())],
+                names=["doc_id", "template", "signature"],
             )
 
     return run
 
 
+def similarity(a: bytes, b: bytes) -> float:
+    """Estimated share of common shingles of two documents, from their signatures."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    union = np.union1d(x, y)[:LEAST]
+    both = np.isin(union, x) & np.isin(union, y)
+    return int(both.sum()) / max(len(union), 1)
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of documents that are alike by their signatures."""
+    for batch in batches:
+        x, y = (batch.column(c).to_pylist() for c in ("signature", "first_signature"))
+        near = [similarity(a, b) >= ALIKE for a, b in zip(x, y, strict=True)]
+        yield batch.select(["__doc", "__first"]).filter(pa.array(near, pa.bool_()))
+
+
 def recurring_templates(
     docs: DataFrame, min_docs: int, depth: int, stretches: int, longest_exact: int
-) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, template) of all documents, and the templates of ``min_docs`` or more
-    documents with the first document of each."""
-    held = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")
-    ).mapInArrow(_emit(depth, stretches, longest_exact), KEYS)
+) -> DataFrame:
+    """(doc_id, template): the templates that each document loses its lines of."""
+    emitted = stored(
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).mapInArrow(
+            _emit(depth, stretches, longest_exact), KEYS
+        ),
+        "templates",
+    )
+    held = emitted.where("template is not null").select("doc_id", "template")
+    level = F.col("template").bitwiseAND(F.lit(3))
+    needed = F.lit(min_docs)
+    for k, (_, n) in enumerate(TELLING, 1):
+        needed = F.when(level == k, min(n, min_docs)).otherwise(needed)
     found = (
         held.groupBy("template")
         .agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
-        .where(F.col("n_docs") >= min_docs)
+        .where(F.col("n_docs") >= needed)
+    )
+    losing = stored(
+        held.join(found, "template").where(~F.col("doc_id").eqNullSafe(F.col("first_doc"))), "losing"
+    )
+    # below min_docs a line counts only between unlike documents
+    few = losing.where(F.col("n_docs") < min_docs)
+    pairs = few.select(F.col("doc_id").alias("__doc"), F.col("first_doc").alias("__first")).distinct()
+    signatures = (
+        emitted.where("signature is not null").groupBy("doc_id").agg(F.min("signature").alias("signature"))
+    )
+    first = signatures.select(
+        F.col("doc_id").alias("__first"), F.col("signature").alias("first_signature")
     )
-    return held, found
+    alike = (
+        pairs.join(signatures.withColumnRenamed("doc_id", "__doc"), "__doc")
+        .join(first, "__first")
+        .mapInArrow(_alike, "__doc bigint, __first bigint")
+    )
+    apart = few.join(
+        alike,
+        (F.col("doc_id") == F.col("__doc")) & (F.col("first_doc") == F.col("__first")),
+        "left_anti",
+    )
+    often = losing.where(F.col("n_docs") >= min_docs)
+    return often.unionByName(apart).select("doc_id", "template")
 
 
 def _rewrite(names: list[str], depth: int, stretches: int, longest_exact: int):
@@ -130,10 +206,15 @@ def drop_recurring_lines(
 
     Returns every row with its columns, ``text`` as it is left, and n_lines_dropped and
     n_lines_left (lines that are not blank). A template recurs when ``min_docs``
-    documents hold it; the document with the smallest doc_id of those keeps its lines,
+    documents hold it, or fewer if it fixes more tokens (``TELLING``: two documents
+    from 20 tokens on); the document with the smallest doc_id of those keeps its lines,
     so no content is lost altogether. Lines of up to ``longest_exact`` tokens must
     agree in all tokens (fields aside).
 
+    Where fewer than ``min_docs`` documents hold a template, a document that is like
+    the one that keeps (``ALIKE`` of their shingles, estimated) keeps as well: copies
+    and near-copies share all lines, and are whole documents to near-duplicate removal.
+
     Null texts stay null and have no lines; blank lines stay. A line repeated inside
     one document counts once. Rows with equal doc_id count as documents of their own,
     but lose the same templates, and the smallest doc_id keeps in all its rows. Null
@@ -141,12 +222,11 @@ def drop_recurring_lines(
     replace columns of the same name.
 
     The counts combine on the map side, so a line of a third of all documents is one
-    row per task. Only templates and ids are shuffled for the decision, the texts once.
+    row per task. Only templates, ids and signatures are shuffled for the decision, the
+    texts once. At most ``min_docs`` - 2 pairs of documents are compared per template.
     """
-    held, found = recurring_templates(docs, min_docs, depth, stretches, longest_exact)
     drops = (
-        held.join(found, "template")
-        .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+        recurring_templates(docs, min_docs, depth, stretches, longest_exact)
         .groupBy(F.col("doc_id").alias("__doc"))
         .agg(F.collect_set("template").alias("__drop"))
     )
