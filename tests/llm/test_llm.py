@@ -525,6 +525,42 @@ def test_quality_keeps_clean_text(spark):
     assert sum(k for k, _ in held_out) >= 18
 
 
+def test_quality_in_a_minority_script(spark):
+    rng = random.Random(31)
+    latin = "".join(map(chr, [*range(97, 123), *range(0xE0, 0x180)]))  # over 95 characters
+    many = [" ".join("".join(rng.choice(latin) for _ in range(6)) for _ in range(150)) for _ in range(60)]
+    syllables = ["\u043c\u0430", "\u0440\u043e", "\u043d\u0438", "\u0442\u0435", "\u043b\u0443"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(3))
+    clean = [" ".join(word() for _ in range(40)) for _ in range(30)]
+    letters = [chr(c) for c in range(0x0436, 0x0450)]
+    junk = [" ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(40)) for _ in range(10)]
+    # no blanks: each text is one unknown word
+    common = [chr(0x4E00 + k) for k in range(12)]
+    han = ["".join(rng.choices(common, range(12, 0, -1), k=400)) for _ in range(30)]
+    noise = ["".join(chr(0x6000 + rng.randrange(0x3000)) for _ in range(120)) for _ in range(10)]
+    texts = many + clean + junk + han + noise
+    langs = ["xx"] * 60 + ["ru"] * 40 + ["zh"] * 40
+    docs = spark.createDataFrame(
+        [(i, t, lang) for i, (t, lang) in enumerate(zip(texts, langs, strict=True))],
+        "doc_id bigint, text string, lang string",
+    )
+    trusted = [*range(60), *range(60, 85), *range(100, 125)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in trusted], "doc_id bigint, quality int, toxic int")
+    # each language by its own quantile
+    got = by_id(ngram_quality.judge(docs, labels, quantile=0.95))
+    assert sum(got[i].kept for i in [*range(85, 90), *range(125, 130)]) >= 7
+    assert not any(got[i].kept for i in [*range(90, 100), *range(130, 140)])
+
+
+def test_byte_model_adds_up(spark):
+    trusted = spark.createDataFrame([("ab \u0436\u4e00\x00",), ("abc",)], "text string")
+    model = ngram_quality.train(trusted)
+    table = ngram_quality.lookup_table(None)
+    contexts = ngram_quality.ngrams("ab \u0436\u4e00zz", table, 256, 3) // 256
+    each = (contexts[:, None] * 256 + np.arange(256)).astype(np.int32)
+    assert np.exp(-model.losses[each].astype(float)).sum(axis=1) == pytest.approx(np.ones(len(each)), rel=1e-4)
+
+
 # --- pipeline ----------------------------------------------------------------------------------------
 
 

@@ -3,7 +3,7 @@
 Words are predicted from the word before them. Pairs of words of all trusted text are
 counted; continuation counts, totals and discounts are aggregations of these counts,
 and the shares below the single words are spelling probabilities, from a Kneser-Ney
-model over characters, so that a new word costs what its letters cost. An
+model over UTF-8 bytes, so that a new word of any script costs what its letters cost. An
 interpolated model is a sum over the n-grams of a text:
 
     ln P(text) = sum of ln(base(w)) over its words + sum of value(g) over its n-grams
@@ -30,9 +30,9 @@ from pyspark.sql import types as T
 
 from transitlake.llm.common import stored, text_blocks, whole_text
 
-ALPHABET = 96
+BYTES = 256
 ORDER = 3
-# Largest table that is sent to the tasks (numbers of four bytes).
+# Largest dense table of a model over chosen characters (numbers of four bytes).
 MOST_CELLS = 1 << 22
 # Thresholds are exact to this many bins a nat.
 BINS = 2000
@@ -50,11 +50,15 @@ def code_points(text: str) -> np.ndarray:
 
 def symbols(text: str, table: np.ndarray, order: int) -> np.ndarray:
     """The text as symbols, after ``order`` - 1 times the symbol 0."""
-    return np.concatenate([np.zeros(order - 1, np.int32), table[code_points(text)]])
+    if len(table) == BYTES:
+        points = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    else:
+        points = code_points(text)
+    return np.concatenate([np.zeros(order - 1, np.int32), table[points]])
 
 
 def ngrams(text: str, table: np.ndarray, size: int, order: int) -> np.ndarray:
-    """The number of the n-gram that ends at each character."""
+    """The number of the n-gram that ends at each symbol."""
     s = symbols(text, table, order)
     n = len(s) - order + 1
     out = s[:n].astype(np.int32)
@@ -63,7 +67,12 @@ def ngrams(text: str, table: np.ndarray, size: int, order: int) -> np.ndarray:
     return out
 
 
-def lookup_table(alphabet: list[int]) -> np.ndarray:
+def lookup_table(alphabet: list[int] | None) -> np.ndarray:
+    """The symbol of each code point; without an alphabet, that of each byte."""
+    if alphabet is None:
+        table = np.arange(BYTES, dtype=np.int32)
+        table[0] = BYTES - 1  # 0 is the padding, and 255 is no byte of UTF-8
+        return table
     table = np.zeros(0x110000, np.int32)
     table[alphabet] = np.arange(1, len(alphabet) + 1)
     return table
@@ -90,18 +99,15 @@ def choose_alphabet(trusted: DataFrame, size: int) -> list[int]:
     return [r.point for r in top.limit(size - 1).collect()]
 
 
-def _ngram_counts(alphabet: list[int], size: int, order: int):
+def _ngram_counts(alphabet: list[int] | None, size: int, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = lookup_table(alphabet)
-        total = np.zeros(size**order, np.int64)
         for _, texts in text_blocks(batches):
             found = [ngrams(t, table, size, order) for t in texts]
             grams, n = np.unique(np.concatenate(found), return_counts=True)
-            total[grams] += n
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen.astype(np.int64)), pa.array(total[seen])], names=["gram", "n"]
-        )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams.astype(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"]
+            )
 
     return run
 
@@ -138,22 +144,50 @@ def discounted(counts: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     return shares, contexts.select("context", (F.col("taken") / F.col("total") / 1e9).alias("left"))
 
 
+@dataclass
+class SeenLosses:
+    """Losses of n-grams as rows: those seen by themselves, all others by their parts."""
+
+    size: int
+    lower: int  # how many n-grams the next lower order has
+    grams: np.ndarray  # those seen, sorted
+    own: np.ndarray
+    left: np.ndarray  # loss of what a context leaves to the lower order
+    rest: np.ndarray  # loss of each n-gram of the lower order
+
+    def __getitem__(self, grams: np.ndarray) -> np.ndarray:
+        out = self.left[grams // self.size] + self.rest[grams % self.lower]
+        if len(self.grams):
+            at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+            out = np.where(self.grams[at] == grams, self.own[at], out)
+        return out
+
+
 @dataclass
 class Model:
-    alphabet: list[int]
+    alphabet: list[int] | None
     size: int
     order: int
-    losses: np.ndarray  # of each n-gram, in nats
+    losses: np.ndarray | SeenLosses  # of each n-gram, in nats
 
     def loss(self, text: str, table: np.ndarray) -> float:
         return float(self.losses[ngrams(text, table, self.size, self.order)].sum(dtype=np.float64))
 
 
-def train(trusted: DataFrame, size: int = ALPHABET, order: int = ORDER) -> Model:
-    """Train on the ``text`` of all rows of ``trusted`` (which may be empty)."""
-    if size**order > MOST_CELLS:
-        raise ValueError(f"{size}^{order} is over {MOST_CELLS} numbers")
-    alphabet = choose_alphabet(trusted, size)
+def train(trusted: DataFrame, size: int | None = None, order: int = ORDER) -> Model:
+    """Train on the ``text`` of all rows of ``trusted`` (which may be empty).
+
+    The symbols are the bytes of UTF-8, so no script falls together with the padding;
+    with ``size``, the ``size`` - 1 most frequent characters and one for all others. Over
+    bytes, the n-grams of the highest order are rows for those seen, at most 256 ^ order.
+    """
+    alphabet = None
+    if size is None:
+        size = BYTES
+    else:
+        if size**order > MOST_CELLS:
+            raise ValueError(f"{size}^{order} is over {MOST_CELLS} numbers")
+        alphabet = choose_alphabet(trusted, size)
     grams = trusted.mapInArrow(_ngram_counts(alphabet, size, order), "gram bigint, n bigint")
     counts = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")), "ngrams")
     levels = [counts]
@@ -166,6 +200,18 @@ def train(trusted: DataFrame, size: int = ALPHABET, order: int = ORDER) -> Model
         shares, lefts = (x.toArrow() for x in discounted(level, size))
         left = np.ones(size ** (m - 1))
         left[lefts["context"].to_numpy()] = lefts["left"].to_numpy()
+        if alphabet is None and m == order:
+            shares = shares.sort_by("gram")
+            grams, lower = shares["gram"].to_numpy(), size ** (m - 1)
+            own = shares["share"].to_numpy() + left[grams // size] * p[grams % lower]
+            return Model(
+                None,
+                size,
+                order,
+                SeenLosses(size, lower, grams.astype(np.int32), *(
+                    (-np.log(x)).astype(np.float32) for x in (own, left, p)
+                )),
+            )
         p = np.repeat(p, size) if m == 1 else np.tile(p, size)
         p = p * np.repeat(left, size)
         p[shares["gram"].to_numpy()] += shares["share"].to_numpy()
@@ -200,9 +246,13 @@ class Words:
         line = "  " + "  ".join(words) + "  "
         losses = spelling.losses[ngrams(line, table, spelling.size, spelling.order)]
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths + 2) + 1
+        if spelling.alphabet is None:
+            spans = np.fromiter((len(w.encode("utf-8", "surrogatepass")) for w in words), np.int64, len(words))
+        else:
+            spans = lengths
+        ends = np.cumsum(spans + 2) + 1
         total = np.concatenate([[0.0], np.cumsum(losses, dtype=np.float64)])
-        base = total[ends] - total[ends - lengths - 1]
+        base = total[ends] - total[ends - spans - 1]
         self.base = np.concatenate([[0.0], -base])  # ln of the spelling probability
         self.chars = np.concatenate([[0], lengths + 1])  # with the blank after a word
 
@@ -324,7 +374,12 @@ def word_values(trusted: DataFrame, spelling: Model) -> tuple[DataFrame, list[fl
         pairs.join(contexts, "h")
         .selectExpr("w", f"{PAIR} as gram", "m0 as n", *own)
         .join(words.drop("n", "base"), "w")
-        .selectExpr("gram", "n", *[f"cast(ln(1D + a{x} / p{x}) as float) as {MODELS[x]}" for x in models])
+        .selectExpr("gram", "n", *[
+            # the share of a long word that a half has not seen may be too small for a
+            # double; then the half has not seen the pair either
+            f"cast(coalesce(ln(1D + a{x} / nullif(p{x}, 0D)), 0D) as float) as {MODELS[x]}"
+            for x in models
+        ])
     )
     return stored(single.unionByName(double), "values"), [float(np.log(r)) for r in rest]
 
@@ -488,7 +543,7 @@ def judge(
     docs: DataFrame,
     labels: DataFrame,
     quantile: float = 0.995,
-    alphabet: int = ALPHABET,
+    alphabet: int | None = None,
     order: int = ORDER,
     head: int = HEAD,
 ) -> DataFrame:
@@ -497,7 +552,7 @@ def judge(
     ``docs`` has doc_id, text and lang, all columns come back; ``labels`` has doc_id,
     quality and toxic. Trusted text: documents all of whose labels say quality 1 and
     not toxic. The model is trained on all of it (``alphabet`` and ``order`` are those
-    of the spelling model, which has at most alphabet ^ order numbers). A document is
+    of the spelling model: bytes, or the characters of an alphabet of that size). A document is
     kept when its perplexity is at most the ``quantile`` of the trusted documents of
     its language, each of which is measured by the counts of the half that it is not
     in, since a text looks better to a model that has read it.
