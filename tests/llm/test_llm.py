@@ -552,6 +552,22 @@ def test_quality_in_a_minority_script(spark):
     assert not any(got[i].kept for i in [*range(90, 100), *range(130, 140)])
 
 
+def test_quality_judges_by_models_that_have_not_read_the_text(spark):
+    rng = random.Random(41)
+    docs = documents(spark, [" ".join(words(rng, 30, 200)) for _ in range(24)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    rows = docs.withColumn("key", F.xxhash64("text")).withColumn("half", F.pmod("key", F.lit(2)))
+    trusted = rows.where("doc_id < 20")
+    spelling = ngram_quality.train(trusted.select(ngram_quality.spelled().alias("text")))
+    values, rest = ngram_quality.word_values(trusted.select("half", "text"), spelling)
+    losses = {r.key: r for r in ngram_quality.text_losses(rows, values, rest, spelling).collect()}
+    got = by_id(ngram_quality.judge(docs, labels))
+    for r in rows.collect():
+        own = losses[r.key]
+        fair = (own.half0 + own.half1) / 2 if r.doc_id >= 20 else own.half0 if r.half else own.half1
+        assert np.log(got[r.doc_id].perplexity) == pytest.approx(fair, rel=1e-6)
+
+
 def test_byte_model_adds_up(spark):
     trusted = spark.createDataFrame([("ab \u0436\u4e00\x00",), ("abc",)], "text string")
     model = ngram_quality.train(trusted)

@@ -554,8 +554,9 @@ def judge(
     not toxic. The model is trained on all of it (``alphabet`` and ``order`` are those
     of the spelling model: bytes, or the characters of an alphabet of that size). A document is
     kept when its perplexity is at most the ``quantile`` of the trusted documents of
-    its language, each of which is measured by the counts of the half that it is not
-    in, since a text looks better to a model that has read it.
+    its language. A trusted text is measured by the counts of the half that it is not
+    in, since a text looks better to a model that has read it, and any other text by
+    both halves (the mean of their losses), so that all are judged by models of one size.
     A language without trusted documents takes the quantile over all languages, and
     one with too few to have the quantile (under 1 / (1 - quantile)) the greater of
     both; without any trusted document all are kept.
@@ -588,7 +589,7 @@ def judge(
         text_losses(docs.select(key.alias("key"), whole_text().alias("text")), values, rest, spelling, head),
         "losses",
     )
-    unseen = F.when(F.col("half") == 0, F.col("half1")).otherwise(F.col("half0"))
+    unseen = F.when(F.col("half") == 0, F.col("half1")).when(F.col("half") == 1, F.col("half0"))
     held_out = trusted.select("lang", "half", "key").join(losses, "key").select("lang", unseen.alias("__loss"))
     limits = stored(thresholds(held_out, quantile), "thresholds")
     own = limits.where("not __all").select("__lang", "__most", "__n")
@@ -596,7 +597,9 @@ def judge(
     pooled = F.lit(overall).cast("double")
     few = F.col("__n") * (1 - quantile) < 1
     most = F.when(few, F.greatest("__most", pooled)).otherwise(F.coalesce("__most", pooled))
-    scores = losses.select(F.col("key").alias("__key"), F.col("whole").alias("__loss"))
+    read = trusted.select("key", "half").distinct()
+    fair = F.coalesce(unseen, (F.col("half0") + F.col("half1")) / 2)
+    scores = losses.join(read, "key", "left").select(F.col("key").alias("__key"), fair.alias("__loss"))
     rows = docs.withColumn("__key", key).join(scores, "__key", "left")
     return rows.join(own, F.col("lang").eqNullSafe(F.col("__lang")), "left").select(
         *names,
