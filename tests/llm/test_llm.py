@@ -84,6 +84,20 @@ def test_bad_host_is_blocked_and_thin_host_is_not(spark):
     assert got["bad.a.org"] == "block" and got["good.a.org"] == "allow"
 
 
+def test_page_takes_the_label_of_the_document_it_carries(spark):
+    pages = spark.createDataFrame(
+        [(i, "http://bad.a.org/" if i < 60 else "http://good.a.org/") for i in range(200)],
+        "page_id bigint, url string",
+    )
+    # the document of page i is 199 - i
+    labels = spark.createDataFrame(
+        [(199 - i, 0 if i < 60 else 1, 0) for i in range(200)], "doc_id bigint, quality int, toxic int"
+    )
+    carried = spark.createDataFrame([(i, 199 - i) for i in range(200)] * 2, "page_id bigint, doc_id bigint")
+    got = {r.host: r.verdict for r in url_reputation.judge_urls(pages, labels, carried=carried).collect()}
+    assert got == {"bad.a.org": "block", "good.a.org": "allow"}
+
+
 def test_warc_bundles(spark, tmp_path):
     body = "é" * 80
     rows = [

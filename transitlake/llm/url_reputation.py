@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from transitlake.llm.common import stored
 
@@ -127,11 +128,14 @@ def judge_urls(
     limit: float = 0.5,
     bound_sds: float = 1.645,
     long_suffixes: Sequence[str] = ("co.uk", "com.au", "co.jp", "com.br"),
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """A verdict for every page: page_id, host, path, rule, verdict, bad_mean, bad_low.
 
     ``pages`` has page_id and url; ``labels`` has doc_id (the page), quality and toxic,
-    where quality 0 or toxic 1 is a bad outcome. Other columns are ignored.
+    where quality 0 or toxic 1 is a bad outcome. Other columns are ignored. Where pages
+    have numbers of their own, ``carried`` (page_id, doc_id) says which documents a page
+    holds, and the page takes their labels; without it page_id is taken as doc_id.
 
     A null url, or one without ``://``, has an empty host and path and is judged as
     the host ''. A page with several labels is bad if one is; labels with nulls in
@@ -143,12 +147,20 @@ def judge_urls(
     per task; the last join is on the host, and splits when skewed.
     """
     spark = pages.sparkSession
+    labels = labels.select("doc_id", "quality", "toxic")
+    if carried is not None:
+        labels = (
+            carried.select("page_id", "doc_id")
+            .distinct()
+            .join(labels, "doc_id")
+            .select(F.col("page_id").alias("doc_id"), "quality", "toxic")
+        )
     urls = spark.sql(parsed_sql("{pages}"), pages=pages.select("page_id", "url"))
     counts = stored(
         spark.sql(
             host_counts_sql("{urls}", "{labels}", long_suffixes),
             urls=urls,
-            labels=labels.select("doc_id", "quality", "toxic"),
+            labels=labels,
         ),
         "host-counts",
     )
