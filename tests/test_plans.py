@@ -77,11 +77,14 @@ def test_recent_slice_is_a_subquery(spark):
 
 def test_row_difference_shuffles_each_side_once(spark, no_broadcast):
     orders = feeds.table(spark, FOLDER, "orders")
-    text = plan(new_or_changed(orders, orders.where(F.col("o_orderkey") > 5)))
-    # one per side, and one for the new rows
-    assert text.count("Exchange hashpartitioning") == 3
+    text = final_plan(new_or_changed(orders, orders.where(F.col("o_orderkey") > 5)))
+    text = text[: text.index("Initial Plan")] if "Initial Plan" in text else text
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    # one per side; new rows are moved again only by the block of a row with very many copies
+    assert sum("ReusedExchange" not in line and "_block" not in line for line in shuffles) == 2
     assert "SortMergeJoin" in text
-    assert text.count("partial_count") == 1
+    # of the stored side only digests are shuffled
+    assert all("_digest_high" in line and "_digest_low" in line for line in shuffles if "_block" not in line)
 
 
 def test_array_membership_is_an_equi_join(spark, no_broadcast):

@@ -50,7 +50,7 @@ def compact_arrays(df: DataFrame) -> DataFrame:
     return df.withColumns(arrays) if arrays else df
 
 
-def with_ingested_at(df: DataFrame, now: datetime | None = None) -> DataFrame:
+def with_ingested_at(df: DataFrame, now: datetime | str | None = None) -> DataFrame:
     """Stamp rows with the load time (one value for the whole load).
 
     A given ``now`` is read in the session's time zone, not the driver machine's.

@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitlake.functions.clean import compact_arrays, with_ingested_at
+from transitlake.operators.digests import (
+    HIGH,
+    KEY_HIGH,
+    KEY_LOW,
+    LOW,
+    DigestStore,
+    aligned,
+    comparable,
+    digest_columns,
+    is_encoded,
+)
 from transitlake.sources import tables
 
 # Fixed values of the load policy.
@@ -18,43 +29,7 @@ MAX_AGE_HOURS = 23
 
 # Copies of one row are restored in blocks of at most this many.
 COPIES_PER_BLOCK = 100_000
-
-
-def _comparable(value: Column, kind: T.DataType) -> Column:
-    """A form of ``value`` that groups and joins as a plain key.
-
-    Maps become sorted entries. Floating-point numbers become text, which is
-    exact both ways: Spark wraps floating keys in a normalization of its own,
-    and grouped rows would then not count as placed for the join that follows.
-    """
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        # adding zero makes -0.0 and 0.0 one number
-        return (value + F.lit(0).cast(kind)).cast("string")
-    if isinstance(kind, T.MapType):
-        entries = F.map_entries(value)
-        return F.array_sort(_comparable(entries, T.ArrayType(_entry_type(kind))))
-    if isinstance(kind, T.ArrayType) and _is_encoded(kind.elementType):
-        return F.transform(value, lambda item: _comparable(item, kind.elementType))
-    if isinstance(kind, T.StructType) and _is_encoded(kind):
-        fields = [_comparable(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
-        return F.when(value.isNotNull(), F.struct(*fields))
-    return value
-
-
-def _entry_type(kind: T.MapType) -> T.StructType:
-    return T.StructType(
-        [T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)]
-    )
-
-
-def _is_encoded(kind: T.DataType) -> bool:
-    if isinstance(kind, (T.MapType, T.FloatType, T.DoubleType)):
-        return True
-    if isinstance(kind, T.ArrayType):
-        return _is_encoded(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return any(_is_encoded(f.dataType) for f in kind.fields)
-    return False
+STAMP = "ingested_at"
 
 
 def new_or_changed(
@@ -66,40 +41,36 @@ def new_or_changed(
     neither take part nor come out. A column the stored table does not have
     counts as NULL there.
 
-    Both sides are first reduced to one record per different row, before their
-    single shuffle, so many copies of a row travel as one record with a count
-    and no task receives them all; the copies are restored afterwards in blocks.
+    Rows are compared by 128-bit digests, all that is shuffled of the stored side. Both
+    sides are first reduced to one record per different row, before their single
+    shuffle, so many copies of a row travel as one record with a count and no task
+    receives them all; the copies are restored afterwards in blocks.
     """
     names = [c for c in incoming.columns if c not in exclude]
     kinds = {f.name: f.dataType for f in incoming.schema.fields}
-    # nested columns that are compared in another form travel along as they are
+    # nested columns that group in another form travel along as they are
     kept = [
         n
         for n in names
-        if _is_encoded(kinds[n]) and not isinstance(kinds[n], (T.FloatType, T.DoubleType))
+        if is_encoded(kinds[n]) and not isinstance(kinds[n], (T.FloatType, T.DoubleType))
     ]
-    left = _as_record(incoming, names, kinds, kept)
-    left = left.groupBy("_digest", "_record").agg(
-        F.count(F.lit(1)).alias("_copies"),
-        *[F.any_value(f"_kept_{n}").alias(f"_kept_{n}") for n in kept],
-    )
-
-    present = set(stored.columns)
-    aligned = stored.select(
-        *[
-            (F.col(f"`{n}`") if n in present else F.lit(None))
-            # by name, so that the NULL-ability of nested parts is left alone
-            .cast(kinds[n].simpleString())
-            .alias(n)
-            for n in names
-        ]
+    record = F.struct(*[comparable(F.col(f"`{n}`"), kinds[n]).alias(n) for n in names])
+    left = (
+        incoming.select(
+            record.alias("_record"),
+            *digest_columns(names, kinds),
+            *[F.col(f"`{n}`").alias(f"_kept_{n}") for n in kept],
+        )
+        # by the digest alone, so that the join finds the rows placed
+        .groupBy(HIGH, LOW)
+        .agg(
+            F.count(F.lit(1)).alias("_copies"),
+            F.any_value("_record").alias("_record"),
+            *[F.any_value(f"_kept_{n}").alias(f"_kept_{n}") for n in kept],
+        )
     )
-    right = _as_record(aligned, names, kinds, []).select("_digest", "_record").distinct()
-
-    # struct equality treats NULL fields as equal; the digest settles most
-    # comparisons on a single long
-    same = (left["_digest"] == right["_digest"]) & (left["_record"] == right["_record"])
-    fresh = left.join(right, same, "left_anti")
+    right = aligned(stored, names, kinds).select(*digest_columns(names, kinds)).distinct()
+    fresh = left.join(right, [HIGH, LOW], "left_anti")
     out = [
         (F.col(f"_kept_{n}") if n in kept else F.col(f"_record.`{n}`").cast(kinds[n])).alias(n)
         for n in names
@@ -107,15 +78,6 @@ def new_or_changed(
     return _restore_copies(fresh).select(*out)
 
 
-def _as_record(
-    df: DataFrame, names: Sequence[str], kinds: dict[str, T.DataType], kept: Sequence[str]
-) -> DataFrame:
-    parts = [_comparable(F.col(f"`{n}`"), kinds[n]).alias(n) for n in names]
-    originals = [F.col(f"`{n}`").alias(f"_kept_{n}") for n in kept]
-    record = df.select(F.struct(*parts).alias("_record"), *originals)
-    return record.withColumn("_digest", F.xxhash64("_record"))
-
-
 def _shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -123,20 +85,24 @@ def _shuffle_partitions(spark: SparkSession) -> int:
 def _restore_copies(df: DataFrame) -> DataFrame:
     """Repeat each row ``_copies`` times.
 
-    A row is first cut into blocks of copies and the blocks are spread over the
-    cluster, so a row with very many copies is written out by many tasks. What
-    is shuffled here are the new rows only, still one record per block.
+    Rows of up to one block of copies are written out where they are. The others, few
+    by their nature, are cut into blocks that are spread over the cluster, so a row
+    with very many copies is written out by many tasks.
     """
     one = F.lit(1).cast("bigint")
+    few = df.where(F.col("_copies") <= COPIES_PER_BLOCK).withColumn("_block", one)
     last = F.ceil(F.col("_copies") / COPIES_PER_BLOCK).cast("bigint")
-    blocks = df.withColumn("_block", F.explode(F.sequence(one, last)))
-    # an explicit number: the few bytes of the blocks would else be merged into one task
-    blocks = blocks.repartition(_shuffle_partitions(df.sparkSession), "_digest", "_block")
+    many = (
+        df.where(F.col("_copies") > COPIES_PER_BLOCK)
+        .withColumn("_block", F.explode(F.sequence(one, last)))
+        # an explicit number: the few bytes of the blocks would else be merged into one task
+        .repartition(_shuffle_partitions(df.sparkSession), HIGH, "_block")
+    )
     size = F.least(
         F.lit(COPIES_PER_BLOCK).cast("bigint"),
         F.col("_copies") - (F.col("_block") - 1) * COPIES_PER_BLOCK,
     )
-    return blocks.withColumn("_n", F.explode(F.sequence(one, size)))
+    return few.unionByName(many).withColumn("_n", F.explode(F.sequence(one, size)))
 
 
 def choose_mode_column(
@@ -160,20 +126,90 @@ def choose_mode_column(
     )
 
 
+def _digested(
+    df: DataFrame, names: Sequence[str], kinds: dict[str, T.DataType], keys: Sequence[str]
+) -> DataFrame:
+    """``df`` with the digests of its rows and, where there are keys, of those."""
+    of_keys = (
+        digest_columns(keys, kinds, KEY_HIGH, KEY_LOW)
+        if keys
+        else [F.lit(None).cast("bigint").alias(n) for n in (KEY_HIGH, KEY_LOW)]
+    )
+    return df.select("*", *of_keys, *digest_columns(names, kinds))
+
+
+def _different(digested: DataFrame, load: Column, keys: Sequence[str]) -> DataFrame:
+    """The different digests, each once; a key's digests come out together."""
+    stamped = digested.select(KEY_HIGH, KEY_LOW, HIGH, LOW, load.cast("bigint").alias("_load"))
+    newest = F.max("_load").alias("_load")
+    if keys:
+        return stamped.groupBy(KEY_HIGH, KEY_LOW, HIGH, LOW).agg(newest)
+    none = [F.lit(None).cast("bigint").alias(n) for n in (KEY_HIGH, KEY_LOW)]
+    return stamped.groupBy(HIGH, LOW).agg(newest).select(*none, HIGH, LOW, "_load")
+
+
 def load_table(
-    spark: SparkSession, incoming: DataFrame, target: str, now: datetime | None = None
+    spark: SparkSession,
+    incoming: DataFrame,
+    target: str,
+    now: datetime | None = None,
+    keys: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> str:
     """Append what is new in ``incoming`` to a stored table (path or name).
 
-    The comparison is a join and is made at any size. Returns ``diff``, or ``all``
-    for the first load.
+    The comparison is made at any size. Of the history only digests are read, from a
+    bucketed store beside the table (:class:`~transitlake.operators.digests.DigestStore`),
+    and nothing of it is shuffled; whole rows move only if their digest is new. With
+    ``keys``, which identify a row within a load, a row is new if it differs from the
+    newest stored version of its key. A table that has no store yet, or whose feed lost
+    a column or changed a type, is read once to make one.
+
+    ``buckets`` (shuffle partitions by default) is fixed by the first load. Returns
+    ``diff``, or ``all`` for the first load.
     """
     incoming = compact_arrays(incoming)
+    names = [c for c in incoming.columns if c != STAMP]
+    kinds = {f.name: f.dataType for f in incoming.schema.fields if f.name != STAMP}
+    types = {n: k.simpleString() for n, k in kinds.items()}
+    keys = list(keys)
+    # one moment for the whole load, in the session's time zone
+    now = str(now or spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0])
+    moment = F.unix_micros(F.lit(now).cast("timestamp"))
+
     mode = "diff" if tables.exists(spark, target) else "all"
-    if mode == "diff":
+    if mode == "all" and not tables.is_path(target):
+        # a named table has its folder once it is there
+        tables.write(with_ingested_at(incoming.limit(0), now), target, "append")
+    store = DigestStore(spark, target)
+
+    def history(where: str = "true") -> DataFrame:
         # the schema is known, so no footer is opened to infer one, and files
         # written before a column existed give NULL for it
-        stored = tables.read(spark, target, incoming.drop("ingested_at").schema)
-        incoming = new_or_changed(incoming, stored)
-    tables.write(with_ingested_at(incoming, now), target, "append")
+        stamped = T.StructType(
+            [f for f in incoming.schema.fields if f.name != STAMP]
+            + [T.StructField(STAMP, T.TimestampType())]
+        )
+        old = tables.read(spark, target, stamped).where(where)
+        same = aligned(old, [*names, STAMP], {**kinds, STAMP: T.TimestampType()})
+        load = F.coalesce(F.unix_micros(STAMP), F.lit(0))
+        return _different(_digested(same, names, kinds, keys), load, keys)
+
+    if not store.covers(types, keys):
+        store.settled()
+        wanted = buckets or _shuffle_partitions(spark)
+        store.start(history() if mode == "diff" else None, types, keys, wanted)
+    elif (stamp := store.pending_stamp()) is not None:
+        arrived = history(f"{STAMP} = timestamp'{stamp}'").select(HIGH, LOW)
+        store.add(store.pending().join(arrived, [HIGH, LOW], "left_semi"))
+        store.settled()
+    store.widen(types)
+
+    digested = _digested(incoming, names, kinds, keys)
+    pending = store.pend(store.new(_different(digested, moment, keys)), now)
+    matched = [HIGH, LOW] if not keys else [KEY_HIGH, KEY_LOW, HIGH, LOW]
+    rows = digested.join(pending.select(*matched), matched, "left_semi").select(*names)
+    tables.write(with_ingested_at(rows, now), target, "append")
+    store.add(pending)
+    store.settled()
     return mode

@@ -29,6 +29,57 @@ def exists(spark: SparkSession, target: str) -> bool:
     return any(not name.startswith(("_", ".")) for name in names)
 
 
+def location(spark: SparkSession, target: str) -> str:
+    """The folder that holds the target's files."""
+    if is_path(target):
+        return target.rstrip("/")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {target}")
+    return described.where("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+
+class Files:
+    """Small files below a folder, by whatever file system holds it."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._jvm, self._root = spark._jvm, root
+        self._fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self._root}/{name}" if name else self._root)
+
+    def names(self, folder: str) -> list[str]:
+        """Names in a folder; none if it does not exist."""
+        path = self._path(folder)
+        if not self._fs.exists(path):
+            return []
+        return [status.getPath().getName() for status in self._fs.listStatus(path)]
+
+    def read_text(self, name: str) -> str:
+        stream = self._fs.open(self._path(name))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_text(self, name: str, text: str) -> None:
+        """Write whole or not at all: the text is moved to its name when complete."""
+        aside = self._path(f"{name}.tmp")
+        stream = self._fs.create(aside, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        self._fs.delete(self._path(name), False)
+        if not self._fs.rename(aside, self._path(name)):
+            raise OSError(f"could not write {name} below {self._root}")
+
+    def delete(self, name: str) -> None:
+        """Remove a file or folder below the root, if it is there."""
+        if not name:
+            raise ValueError("the root itself stays")
+        self._fs.delete(self._path(name), True)
+
+
 def read(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
     """Read the target; at a path, columns that older files lack come out NULL."""
     if not is_path(target):
