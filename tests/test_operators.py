@@ -58,15 +58,22 @@ def test_previous_value_of_hot_keys_equals_lag(spark, hot):
     ]
     rows = spark.createDataFrame(data, "k int, t int, i int, v int")
     plain = previous_value(rows, ["k"], ["t", "i"], "v", "p")
-    # from every key being cut to none
-    sliced = previous_value(rows, ["k"], ["t", "i"], "v", "p", hot_rows=30, pieces=9)
-    assert bag(previous_value(rows, ["k"], ["t", "i"], "v", "p", hot_rows=105, pieces=5)) == bag(plain)
-    assert bag(plain) == bag(sliced)
+    # from one segment to a segment for each time, with empty ones between
+    for segment in ("0", "t div 70", "t div 3", "t", F.when(F.col("t") > 150, 1).otherwise(0)):
+        sliced = previous_value(rows, ["k"], ["t", "i"], "v", "p", segment)
+        assert bag(sliced) == bag(plain)
     want, last = Counter(), {}
     for k, t, i, v in sorted(data, key=lambda r: (r[0] or 0, r[1], r[2])):
         want[(k, t, i, v, last.get(k))] += 1
         last[k] = v
-    assert bag(sliced) == want
+    assert bag(plain) == want
+
+
+def test_previous_value_without_order_or_rows(spark):
+    rows = spark.createDataFrame([(1, None, 5), (1, 2, 6), (None, 1, 7), (None, 9, 8)], "k int, t int, v int")
+    got = previous_value(rows, ["k"], ["t"], "v", "p", "t div 4")
+    assert bag(got) == Counter([(1, None, 5, None), (1, 2, 6, 5), (None, 1, 7, None), (None, 9, 8, 7)])
+    assert previous_value(rows.limit(0), ["k"], ["t"], "v", "p", "t div 4").collect() == []
 
 
 def test_unnest_drops_empty(spark):

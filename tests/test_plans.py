@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from transitlake.operators.dedupe import latest_per_key
 from transitlake.operators.filters import recent_slice
 from transitlake.operators.incremental import new_or_changed
+from transitlake.operators.sequence import previous_value
 from transitlake.operators.joins import array_member_fold
 from transitlake.plans import staging
 from workloads import QUERIES, feeds
@@ -180,3 +181,28 @@ def test_a_hot_key_sends_a_row_per_task(spark, hot_items):
     stored = spark.createDataFrame([(2, "x")], "a int, b string")
     new = new_or_changed(copies, stored)
     assert new.count() == total
+
+
+def test_previous_value_reads_and_shuffles_its_input_once(spark, no_broadcast):
+    events = feeds.table(spark, FOLDER, "events").select("event_id", "user_id", "ts", "value")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    gaps = previous_value(events, ["user_id"], ["ts", "event_id"], "ts", "p", "date_trunc('MONTH', ts)")
+    # planning starts no job
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
+    text = final_plan(gaps)
+    text = text[: text.index("Initial Plan")]
+    assert text.count("FileScan") == 1 and "ReusedExchange" in text
+
+
+def test_a_hot_key_is_sorted_in_segments(spark):
+    hot = spark.range(0, 20_000, 1, 4).selectExpr("1 AS k", "id AS t", "id AS v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = previous_value(hot, ["k"], ["t"], "v", "p", "t div 500")
+        sizes = got.groupBy(F.spark_partition_id()).count().collect()
+        assert got.where("p = t - 1").count() == 19_999
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert max(r["count"] for r in sizes) < 6_000 and len(sizes) > 8

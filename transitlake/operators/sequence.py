@@ -4,14 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from transitlake.session import ensure_checkpoint_dir
-
-# A key with more rows than this is not sorted by a single task.
-HOT_ROWS = 5_000_000
-
 
 def previous_value(
     df: DataFrame,
@@ -19,69 +14,38 @@ def previous_value(
     order: Sequence[str],
     value: str,
     out: str,
-    hot_rows: int | None = HOT_ROWS,
-    pieces: int | None = None,
+    segment: str | Column | None = None,
 ) -> DataFrame:
     """Add ``out``: the value of the preceding row of the key, NULL for its first row.
 
-    ``order`` should identify a row within its key. Keys of ordinary size use a
-    ``lag`` window. The rows of hot keys are range-partitioned over (key, order),
-    so they are cut into even pieces however they are distributed, and the first
-    row of a piece takes its value from the last row of the piece before. Which
-    keys are hot is found by a count per key; there can be only few of them.
-    ``hot_rows=None`` skips the count, for inputs with a few rows per key.
-    ``pieces`` defaults to the session's number of shuffle partitions, which is
-    sized for the whole input.
+    ``order`` should identify a row within its key. ``segment`` (a column or an SQL
+    expression) cuts a key's rows into segments and must never decrease along ``order``,
+    as ``date_trunc('DAY', ts)`` for rows ordered by ``ts``. Rows are placed by key and
+    segment, so a key of any size is worked on by as many tasks as it has segments. The
+    first row of a segment takes its value from the last row of the key's segment before,
+    however many empty ones lie between: the first and last rows alone are placed by key
+    once more. The input is read and shuffled once; nothing is counted or written.
+
+    A segment should hold many rows of a busy key and is sorted by one task; a key with a
+    row per segment moves twice. Without ``segment`` a key is one task's work: for inputs
+    with a bounded number of rows per key.
     """
-    lagged = F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)).alias(out)
-    if hot_rows is None:
-        return df.select("*", lagged)
-
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > hot_rows)
-    if hot.isEmpty():
-        return df.select("*", lagged)
-
-    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    is_hot = _null_safe(keys, "_hot_")
-    cold_rows = df.join(hot, is_hot, "left_anti").select("*", lagged)
-    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cold_rows.unionByName(
-        _previous_across_pieces(
-            df.join(hot, is_hot, "left_semi"), keys, order, value, out, pieces
-        )
-    )
-
-
-def _null_safe(names: Sequence[str], prefix: str):
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & F.col(name).eqNullSafe(F.col(f"{prefix}{name}"))
-    return condition
-
-
-def _previous_across_pieces(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, pieces: int
-) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    # Range bounds come from a sample, so the pieces are fixed by a checkpoint:
-    # both uses below, and any retry after a lost executor, see the same ones.
-    ranged = (
-        df.repartitionByRange(pieces, *keys, *order)
-        .withColumn("_piece", F.spark_partition_id())
-        .checkpoint()
-    )
-    parts = [*keys, "_piece"]
-    within = Window.partitionBy(*parts).orderBy(*order)
-    rows = ranged.withColumns(
-        {"_lag": F.lag(value).over(within), "_nth": F.row_number().over(within)}
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    if segment is None:
+        return df.select("*", F.lag(value).over(whole).alias(out))
+
+    part = F.expr(segment) if isinstance(segment, str) else segment
+    within = Window.partitionBy(*keys, "_segment").orderBy(*order)
+    rows = df.withColumn("_segment", part).withColumns(
+        {
+            "_before": F.lag(value).over(within),
+            "_first": F.lag(F.lit(True), 1, False).over(within) == F.lit(False),
+            "_last": F.lead(F.lit(True), 1, False).over(within) == F.lit(False),
+        }
     )
-    # one row per key and piece
-    tails = ranged.groupBy(*parts).agg(F.max_by(value, F.struct(*order)).alias("_tail"))
-    across = Window.partitionBy(*keys).orderBy("_piece")
-    carried = tails.select(
-        *[F.col(c).alias(f"_c_{c}") for c in parts], F.lag("_tail").over(across).alias("_carried")
+    # both branches read the one shuffle below the windows
+    inner = rows.where(~F.col("_first")).select(*df.columns, F.col("_before").alias(out))
+    edges = rows.where(F.col("_first") | F.col("_last")).select(
+        *df.columns, "_first", F.lag(value).over(whole).alias(out)
     )
-    joined = rows.join(carried, _null_safe(parts, "_c_"), "left")
-    previous = F.when(F.col("_nth") == 1, F.col("_carried")).otherwise(F.col("_lag"))
-    return joined.select(*df.columns, previous.alias(out))
+    return inner.unionByName(edges.where("_first").drop("_first"))

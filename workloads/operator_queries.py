@@ -80,9 +80,9 @@ _LAG_SQL = """SELECT event_id, user_id,
        FROM events"""
 
 
-def _event_gaps(spark: SparkSession, folder: str, **how) -> DataFrame:
+def _event_gaps(spark: SparkSession, folder: str, segment: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "user_id", "ts")
-    lagged = previous_value(events, ["user_id"], ["ts", "event_id"], "ts", "prev", **how)
+    lagged = previous_value(events, ["user_id"], ["ts", "event_id"], "ts", "prev", segment)
     return lagged.selectExpr(
         "event_id",
         "user_id",
@@ -92,16 +92,14 @@ def _event_gaps(spark: SparkSession, folder: str, **how) -> DataFrame:
 
 @query("lag_event_gap", _LAG_SQL)
 def lag_event_gap(spark: SparkSession, folder: str) -> DataFrame:
-    return _event_gaps(spark, folder)
+    """Users' rows in segments of a quarter."""
+    return _event_gaps(spark, folder, "date_trunc('QUARTER', ts)")
 
 
 @query("lag_event_gap_hot_keys", _LAG_SQL)
 def lag_event_gap_hot_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with every user of more than average size taken as hot."""
-    rows, users = (
-        table(spark, folder, "events").agg(F.count("user_id"), F.count_distinct("user_id")).first()
-    )
-    return _event_gaps(spark, folder, hot_rows=rows // max(users, 1))
+    """The same in segments of a day, for users who fill one; most are empty here."""
+    return _event_gaps(spark, folder, "date_trunc('DAY', ts)")
 
 
 @query(
@@ -128,9 +126,7 @@ def lag_over_endpoints(spark: SparkSession, folder: str) -> DataFrame:
     ends = endpoints_per_key(
         feeds.stop_times(spark, folder).select("trip_id", *order), ["trip_id"], order
     )
-    lagged = previous_value(
-        ends, ["trip_id"], order, "departure_time", "first_departure", hot_rows=None
-    )
+    lagged = previous_value(ends, ["trip_id"], order, "departure_time", "first_departure")
     last = latest_per_key(lagged, ["trip_id"], "stop_sequence", ["departure_time"])
     return last.select(
         "trip_id", "first_departure", F.col("departure_time").alias("last_departure")
