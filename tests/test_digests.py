@@ -153,7 +153,7 @@ def test_a_load_that_broke_off_is_settled(spark, tmp_path, monkeypatch, broken):
         if broken == "before the rows":
             patch.setattr(incremental.tables, "write", stop)
         elif broken == "after the rows":
-            patch.setattr(DigestStore, "add", stop)
+            patch.setattr(DigestStore, "take_pending", stop)
         else:
             patch.setattr(DigestStore, "settled", stop)
         with pytest.raises(Stop):

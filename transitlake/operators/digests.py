@@ -110,9 +110,9 @@ class DigestStore:
     columns the digests cover and the generation in use; a change of columns that
     would change old digests starts a new generation.
 
-    Order of a load: digests of new rows are written aside (``pending``), the rows are
-    appended, the digests join the store, ``pending`` goes. A load that broke off is
-    settled by the next one: those pending digests whose rows arrived join the store.
+    Order of a load: digests of new rows are written aside (``pending``, bucketed alike),
+    the rows are appended, the digests' files are moved into the store. A load that broke
+    off is settled by the next one: those pending digests whose rows arrived join the store.
     """
 
     def __init__(self, spark: SparkSession, target: str):
@@ -143,20 +143,31 @@ class DigestStore:
         self.layout = layout
 
     @property
-    def table(self) -> str:
-        place = f"{self.root}/{self.layout['generation']}"
-        return f"row_digests_{sha256(place.encode()).hexdigest()[:20]}"
-
-    def _register(self) -> None:
-        place = f"{self.root}/{self.layout['generation']}"
-        keyed = f"{KEY_HIGH}, {KEY_LOW}" if self.layout["keys"] else f"{HIGH}, {LOW}"
-        self.spark.sql(
-            f"""CREATE TABLE IF NOT EXISTS {self.table}
-                ({KEY_HIGH} BIGINT, {KEY_LOW} BIGINT, {HIGH} BIGINT, {LOW} BIGINT, _load BIGINT)
-                USING parquet CLUSTERED BY ({keyed}) INTO {self.layout['buckets']} BUCKETS
-                LOCATION '{place}'"""
-        )
-        self.spark.catalog.refreshTable(self.table)
+    def keyed(self) -> list[str]:
+        return [KEY_HIGH, KEY_LOW] if self.layout["keys"] else [HIGH, LOW]
+
+    def _table(self, folder: str) -> str:
+        """The bucketed relation of the digests in a folder, registered by its place."""
+        place = f"{self.root}/{folder}"
+        name = f"row_digests_{sha256(place.encode()).hexdigest()[:20]}"
+        if not self.spark.catalog.tableExists(name):
+            self.spark.sql(
+                f"""CREATE TABLE {name}
+                    ({KEY_HIGH} BIGINT, {KEY_LOW} BIGINT, {HIGH} BIGINT, {LOW} BIGINT, _load BIGINT)
+                    USING parquet CLUSTERED BY ({', '.join(self.keyed)})
+                    INTO {self.layout['buckets']} BUCKETS LOCATION '{place}'"""
+            )
+        else:
+            # files may have come or gone by another session
+            self.spark.catalog.refreshTable(name)
+        return name
+
+    def _write(self, digests: DataFrame, folder: str) -> None:
+        """Add to a folder: one file per bucket, since the rows are dealt as the buckets are."""
+        name = self._table(folder)
+        columns = self.spark.table(name).columns
+        dealt = digests.select(*columns).repartition(self.layout["buckets"], *self.keyed)
+        dealt.write.insertInto(name)
 
     def covers(self, columns: dict[str, str], keys: Sequence[str]) -> bool:
         """Whether digests over ``columns`` (name to type) compare with the stored ones."""
@@ -178,7 +189,7 @@ class DigestStore:
         }
         # of an attempt that broke off before its layout was written
         self.fs.delete(self.layout["generation"])
-        self._register()
+        self._table(self.layout["generation"])
         if rows is not None:
             self.add(rows)
         self._save_layout()
@@ -190,25 +201,17 @@ class DigestStore:
 
     def compact(self) -> None:
         """Rewrite the store with one file per bucket."""
-        old, generation = self.known(), self.layout["generation"]
-        table = self.table
+        old, former = self.known(), self.layout["generation"]
         self.start(old, self.layout["columns"], self.layout["keys"], self.layout["buckets"])
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.fs.delete(generation)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._table(former)}")
+        self.fs.delete(former)
 
     def known(self) -> DataFrame:
         """All stored digests."""
-        self._register()
-        return self.spark.table(self.table)
+        return self.spark.table(self._table(self.layout["generation"]))
 
     def add(self, digests: DataFrame) -> None:
-        """Add digests; one file per bucket, since the rows are dealt as the buckets are."""
-        self._register()
-        keyed = [KEY_HIGH, KEY_LOW] if self.layout["keys"] else [HIGH, LOW]
-        columns = self.spark.table(self.table).columns
-        dealt = digests.select(*columns).repartition(self.layout["buckets"], *keyed)
-        dealt.write.insertInto(self.table)
-        self.spark.catalog.refreshTable(self.table)
+        self._write(digests, self.layout["generation"])
 
     def new(self, digests: DataFrame) -> DataFrame:
         """Those of ``digests`` that the store lacks.
@@ -217,9 +220,8 @@ class DigestStore:
         stored for their key, so a value that changes and changes back is new again.
         """
         known = self.known()
-        keyed = [KEY_HIGH, KEY_LOW] if self.layout["keys"] else [HIGH, LOW]
         # dealt as the buckets are, or Spark would rather shuffle the store
-        digests = digests.repartition(self.layout["buckets"], *keyed)
+        digests = digests.repartition(self.layout["buckets"], *self.keyed)
         if not self.layout["keys"]:
             # an anti-join would be moved below the repartition
             met = known.select(HIGH, LOW, F.lit(True).alias("_met"))
@@ -231,19 +233,30 @@ class DigestStore:
         same = (F.col("_newest")[HIGH] == F.col(HIGH)) & (F.col("_newest")[LOW] == F.col(LOW))
         return met.where(~F.coalesce(same, F.lit(False))).drop("_newest")
 
+    @property
+    def _pending(self) -> str:
+        return f"pending-{self.layout['generation']}"
+
     def pend(self, digests: DataFrame, stamp: str) -> DataFrame:
         """Write the digests of rows that are about to be appended; returns them as read."""
-        self.fs.delete("pending")
-        digests.write.parquet(f"{self.root}/pending/digests")
-        self.fs.write_text("pending/stamp", stamp)
+        self.settled()
+        self._write(digests, self._pending)
+        self.fs.write_text(f"{self._pending}/_stamp", stamp)
         return self.pending()
 
     def pending(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/pending/digests")
+        return self.spark.table(self._table(self._pending))
 
     def pending_stamp(self) -> str | None:
         """The stamp of a load that has not been settled."""
-        return self.fs.read_text("pending/stamp") if "stamp" in self.fs.names("pending") else None
+        if "_stamp" not in self.fs.names(self._pending):
+            return None
+        return self.fs.read_text(f"{self._pending}/_stamp")
+
+    def take_pending(self) -> None:
+        """The pending digests join the store: their files are moved."""
+        self.fs.move_data(self._pending, self.layout["generation"])
+        self.settled()
 
     def settled(self) -> None:
-        self.fs.delete("pending")
+        self.fs.delete(self._pending)

@@ -195,8 +195,7 @@ def load_table(
         load = F.coalesce(F.unix_micros(STAMP), F.lit(0))
         return _different(_digested(same, names, kinds, keys), load, keys)
 
-    if not store.covers(types, keys):
-        store.settled()
+    if mode == "all" or not store.covers(types, keys):
         wanted = buckets or _shuffle_partitions(spark)
         store.start(history() if mode == "diff" else None, types, keys, wanted)
     elif (stamp := store.pending_stamp()) is not None:
@@ -206,10 +205,15 @@ def load_table(
     store.widen(types)
 
     digested = _digested(incoming, names, kinds, keys)
-    pending = store.pend(store.new(_different(digested, moment, keys)), now)
-    matched = [HIGH, LOW] if not keys else [KEY_HIGH, KEY_LOW, HIGH, LOW]
-    rows = digested.join(pending.select(*matched), matched, "left_semi").select(*names)
-    tables.write(with_ingested_at(rows, now), target, "append")
-    store.add(pending)
-    store.settled()
+    found = _different(digested, moment, keys)
+    if mode == "all":
+        # nothing to compare with
+        store.pend(found, now)
+        rows = incoming
+    else:
+        pending = store.pend(store.new(found), now)
+        matched = [HIGH, LOW] if not keys else [KEY_HIGH, KEY_LOW, HIGH, LOW]
+        rows = digested.join(pending.select(*matched), matched, "left_semi")
+    tables.write(with_ingested_at(rows.select(*names), now), target, "append")
+    store.take_pending()
     return mode

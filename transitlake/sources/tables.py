@@ -73,6 +73,13 @@ class Files:
         if not self._fs.rename(aside, self._path(name)):
             raise OSError(f"could not write {name} below {self._root}")
 
+    def move_data(self, source: str, target: str) -> None:
+        """Move the data files of one folder into another; their names are unique."""
+        for name in self.names(source):
+            if not name.startswith(("_", ".")):
+                if not self._fs.rename(self._path(f"{source}/{name}"), self._path(f"{target}/{name}")):
+                    raise OSError(f"could not move {name} from {source} to {target}")
+
     def delete(self, name: str) -> None:
         """Remove a file or folder below the root, if it is there."""
         if not name:

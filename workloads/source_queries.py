@@ -219,7 +219,7 @@ def refreshed(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def incremental_load(spark: SparkSession, folder: str) -> DataFrame:
-    """Two loads of a feed, and a repeat of the second that must add nothing."""
+    """Two loads of a landed feed, and a repeat of the second that must add nothing."""
     target = shared_folder(spark, "incremental")
     routes = feeds.routes(spark, folder)
     first = routes.where("ingested_at = timestamp'2024-01-01'").select(
@@ -232,6 +232,13 @@ def incremental_load(spark: SparkSession, folder: str) -> DataFrame:
     )
     # rows that keep their name also keep their list of places
     second = second.join(first.select("id", "municipalities"), "id")
+
+    def landed(df: DataFrame) -> DataFrame:
+        path = shared_folder(spark, "landed")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    first, second = landed(first), landed(second)
     load_table(spark, first, target, now=datetime(2024, 1, 1))
     load_table(spark, second, target, now=datetime(2024, 1, 2))
     load_table(spark, second, target, now=datetime(2024, 1, 3))
