@@ -17,6 +17,8 @@ from transitlake.streaming.pings import (
     work_off,
     write_windows,
 )
+from transitlake.streaming import sink
+from transitlake.streaming.late import late_rows
 
 START = int(datetime(2025, 1, 1, 10, tzinfo=timezone.utc).timestamp())
 
@@ -42,7 +44,7 @@ def stream_to(spark, base, max_files=1):
     windows = vehicle_windows(read_pings(spark, f"{base}/in", max_files))
     query = write_windows(windows, f"{base}/out", f"{base}/checkpoint", trigger=None)
     assert run(query, 120)
-    return spark.read.schema(windows.schema).parquet(f"{base}/out")
+    return sink.read_windows(spark, f"{base}/out", windows.schema)
 
 
 def test_append_emits_only_closed_windows(spark, tmp_path):
@@ -124,7 +126,8 @@ def test_stream_joins_stops(spark, tmp_path, stops):
     located = views.with_next_stop(stream, stops)
     query = write_windows(located, f"{tmp_path}/out", f"{tmp_path}/cp", trigger=None)
     assert run(query, 120)
-    assert spark.read.parquet(f"{tmp_path}/out").where("stop_lat is not null").count() > 0
+    stored = sink.read_windows(spark, f"{tmp_path}/out", located.schema)
+    assert stored.where("stop_lat is not null").count() > 0
 
 
 def test_bounded_run_stops(spark, tmp_path):
@@ -162,3 +165,102 @@ def test_backlog_of_overlapping_files_keeps_every_window(spark, tmp_path):
     last = 1_704_067_200 + 30 * 119
     closed = batch.where(f"unix_timestamp(window.end) <= {last - 180}").count()
     assert spark.read.parquet(f"{tmp_path}/out").count() == closed > 0
+
+
+def many_batches(count, late_every):
+    """One ping a minute; every so often one from long before comes with it."""
+    return [
+        [ping(60 * i)] + ([ping(60 * i - 3600, lat=50.0)] if i % late_every == 0 and i > 60 else [])
+        for i in range(count)
+    ]
+
+
+def test_late_rows_of_all_batches_are_counted(spark, tmp_path):
+    batches = many_batches(108, 5)
+    write_files(tmp_path / "in", batches)
+    windows = vehicle_windows(read_pings(spark, f"{tmp_path}/in", 1))
+    query = write_windows(windows, f"{tmp_path}/out", f"{tmp_path}/cp", trigger=None)
+    with pytest.raises(RuntimeError, match="dropped as late"):
+        work_off(query)
+    ledger = late_rows(spark)
+    # more than a query's own reports reach back
+    assert ledger.batches(query) > 100 >= len(query.recentProgress)
+    want = sum(len(b) == 2 for b in batches)
+    assert ledger.total(query) == want == 9
+    rows = ledger.table(spark).where(f"run_id = '{query.runId}'").collect()
+    assert len(rows) == want and all(r["rows"] == 1 for r in rows)
+
+
+def test_a_batch_run_again_leaves_no_row_twice(spark, tmp_path, monkeypatch):
+    write_files(tmp_path / "in", [[ping(30 * i)] for i in range(24)])
+    real, wrote = sink._write, []
+
+    def fail_after_writing(df, out):
+        real(df, out)
+        wrote.append(1)
+        if len(wrote) == 12:
+            raise OSError("lost between write and commit")
+
+    windows = vehicle_windows(read_pings(spark, f"{tmp_path}/in", 1))
+    with monkeypatch.context() as patch:
+        patch.setattr(sink, "_write", fail_after_writing)
+        query = write_windows(windows, f"{tmp_path}/out", f"{tmp_path}/checkpoint", trigger=None)
+        with pytest.raises(Exception, match="lost between"):
+            query.awaitTermination(120)
+    before = sink.read_windows(spark, f"{tmp_path}/out", windows.schema).count()
+    out = stream_to(spark, tmp_path)
+    rows = out.select("id", "trip_id", "window").collect()
+    assert 0 < before < len(rows) == len(set(rows)) == 17
+
+
+def test_days_are_compacted_and_read_once(spark, tmp_path):
+    second_day = 15 * 3600
+    write_files(tmp_path / "in", [[ping(60 * i)] for i in range(8)] + [[ping(second_day + 60 * i)] for i in range(8)])
+    out, folder = stream_to(spark, tmp_path), f"{tmp_path}/out"
+    schema, want = out.schema, sorted(map(str, out.collect()))
+    days = sink.stored_batches(spark, folder)
+    assert len(days) == 2 and all(len(b) > 1 for b in days.values())
+    first, last = sorted(days)
+    assert sink.compact(spark, folder, schema, first) == len(days[first])
+    assert len(sink.stored_batches(spark, folder)[first]) == 1
+    # the newest batch may be run again and stays
+    sink.compact(spark, folder, schema, last)
+    left = sink.stored_batches(spark, folder)[last]
+    assert len(left) == 2 and left[0] < 0 and left[1] == days[last][-1]
+    assert sorted(map(str, sink.read_windows(spark, folder, schema).collect())) == want
+    # folders that a compaction could not remove are passed over
+    os.makedirs(f"{folder}/day={first}/batch={days[first][0]}")
+    assert sorted(map(str, sink.read_windows(spark, folder, schema).collect())) == want
+    assert sink.compact(spark, folder, schema, first) == 0
+    assert len(sink.stored_batches(spark, folder)[first]) == 1
+    recent = sink.recent_windows(spark, folder, schema, 120)
+    assert recent.inputFiles() and recent.where("last_timestamp > timestamp'2025-01-02'").count() > 0
+    far = sink.read_windows(spark, folder, schema, last)
+    assert all(f"day={last}" in name for name in far.inputFiles())
+
+
+def test_an_empty_sink_has_no_windows(spark, tmp_path):
+    write_files(tmp_path / "in", [[ping(0)]])
+    out = stream_to(spark, tmp_path)
+    assert out.count() == 0 and "window" in out.columns
+    assert sink.recent_windows(spark, f"{tmp_path}/out", out.schema, 120).count() == 0
+
+
+def test_pings_are_combined_in_panes_before_they_are_copied(spark):
+    rows = spark.range(0, 12_000, 1, 4).selectExpr(
+        "cast(id % 2 as string) as id", "'t' as trip_id", f"{START} + id % 600 as timestamp",
+        "cast(1 as float) as lat", "cast(2 as float) as lon", "'x' as current_status",
+        "'r' as route_id", "'s' as stop_id",
+    )
+    windows = vehicle_windows(rows, slide="10 seconds")
+    plan = windows._jdf.queryExecution().executedPlan().toString()
+    # the copies for overlapping windows are made above the first shuffle only
+    assert "Expand" not in plan[plan.rindex("Exchange") :] and "Expand" in plan
+    windows.write.format("noop").mode("overwrite").save()
+    from test_plans import shuffled_records
+
+    panes = 2 * 60
+    # one row per vehicle, pane and window start of a task goes through each shuffle
+    assert shuffled_records(spark, windows.select("id", "window")) <= panes * 12 * 4
+    want = windows.groupBy("id").count().collect()
+    assert all(r["count"] == 60 + 11 for r in want)

@@ -80,6 +80,11 @@ class Files:
                 if not self._fs.rename(self._path(f"{source}/{name}"), self._path(f"{target}/{name}")):
                     raise OSError(f"could not move {name} from {source} to {target}")
 
+    def rename(self, source: str, target: str) -> None:
+        """Move a file or folder to a name that is free."""
+        if not self._fs.rename(self._path(source), self._path(target)):
+            raise OSError(f"could not move {source} to {target} below {self._root}")
+
     def delete(self, name: str) -> None:
         """Remove a file or folder below the root, if it is there."""
         if not name:

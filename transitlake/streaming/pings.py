@@ -6,12 +6,16 @@ effect; there they serve backfills and comparison with SQL.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from transitlake.functions.geo import with_motion
 from transitlake.schemas import PING
+from transitlake.streaming.late import late_rows
+from transitlake.streaming.sink import append_batch
 
 # Fixed values of the running job.
 WINDOW_LENGTH = "2 minutes"
@@ -38,6 +42,15 @@ def with_event_time(df: DataFrame, column: str = "timestamp") -> DataFrame:
     return df.withColumn(column, F.timestamp_seconds(F.col(column)))
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _seconds(duration: str) -> int:
+    """'2 minutes' to 120."""
+    number, unit = duration.split()
+    return int(number) * _UNITS[unit.rstrip("s")]
+
+
 def aggregate_pings(
     df: DataFrame,
     length: str = WINDOW_LENGTH,
@@ -48,15 +61,21 @@ def aggregate_pings(
 
     First and last position are chosen by event time, ties by coordinates, so
     the result does not depend on arrival order. Status, route and stop are the
-    highest text of the window, as in the original job. The partial aggregation
-    before the shuffle leaves one row per task for a busy vehicle's window.
+    highest text of the window, as in the original job.
+
+    A ping is aggregated once, into the pane it falls in: panes follow each other and
+    both length and slide are whole numbers of them. Windows are put together from
+    panes, so what is copied per overlapping window is a row per vehicle, trip and pane.
+    On a stream a ping is late when its pane has closed, so a ping that is later than the
+    watermark allows is left out of all its windows alike.
     """
     fix = F.struct(
         F.col("timestamp").alias("ts"), F.col("lat").alias("lat"), F.col("lon").alias("lon")
     )
-    windows = (
+    pane = f"{math.gcd(_seconds(length), _seconds(slide))} seconds"
+    panes = (
         df.withWatermark("timestamp", watermark)
-        .groupBy("id", "trip_id", F.window("timestamp", length, slide))
+        .groupBy("id", "trip_id", F.window("timestamp", pane).alias("_pane"))
         .agg(
             F.max("current_status").alias("current_status"),
             F.max("route_id").alias("route_id"),
@@ -65,6 +84,13 @@ def aggregate_pings(
             F.max(fix).alias("_last"),
         )
     )
+    windows = panes.groupBy("id", "trip_id", F.window("_pane", length, slide).alias("window")).agg(
+        F.max("current_status").alias("current_status"),
+        F.max("route_id").alias("route_id"),
+        F.max("stop_id").alias("stop_id"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+    )
     return windows.select(
         "id",
         "trip_id",
@@ -96,11 +122,15 @@ def write_windows(
 ) -> StreamingQuery:
     """Start the parquet sink in append mode: a window is written once, when closed.
 
-    ``trigger=None`` works off what is there and stops. The checkpoint is the
-    stream's memory across restarts; it is never cleared here.
+    Windows lie by day and batch (:mod:`transitlake.streaming.sink`), so a batch that
+    is run again after a failure replaces what it had written. ``trigger=None`` works off
+    what is there and stops. The checkpoint is the stream's memory across restarts; it is
+    never cleared here.
     """
+    # counts from the first batch on
+    late_rows(df.sparkSession)
     writer = (
-        df.writeStream.format("parquet")
+        df.writeStream.foreachBatch(append_batch(out))
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
@@ -108,16 +138,12 @@ def write_windows(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=trigger)
-    return writer.start(out)
+    return writer.start()
 
 
 def dropped_rows(query: StreamingQuery) -> int:
-    """Aggregated rows that came after the watermark, as far as progress tells."""
-    return sum(
-        state["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
-    )
+    """Aggregated rows of all batches of a run that came after the watermark."""
+    return late_rows(SparkSession.active()).total(query)
 
 
 def work_off(query: StreamingQuery) -> None:

@@ -48,6 +48,22 @@ def _newest(source: str, key: str, version: str) -> str:
     )
 
 
+def _windows_sql(slide: int) -> str:
+    """Windows of two minutes with their motion, by the second they start in."""
+    starts = ", ".join(f"ts // {slide} * {slide} - {back}" for back in range(0, 120, slide))
+    return f"""SELECT *, {haversine_sql('first_lat', 'first_lon', 'last_lat', 'last_lon')} AS distance,
+                   last_ts - first_ts AS time_delta
+            FROM (SELECT id, trip_id, w, max(current_status) AS current_status,
+                         max(route_id) AS route_id, max(stop_id) AS stop_id,
+                         min(ts) AS first_ts, max(ts) AS last_ts,
+                         arg_min(lat, (ts, lat, lon)) AS first_lat,
+                         arg_min(lon, (ts, lat, lon)) AS first_lon,
+                         arg_max(lat, (ts, lat, lon)) AS last_lat,
+                         arg_max(lon, (ts, lat, lon)) AS last_lon
+                  FROM (SELECT *, unnest([{starts}]) AS w FROM raw_pings)
+                  GROUP BY id, trip_id, w)"""
+
+
 # Each relation: the relations it needs, and its SQL.
 RELATIONS: dict[str, tuple[str, str]] = {f"raw_{n}": ("", sql) for n, sql in FEED_SQL.items()}
 RELATIONS |= {
@@ -165,22 +181,8 @@ RELATIONS |= {
                   period_name
            FROM order_days LEFT JOIN stg_calendar_dates ON date_day = date""",
     ),
-    "windows": (
-        "raw_pings",
-        f"""SELECT *, {haversine_sql('first_lat', 'first_lon', 'last_lat', 'last_lon')} AS distance,
-                   last_ts - first_ts AS time_delta
-            FROM (SELECT id, trip_id, w, max(current_status) AS current_status,
-                         max(route_id) AS route_id, max(stop_id) AS stop_id,
-                         min(ts) AS first_ts, max(ts) AS last_ts,
-                         arg_min(lat, (ts, lat, lon)) AS first_lat,
-                         arg_min(lon, (ts, lat, lon)) AS first_lon,
-                         arg_max(lat, (ts, lat, lon)) AS last_lat,
-                         arg_max(lon, (ts, lat, lon)) AS last_lon
-                  FROM (SELECT *, unnest([ts // 30 * 30 - 90, ts // 30 * 30 - 60,
-                                          ts // 30 * 30 - 30, ts // 30 * 30]) AS w
-                        FROM raw_pings)
-                  GROUP BY id, trip_id, w)""",
-    ),
+    "windows": ("raw_pings", _windows_sql(30)),
+    "windows_10s": ("raw_pings", _windows_sql(10)),
 }
 
 
@@ -535,8 +537,10 @@ def route_municipality_pairs(spark, folder):
 # --- positions --------------------------------------------------------------
 
 _WINDOW_COLUMNS = """id, trip_id, w AS window_start, current_status, route_id, stop_id,
-    first_ts, last_ts, round(distance, 4) AS distance, time_delta,
-    round(distance / nullif(time_delta / 3600.0, 0), 3) AS average_speed"""
+    first_ts, last_ts, round(CAST(first_lat AS DOUBLE), 6) AS first_lat,
+    round(CAST(first_lon AS DOUBLE), 6) AS first_lon, round(CAST(last_lat AS DOUBLE), 6) AS last_lat,
+    round(CAST(last_lon AS DOUBLE), 6) AS last_lon, round(distance, 6) AS distance, time_delta,
+    round(distance / nullif(time_delta / 3600.0, 0), 6) AS average_speed"""
 
 
 def window_columns(df: DataFrame) -> DataFrame:
@@ -550,9 +554,13 @@ def window_columns(df: DataFrame) -> DataFrame:
         "stop_id",
         F.unix_seconds("first_timestamp").alias("first_ts"),
         F.unix_seconds("last_timestamp").alias("last_ts"),
-        F.round("distance", 4).alias("distance"),
+        *[
+            F.round(F.col(c).cast("double"), 6).alias(c)
+            for c in ("first_lat", "first_lon", "last_lat", "last_lon")
+        ],
+        F.round("distance", 6).alias("distance"),
         "time_delta",
-        F.round("average_speed", 3).alias("average_speed"),
+        F.round("average_speed", 6).alias("average_speed"),
     )
 
 
@@ -561,6 +569,13 @@ def motion_windows(spark, folder):
     return window_columns(Relations(spark, folder).windows())
 
 
+@query("motion_windows_10s", sql_of(f"SELECT {_WINDOW_COLUMNS} FROM windows_10s", "windows_10s"))
+def motion_windows_10s(spark, folder):
+    """The same with a window every ten seconds, put together from panes of ten seconds."""
+    pings = Relations(spark, folder).raw("pings")
+    return window_columns(vehicle_windows(pings, slide="10 seconds"))
+
+
 _ETA = f"""SELECT id, w AS window_start, stop_id, round(km, 4) AS distance_till_stop,
                   round(km / nullif(distance / nullif(time_delta / 3600.0, 0), 0) * 60, 3)
                     AS stop_eta
@@ -572,7 +587,7 @@ _ETA = f"""SELECT id, w AS window_start, stop_id, round(km, 4) AS distance_till_
                    ON s_id = stop_id)"""
 
 
-def _eta_columns(df: DataFrame) -> DataFrame:
+def eta_columns(df: DataFrame) -> DataFrame:
     return df.select(
         "id",
         F.unix_seconds("window.start").alias("window_start"),
@@ -593,7 +608,7 @@ def _eta_columns(df: DataFrame) -> DataFrame:
 )
 def live_vehicles(spark, folder):
     r = Relations(spark, folder)
-    return _eta_columns(views.live_vehicles(r.windows(), r.stop_locations()))
+    return eta_columns(views.live_vehicles(r.windows(), r.stop_locations()))
 
 
 @query(
@@ -609,7 +624,7 @@ def live_vehicles(spark, folder):
 )
 def latest_vehicles(spark, folder):
     r = Relations(spark, folder)
-    return _eta_columns(views.latest_vehicles(r.windows(), r.stop_locations()))
+    return eta_columns(views.latest_vehicles(r.windows(), r.stop_locations()))
 
 
 # --- declared checks --------------------------------------------------------

@@ -15,9 +15,11 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transitlake import schemas
 from transitlake.operators.incremental import load_table
+from transitlake.plans import views
 from transitlake.session import shared_folder
 from transitlake.sources.archives import arrow_uri, zip_member_table
 from transitlake.sources.files import (
@@ -29,24 +31,54 @@ from transitlake.sources.files import (
 )
 from transitlake.sources.landing import read_landing, write_landing_partitioned
 from transitlake.sources.tables import full_refresh
-from transitlake.streaming.pings import read_pings, vehicle_windows, work_off, write_windows
+from transitlake.streaming.pings import (
+    dropped_rows,
+    read_pings,
+    vehicle_windows,
+    work_off,
+    write_windows,
+)
+from transitlake.streaming.sink import read_windows, recent_windows
 from workloads import feeds
 from workloads.feeds import FEED_SQL, table, with_feeds
-from workloads.model_queries import _WINDOW_COLUMNS, sql_of, window_columns
+from workloads.model_queries import (
+    _ETA,
+    _WINDOW_COLUMNS,
+    Relations,
+    eta_columns,
+    sql_of,
+    window_columns,
+)
 from workloads.registry import query
 
 TS = "'%Y-%m-%d %H:%M:%S'"
 RECORDS_PER_DOCUMENT = 5_000
 
 
-@query(
-    "stream_windows",
-    sql_of(
-        f"""SELECT {_WINDOW_COLUMNS} FROM windows
+def _closed_sql(windows: str) -> str:
+    return sql_of(
+        f"""SELECT {_WINDOW_COLUMNS} FROM {windows}
             WHERE w + 120 <= (SELECT max(ts) FROM raw_pings) - 180""",
-        "windows raw_pings",
-    ),
-)
+        f"{windows} raw_pings",
+    )
+
+
+def _worked_off(spark: SparkSession, base: str, slide: str) -> T.StructType:
+    """Run the job over the pings below ``base`` until none is left."""
+    windows = vehicle_windows(read_pings(spark, f"{base}/in"), slide=slide)
+    # waits for the end however long it takes; a failure of the stream is raised
+    work_off(write_windows(windows, f"{base}/out", f"{base}/checkpoint", trigger=None))
+    return windows.schema
+
+
+def _streamed(spark: SparkSession, folder: str, slide: str) -> DataFrame:
+    base = shared_folder(spark, "stream-windows")
+    feeds.pings(spark, folder).write.json(f"{base}/in")
+    schema = _worked_off(spark, base, slide)
+    return window_columns(read_windows(spark, f"{base}/out", schema))
+
+
+@query("stream_windows", _closed_sql("windows"))
 def stream_windows(spark: SparkSession, folder: str) -> DataFrame:
     """The streaming job over JSON pings, worked off in one go.
 
@@ -55,12 +87,74 @@ def stream_windows(spark: SparkSession, folder: str) -> DataFrame:
     A long history is better served by the batch form, ``motion_windows``, which
     keeps no state.
     """
-    base = shared_folder(spark, "stream-windows")
-    feeds.pings(spark, folder).write.json(f"{base}/in")
+    return _streamed(spark, folder, "30 seconds")
+
+
+@query("stream_windows_10s", _closed_sql("windows_10s"))
+def stream_windows_10s(spark: SparkSession, folder: str) -> DataFrame:
+    """The streaming job with a window every ten seconds."""
+    return _streamed(spark, folder, "10 seconds")
+
+
+@query(
+    "stream_late_rows",
+    sql_of(
+        """SELECT id, trip_id, w AS window_start, first_ts, last_ts,
+                  (SELECT count(*) FROM (SELECT DISTINCT id, trip_id, ts // 30 FROM (
+                     SELECT id, trip_id, 2 * (SELECT min(ts) FROM raw_pings) - 3600 - ts AS ts
+                     FROM raw_pings))) AS late_rows
+           FROM windows WHERE w + 120 <= (SELECT max(ts) FROM raw_pings) - 180""",
+        "windows raw_pings",
+    ),
+)
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Pings of the time before the first arrive when the rest has been worked off.
+
+    All of them are late and change no window; the ledger counts what was dropped, a row
+    per vehicle, trip and pane.
+    """
+    base = shared_folder(spark, "stream-late")
+    pings = feeds.pings(spark, folder)
+    pings.write.json(f"{base}/in")
+    schema = _worked_off(spark, base, "30 seconds")
+    start = pings.agg(F.min("timestamp").alias("start"))
+    late = pings.crossJoin(F.broadcast(start)).withColumn(
+        "timestamp", 2 * F.col("start") - 3600 - F.col("timestamp")
+    )
+    late.drop("start").write.mode("append").json(f"{base}/in")
     windows = vehicle_windows(read_pings(spark, f"{base}/in"))
-    # waits for the end however long it takes; a failure of the stream is raised
-    work_off(write_windows(windows, f"{base}/out", f"{base}/checkpoint", trigger=None))
-    return window_columns(spark.read.schema(windows.schema).parquet(f"{base}/out"))
+    query = write_windows(windows, f"{base}/out", f"{base}/checkpoint", trigger=None)
+    query.awaitTermination()
+    return read_windows(spark, f"{base}/out", schema).select(
+        "id",
+        "trip_id",
+        F.unix_seconds("window.start").alias("window_start"),
+        F.unix_seconds("first_timestamp").alias("first_ts"),
+        F.unix_seconds("last_timestamp").alias("last_ts"),
+        F.lit(dropped_rows(query)).cast("bigint").alias("late_rows"),
+    )
+
+
+@query(
+    "live_vehicles_of_sink",
+    sql_of(
+        _ETA.format(
+            source="""SELECT * FROM windows
+                      WHERE w + 120 <= (SELECT max(ts) FROM raw_pings) - 180
+                        AND last_ts > (SELECT max(last_ts) FROM windows
+                                       WHERE w + 120 <= (SELECT max(ts) FROM raw_pings) - 180) - 120"""
+        ),
+        "windows raw_pings raw_stops",
+    ),
+)
+def live_vehicles_of_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """The live view over what the stream has written: its newest days alone are opened."""
+    base = shared_folder(spark, "stream-live")
+    feeds.pings(spark, folder).write.json(f"{base}/in")
+    schema = _worked_off(spark, base, "30 seconds")
+    windows = recent_windows(spark, f"{base}/out", schema, views.LIVE_SECONDS)
+    places = Relations(spark, folder).stop_locations()
+    return eta_columns(views.live_vehicles(windows, places))
 
 
 @query("csv_multipart", with_feeds("stop_times", "SELECT trip_id, departure_time, "
