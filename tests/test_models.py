@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from transitlake import schemas
 from transitlake.functions import gtfs_time as gt
 from transitlake.operators.dedupe import endpoints_per_key, latest_per_key
-from transitlake.operators.quality import QualityError
+from transitlake.operators.quality import Check, QualityError
 from transitlake.operators.sequence import previous_value
+from transitlake.sources.versions import Versions, published
 from transitlake.plans import kpis, marts, refresh, staging, suites
 from transitlake.sources.tables import full_refresh
 
@@ -346,7 +347,7 @@ def write_feed_files(folder, extra_trip=False):
         (folder / f"{name}.json").write_text(json.dumps(records))
 
 
-def test_refresh_end_to_end(spark, tmp_path):
+def test_refresh_end_to_end(spark, tmp_path, monkeypatch):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     observed = frame(
         spark, [("T1", datetime(2024, 1, 2, 8, 2))], schemas.HISTORICAL_STOP_TIMES
@@ -357,6 +358,7 @@ def test_refresh_end_to_end(spark, tmp_path):
     # the schedule of T2 has no trip yet, so the fact fails its checks
     with pytest.raises(QualityError, match="fact_trips"):
         refresh.run(spark, str(tmp_path / "day1"), raw, out, now=V1)
+    assert Versions(spark, out).current() is None
 
     write_feed_files(tmp_path / "day2", extra_trip=True)
     done = refresh.run(spark, str(tmp_path / "day2"), raw, out, now=V2)
@@ -364,12 +366,12 @@ def test_refresh_end_to_end(spark, tmp_path):
     assert not any(done.failures.values())
     assert spark.read.parquet(f"{raw}/trips").count() == 2
     assert spark.read.parquet(f"{raw}/stop_times").count() == 4
-    fact = spark.read.parquet(f"{out}/fact_trips")
+    fact = published(spark, out, "fact_trips")
     assert fact.where("planned_date = date'2024-01-02'").count() == 2
-    late = spark.read.parquet(f"{out}/dim_historical_trips").first()
+    late = published(spark, out, "dim_historical_trips").first()
     assert late.departed_late and not late.arrived_late
     assert spark.table("staging_stops").count() == 1
-    assert spark.read.parquet(f"{out}/staging/stop_times").count() == 2
+    assert published(spark, out, "staging/stop_times").count() == 2
 
     # the same from views only, without stopping at failures
     plain = refresh.build_marts(
@@ -377,5 +379,13 @@ def test_refresh_end_to_end(spark, tmp_path):
     )
     assert not any(plain.failures.values())
     columns = fact.columns
-    again = spark.read.parquet(str(tmp_path / "plain" / "fact_trips")).select(*columns)
+    again = published(spark, str(tmp_path / "plain"), "fact_trips").select(*columns)
     assert Counter(map(tuple, again.collect())) == Counter(map(tuple, fact.collect()))
+
+    # a version that fails its last checks leaves the good one in use, and readable
+    impossible = [Check("accepted_values", "trip_id", ("none",))]
+    monkeypatch.setitem(suites.MARTS, "dim_historical_trips", impossible)
+    with pytest.raises(QualityError, match="dim_historical_trips"):
+        refresh.build_marts(spark, lambda n: refresh.read_raw(spark, raw, n), out)
+    assert published(spark, out, "fact_trips").count() == fact.count() == 2
+    assert Versions(spark, out).current()["version"] == done.version

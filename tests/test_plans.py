@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from transitlake.operators.dedupe import latest_per_key
 from transitlake.operators.filters import recent_slice
 from transitlake.operators.incremental import new_or_changed
+from transitlake.operators import quality
 from transitlake.operators.sequence import previous_value
 from transitlake.operators.joins import array_member_fold
 from transitlake.plans import staging
@@ -206,3 +207,17 @@ def test_a_hot_key_is_sorted_in_segments(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert max(r["count"] for r in sizes) < 6_000 and len(sizes) > 8
+
+
+def test_a_suite_reads_its_relation_once(spark, no_broadcast):
+    checks = [
+        quality.Check("not_null", "o_custkey"),
+        quality.Check("unique", "o_custkey"),
+        quality.Check("unique", "o_orderkey"),
+        quality.Check("accepted_values", "o_orderstatus", ("F",)),
+        quality.Check("minimum_value", "o_totalprice", 0),
+    ]
+    text = plan(quality.run_suite(feeds.table(spark, FOLDER, "orders"), checks))
+    assert text.count("FileScan") == 1
+    assert "o_comment" not in text[text.index("ReadSchema") :]
+    assert text.count("Exchange hashpartitioning") == 2

@@ -13,11 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from transitlake import schemas
 from transitlake.operators.incremental import load_table
-from transitlake.operators.quality import Check, QualityError, run_suite
+from transitlake.operators.quality import (
+    Check,
+    QualityError,
+    failures_after_write,
+    observed,
+    run_suite,
+)
 from transitlake.plans import marts, staging, suites
 from transitlake.session import use_utc
 from transitlake.sources import tables
 from transitlake.sources.files import read_csv_feed, read_enveloped_json, read_json_array
+from transitlake.sources.versions import Versions
 
 
 # Staging relations with far fewer rows than the feed they come from.
@@ -29,6 +36,7 @@ class Outcome:
     """What a refresh did."""
 
     load_modes: dict[str, str] = field(default_factory=dict)
+    version: str = ""
     failures: dict[str, dict[tuple[str, str], int]] = field(default_factory=dict)
 
 
@@ -91,17 +99,40 @@ def materialize(df: DataFrame, target: str, partition_by: str | None = None) ->
     return tables.read(df.sparkSession, target, df.schema)
 
 
-def check(
-    outcome: Outcome, name: str, df: DataFrame, checks: Sequence[Check], strict: bool
+def _judge(
+    outcome: Outcome, name: str, counts: dict[tuple[str, str], int], strict: bool
 ) -> None:
     """Record the failures of a relation; with ``strict`` they stop the refresh."""
-    counts = {(r["check"], r["column"]): r["failures"] for r in run_suite(df, checks).collect()}
     failed = {k: n for k, n in counts.items() if n}
     outcome.failures[name] = failed
     if failed and strict:
         raise QualityError(f"{name}: {failed}")
 
 
+def check(
+    outcome: Outcome, name: str, df: DataFrame, checks: Sequence[Check], strict: bool
+) -> None:
+    """Check a relation that is not written."""
+    rows = run_suite(df, checks).collect()
+    _judge(outcome, name, {(r["check"], r["column"]): r["failures"] for r in rows}, strict)
+
+
+def materialize_checked(
+    outcome: Outcome,
+    name: str,
+    df: DataFrame,
+    target: str,
+    checks: Sequence[Check],
+    strict: bool,
+    partition_by: str | None = None,
+) -> DataFrame:
+    """Write a relation, counting what its checks find on the way, and judge it."""
+    counting, observation = observed(df, checks)
+    written = materialize(counting, target, partition_by)
+    _judge(outcome, name, failures_after_write(written, checks, observation), strict)
+    return written
+
+
 def build_marts(
     spark: SparkSession,
     raw: Callable[[str], DataFrame],
@@ -109,46 +140,59 @@ def build_marts(
     strict: bool = True,
     now: datetime | None = None,
     outcome: Outcome | None = None,
-    stage_root: str | None = None,
+    keep_staging: bool = False,
 ) -> Outcome:
-    """Staging views, their checks, then the marts and theirs.
+    """Staging views, their checks, then the marts and theirs; then all marts are published.
+
+    Everything is written to a new version below ``out_root``
+    (:class:`~transitlake.sources.versions.Versions`) and readers are pointed to it when
+    the last check has passed. A failure with ``strict`` leaves the former version in use.
 
     Each mart is read back from where it was written, so a later mart starts
-    from files and not from a long lineage. With ``stage_root`` the staging
+    from files and not from a long lineage. With ``keep_staging`` the staging
     relations that condense their feed are written once as well; their checks
     and the marts then read the few rows per trip, route or stop that are left
     instead of working through the raw tables again.
     """
     outcome = outcome or Outcome()
     use_utc(spark)
+    versions = Versions(spark, out_root)
+    outcome.version = versions.begin()
+    names: list[str] = []
+
+    def build(
+        name: str, df: DataFrame, checks: Sequence[Check], partition_by: str | None = None,
+        folder: str = "",
+    ) -> DataFrame:
+        names.append(folder + name)
+        target = versions.path(outcome.version, names[-1])
+        return materialize_checked(outcome, name, df, target, checks, strict, partition_by)
+
     stage = staging_relations(spark, raw)
     for name, df in stage.items():
-        if stage_root and name in CONDENSED:
-            df = stage[name] = materialize(df, f"{stage_root}/{name}")
+        checks = suites.STAGING.get(name, [])
+        if keep_staging and name in CONDENSED:
+            df = stage[name] = build(name, df, checks, folder="staging/")
+        elif checks:
+            check(outcome, name, df, checks, strict)
         df.createOrReplaceTempView(f"staging_{name}")
-        if name in suites.STAGING:
-            check(outcome, name, df, suites.STAGING[name], strict)
-
-    def build(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        written = materialize(df, f"{out_root}/{name}", partition_by)
-        if name in suites.MARTS:
-            check(outcome, name, written, suites.MARTS[name], strict)
-        return written
-
-    build("dim_date", marts.dim_date(stage["dates"], stage["calendar_dates"], now))
-    build("dim_weather", marts.dim_weather(stage["weather_data"], now))
-    routes = build(
+
+    def mart(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        return build(name, df, suites.MARTS.get(name, []), partition_by)
+
+    mart("dim_date", marts.dim_date(stage["dates"], stage["calendar_dates"], now))
+    mart("dim_weather", marts.dim_weather(stage["weather_data"], now))
+    routes = mart(
         "dim_routes", marts.dim_routes(stage["routes"], stage["lines"], stage["stops"], now)
     )
     # the fact comes before the comparison with observed trips, which reads it
-    fact = build(
+    fact = mart(
         "fact_trips",
         marts.fact_trips(stage["stop_times"], stage["trips"], routes, stage["calendar_dates"]),
         partition_by="planned_date",
     )
-    build(
-        "dim_historical_trips", marts.dim_historical_trips(stage["real_stop_times"], fact, now)
-    )
+    mart("dim_historical_trips", marts.dim_historical_trips(stage["real_stop_times"], fact, now))
+    versions.publish(outcome.version, names)
     return outcome
 
 
@@ -174,5 +218,5 @@ def run(
         strict,
         now,
         outcome,
-        stage_root=f"{out_root}/staging",
+        keep_staging=True,
     )
