@@ -2,11 +2,13 @@
 
 import math
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from transitlake.functions import gtfs_time as gt
-from transitlake.functions.aggregates import string_agg
+from transitlake.functions.aggregates import ordered_texts, string_agg
 from transitlake.functions.calendar import date_dimension, date_dimension_over
 from transitlake.functions.clean import compact_arrays, decode, flag_gt, surrogate_key
 from transitlake.functions.geo import eta_minutes, haversine_km, register_functions, speed_kmh
@@ -180,3 +182,28 @@ def test_date_dimension_over_data(spark):
     rows = rows.select(F.to_date("d").alias("d"))
     assert date_dimension_over(rows, "d").count() == 4
     assert date_dimension_over(rows.where("d is null"), "d").count() == 0
+
+
+def test_ordered_texts_are_put_together_from_pieces(spark):
+    rng = random.Random(8)
+    ids = [f"{i:04d}" for i in range(300)]
+    data = [(rng.choice("aab") if i != "0007" else None, i, f"n{i}" if rng.random() < 0.9 else None) for i in ids]
+    data += [("a", ids[3], "again"), ("c", "x", None), ("d", None, "nameless")]
+    rows = spark.createDataFrame(data, "k string, id string, name string").repartition(5)
+    want = {}
+    for k in {r[0] for r in data}:
+        own = sorted((r for r in data if r[0] == k), key=lambda r: (r[1] is not None, r[1] or "", r[2] is not None, r[2] or ""))
+        want[k] = tuple(";".join(r[i] for r in own if r[i] is not None) or None for i in (1, 2))
+    for piece in ("1", "substring(id, 1, 1)", "substring(id, 1, 3)", "id"):
+        got = ordered_texts(rows, ["k"], "id", piece, ids="id", names="name").collect()
+        assert {r.k: (r.ids, r["names"]) for r in got} == want
+    assert ordered_texts(rows.limit(0), ["k"], "id", "id", ids="id").count() == 0
+
+
+def test_a_hot_group_is_sorted_in_pieces(spark):
+    hot = spark.range(0, 9_000, 1, 4).selectExpr("1 as k", "lpad(cast(id as string), 6, '0') as id")
+    texts = ordered_texts(hot, ["k"], "id", "substring(id, 1, 4)", ids="id")
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.rindex("Exchange") :].split("\n")[0]
+    assert "_piece" in first
+    assert texts.first().ids == ";".join(f"{i:06d}" for i in range(9_000))

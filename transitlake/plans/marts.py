@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitlake.functions import gtfs_time as gt
-from transitlake.functions.aggregates import join_field, ordered_rows
+from transitlake.functions.aggregates import ordered_texts
 from transitlake.functions.clean import flag_gt, surrogate_key, with_ingested_at
 from transitlake.operators.dedupe import latest_per_key
 from transitlake.operators.joins import unnest
@@ -20,21 +20,17 @@ def dim_routes(
 ) -> DataFrame:
     """Routes with their line and the stops they call at.
 
-    Stop ids and names are cut from one sorted list, so they line up.
+    Stop ids and names are cut from the same sorted lists, so they line up.
     """
     calls = unnest(stops.select("stop_id", "stop_name", "routes"), "routes", "call_route_id")
-    route_stops = (
-        calls.groupBy("call_route_id")
-        .agg(
-            ordered_rows(F.col("stop_id"), id=F.col("stop_id"), name=F.col("stop_name")).alias(
-                "calls"
-            )
-        )
-        .select(
-            "call_route_id",
-            join_field(F.col("calls"), "id").alias("stops_ids"),
-            join_field(F.col("calls"), "name").alias("stops_names"),
-        )
+    route_stops = ordered_texts(
+        calls,
+        ["call_route_id"],
+        "stop_id",
+        # stop ids of an area share their first digits
+        "substring(stop_id, 1, 4)",
+        stops_ids="stop_id",
+        stops_names="stop_name",
     )
     names = lines.select(F.col("line_id").alias("l_line_id"), "line_name")
     joined = routes.join(names, routes["line_id"] == names["l_line_id"]).join(
