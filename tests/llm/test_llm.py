@@ -316,7 +316,9 @@ def test_long_repeats_against_brute_force(spark, monkeypatch, most_windows):
     docs = documents(spark, texts)
     got = by_id(run_length_index.remove_repeats(docs, digests=True))
     assert [tuple(got[i])[1:] for i in range(len(texts))] == repeats(texts)
+    texts_kept = by_id(run_length_index.remove_repeats(docs, digests=True, kept_text=True))
     plain = by_id(run_length_index.remove_repeats(docs))
+    assert all(texts_kept[i].text == plain[i].kept.decode("utf-8", "replace") for i in plain)
     assert all(hashlib.sha256(plain[i].kept).hexdigest() == got[i].kept_sha256 for i in got)
     assert run_length_index.remove_repeats(docs.limit(0), digests=True).count() == 0
 

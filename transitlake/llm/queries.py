@@ -121,7 +121,9 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_run_length_index")
 def op7_run_length_index(spark: SparkSession, folder: str) -> DataFrame:
-    return run_length_index.remove_repeats(table(spark, folder, "documents"), digests=True)
+    return run_length_index.remove_repeats(
+        table(spark, folder, "documents"), digests=True, kept_text=True
+    )
 
 
 # CRC-32 by its table, one byte of each different word after the other.

@@ -38,7 +38,9 @@ INDEX_BYTES = 1 << 20
 # Windows of one anchor in one index (each has up to LONG + SPAN - 1 bytes).
 MOST_WINDOWS = 1500
 PACK = 1 << 10  # window lengths are below
-RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+RESULT = (
+    "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string"
+)
 
 _rng = np.random.default_rng(977)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -384,37 +386,52 @@ def removed_runs(marks: list[dict] | None) -> list[tuple[int, int]]:
 def _remove(digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc_id, text, marks in zip(
-                *[batch.column(c).to_pylist() for c in ("doc_id", "text", "marks")], strict=True
-            ):
-                raw = text.encode("utf-8", "surrogatepass")
-                runs = removed_runs(marks)
-                kept, at = [], 0
-                for a, b in runs:
-                    kept.append(raw[at:a])
-                    at = b
-                kept.append(raw[at:])
-                left = b"".join(kept)
-                if digests:
-                    last = hashlib.sha256(left).hexdigest()
-                    rows.append((doc_id, len(raw), len(raw) - len(left), len(runs), last))
-                else:
-                    rows.append((doc_id, [{"first": a, "end": b} for a, b in runs], left))
-            types = (
-                [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-                if digests
-                else [
-                    pa.int64(),
-                    pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])),
-                    pa.binary(),
-                ]
-            )
-            columns = zip(*rows) if rows else [[] for _ in types]
-            names = [c.split()[0] for c in (RESULT if digests else "doc_id r, spans s, kept b").split(", ")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=names
-            )
+            for piece, texts in text_blocks(batch):
+                yield removed(piece, texts)
+
+    def text_blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+        # rows of about two million characters at a time
+        texts, start, size = [], 0, 0
+        for i, value in enumerate(batch.column("text")):
+            texts.append(value.as_py())
+            size += len(texts[-1])
+            if size >= 2_000_000 or i + 1 == batch.num_rows:
+                yield batch.slice(start, len(texts)), texts
+                texts, start, size = [], i + 1, 0
+
+    def removed(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+        rows = []
+        for doc_id, text, marks in zip(
+            batch.column("doc_id").to_pylist(), texts, batch.column("marks").to_pylist(), strict=True
+        ):
+            raw = text.encode("utf-8", "surrogatepass")
+            runs = removed_runs(marks)
+            kept, at = [], 0
+            for a, b in runs:
+                kept.append(raw[at:a])
+                at = b
+            kept.append(raw[at:])
+            left = b"".join(kept)
+            if digests:
+                last = hashlib.sha256(left).hexdigest()
+                rows.append(
+                    (doc_id, len(raw), len(raw) - len(left), len(runs), last, left.decode("utf-8", "replace"))
+                )
+            else:
+                rows.append((doc_id, [{"first": a, "end": b} for a, b in runs], left))
+        types = (
+            [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            if digests
+            else [
+                pa.int64(),
+                pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])),
+                pa.binary(),
+            ]
+        )
+        names = [c.split()[0] for c in (RESULT if digests else "doc_id r, spans s, kept b").split(", ")]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), t) for c, t in zip(zip(*rows), types, strict=True)], names=names
+        )
 
     return run
 
@@ -495,12 +512,14 @@ def repeat_marks(docs: DataFrame) -> DataFrame:
     return plain_marks.unionByName(whole_marks).unionByName(indexed).unionByName(counted)
 
 
-def remove_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, digests: bool = False, kept_text: bool = False) -> DataFrame:
     """Remove every byte covered by a string of 400 bytes that also starts elsewhere.
 
     ``docs`` has doc_id and text (UTF-8 bytes count); other columns are ignored.
     Returns doc_id, spans (maximal removed runs of bytes) and kept (the other bytes,
-    concatenated), or with ``digests`` n_bytes, n_removed, n_spans and kept_sha256.
+    concatenated), or with ``digests`` n_bytes, n_removed, n_spans and kept_sha256, and
+    with ``kept_text`` also text: the other bytes as text, where a character that lost
+    some of its bytes is U+FFFD.
     All copies go, in the same document or another; strings are judged on the input.
 
     Null and empty texts, and texts under 400 bytes, lose nothing. Rows are documents
@@ -521,4 +540,5 @@ def remove_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
     schema = RESULT if digests else (
         "doc_id bigint, spans array<struct<first:bigint,end:bigint>>, kept binary"
     )
-    return joined.mapInArrow(_remove(digests), schema)
+    removed = joined.mapInArrow(_remove(digests), schema)
+    return removed.drop("text") if digests and not kept_text else removed
