@@ -389,3 +389,20 @@ def test_refresh_end_to_end(spark, tmp_path, monkeypatch):
         refresh.build_marts(spark, lambda n: refresh.read_raw(spark, raw, n), out)
     assert published(spark, out, "fact_trips").count() == fact.count() == 2
     assert Versions(spark, out).current()["version"] == done.version
+
+
+def test_job_takes_observed_stop_times(spark, tmp_path):
+    from transitlake.plans import job
+
+    source, raw, out = (str(tmp_path / n) for n in ("observed", "raw", "out"))
+    observed = frame(spark, [("T1", datetime(2024, 1, 2, 8, 2))], schemas.HISTORICAL_STOP_TIMES)
+    observed.write.parquet(source)
+    write_feed_files(tmp_path / "day", extra_trip=True)
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        done = job.main([str(tmp_path / "day"), raw, out, "--observed", source])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert done.version and published(spark, out, "dim_historical_trips").count() == 1

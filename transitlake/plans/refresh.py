@@ -203,13 +203,17 @@ def run(
     out_root: str,
     strict: bool = True,
     now: datetime | None = None,
+    observed_stop_times: str | None = None,
 ) -> Outcome:
-    """Load a day's feeds and rebuild the star schema below ``out_root``.
+    """Load a day's feeds and publish a new version of the star schema below ``out_root``.
 
-    The table of observed stop times is expected below ``raw_root`` already; it
-    is copied there by :func:`transitlake.sources.tables.full_refresh`.
+    ``observed_stop_times`` (path or table) replaces the copy of the observed stop times
+    below ``raw_root``; without it the copy that is there is used.
     """
     use_utc(spark)
+    if observed_stop_times is not None:
+        source = tables.read(spark, observed_stop_times)
+        tables.full_refresh(source, f"{raw_root}/historical_stop_times")
     outcome = Outcome(load_modes=load_raw(spark, feed_folder, raw_root, now=now))
     return build_marts(
         spark,

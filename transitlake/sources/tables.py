@@ -54,6 +54,11 @@ class Files:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(path)]
 
+    def size(self, folder: str = "") -> int:
+        """Bytes of all files below a folder."""
+        path = self._path(folder)
+        return self._fs.getContentSummary(path).getLength() if self._fs.exists(path) else 0
+
     def read_text(self, name: str) -> str:
         stream = self._fs.open(self._path(name))
         try:
