@@ -30,7 +30,7 @@ from transitlake.llm.hamming_near_dup import shingles
 
 DIGIT = re.compile(r"\d")
 OPEN = "<*>"
-KEYS = "doc_id bigint, template bigint, signature binary"
+KEYS = "doc_id bigint, template bigint"
 # (fixed tokens, documents): a template that fixes so many tokens recurs in so many
 # documents; with fewer fixed tokens it takes min_docs. The place in this list, from 1,
 # is in the lowest two bits of a template's key (0: none of them).
@@ -81,7 +81,7 @@ def _key(text: str, level: int) -> int:
 def _emit(depth: int, stretches: int, longest_exact: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_blocks(batches):
-            ids, keys, signatures = [], [], []
+            ids, keys = [], []
             for doc, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                 own = {
                     k
@@ -89,19 +89,23 @@ def _emit(depth: int, stretches: int, longest_exact: int):
                     for k in template_keys(line, depth, stretches, longest_exact)
                 }
                 keys += own
-                signatures += [None] * len(own)
-                if any(k & 3 for k in own):
-                    keys.append(None)
-                    signatures.append((shingles(text)[:LEAST] >> np.uint64(32)).astype(np.uint32).tobytes())
-                ids += [doc] * (len(keys) - len(ids))
+                ids += [doc] * len(own)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(signatures, pa.binary())],
-                names=["doc_id", "template", "signature"],
+                [pa.array(ids, pa.int64()), pa.array(keys, pa.int64())], names=["doc_id", "template"]
             )
 
     return run
 
 
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least shingle hashes of each document."""
+    for part, texts in text_blocks(batches):
+        found = [(shingles(t)[:LEAST] >> np.uint64(32)).astype(np.uint32).tobytes() for t in texts]
+        yield pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "signature"]
+        )
+
+
 def similarity(a: bytes, b: bytes) -> float:
     """Estimated share of common shingles of two documents, from their signatures."""
     x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
@@ -121,14 +125,14 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def recurring_templates(
     docs: DataFrame, min_docs: int, depth: int, stretches: int, longest_exact: int
 ) -> DataFrame:
-    """(doc_id, template): the templates that each document loses its lines of."""
-    emitted = stored(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).mapInArrow(
-            _emit(depth, stretches, longest_exact), KEYS
-        ),
-        "templates",
-    )
-    held = emitted.where("template is not null").select("doc_id", "template")
+    """(doc_id, template): the templates that each document loses its lines of.
+
+    Documents that share a template too few hold are compared by signatures, which are
+    worked out for these documents alone.
+    """
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    emitted = stored(texts.mapInArrow(_emit(depth, stretches, longest_exact), KEYS), "templates")
+    held = emitted.select("doc_id", "template")
     level = F.col("template").bitwiseAND(F.lit(3))
     needed = F.lit(min_docs)
     for k, (_, n) in enumerate(TELLING, 1):
@@ -143,9 +147,21 @@ def recurring_templates(
     )
     # below min_docs a line counts only between unlike documents
     few = losing.where(F.col("n_docs") < min_docs)
-    pairs = few.select(F.col("doc_id").alias("__doc"), F.col("first_doc").alias("__first")).distinct()
-    signatures = (
-        emitted.where("signature is not null").groupBy("doc_id").agg(F.min("signature").alias("signature"))
+    pairs = stored(
+        few.select(F.col("doc_id").alias("__doc"), F.col("first_doc").alias("__first")).distinct(), "pairs"
+    )
+    doubtful = stored(
+        pairs.select(F.col("__doc").alias("doc_id"))
+        .unionByName(pairs.select(F.col("__first").alias("doc_id")))
+        .distinct(),
+        "doubtful",
+    )
+    signatures = stored(
+        texts.join(doubtful, "doc_id", "left_semi")
+        .mapInArrow(_signatures, "doc_id bigint, signature binary")
+        .groupBy("doc_id")
+        .agg(F.min("signature").alias("signature")),
+        "signatures",
     )
     first = signatures.select(
         F.col("doc_id").alias("__first"), F.col("signature").alias("first_signature")
