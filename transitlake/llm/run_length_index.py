@@ -452,13 +452,11 @@ def repeat_marks(docs: DataFrame) -> DataFrame:
     """(key, text_hash, first, end): runs of start positions that repeat."""
     plain = docs.select("key", "text_hash", "text")
     seen = plain.select("text").mapInArrow(_emit(False), "anchor bigint, window bigint")
-    # stored, for Spark splits a hot anchor only in a join of plain shuffles
-    anchors = stored(
+    anchors = (
         seen.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"), F.min("window").alias("w0"), F.max("window").alias("w1"))
         .where("n > 1")
-        .select("anchor", (F.col("w0") != F.col("w1")).alias("mixed")),
-        "recurring-anchors",
+        .select("anchor", (F.col("w0") != F.col("w1")).alias("mixed"))
     )
     found = stored(
         plain.mapInArrow(_emit(True), PLACES).join(anchors, "anchor"), "recurring-windows"
