@@ -508,15 +508,17 @@ def direct_word_loss(trusted, spelling, text):
 
 
 @pytest.mark.parametrize("head", [0, 20, 1 << 20])
-def test_word_model_by_definition(spark, head):
+def test_word_model_by_definition(spark, head, monkeypatch):
+    # small shards and blocks, and words that are not sent to all tasks
+    monkeypatch.setattr(ngram_quality, "SHARD_VALUES", 40)
     rng = random.Random(11)
     trusted = [" ".join(words(rng, 40, 25)) for _ in range(12)]
     texts = [trusted[0], "w1 w2 new w1 w3", "Other words\nthere", "w1", trusted[0], "", " \t "]
     rows = spark.createDataFrame([(i % 2, t) for i, t in enumerate(trusted)], "half bigint, text string")
     spelling = ngram_quality.train(rows.select(ngram_quality.spelled().alias("text")), 12, 3)
-    values, rest = ngram_quality.word_values(rows, spelling)
+    values, rest = ngram_quality.word_values(rows, spelling, most=head)
     keyed = spark.createDataFrame([(hash(t), t) for t in texts], "key bigint, text string")
-    got = {r.key: r for r in ngram_quality.text_losses(keyed, values, rest, spelling, head).collect()}
+    got = {r.key: r for r in ngram_quality.text_losses(keyed, values, rest, spelling, head, 40).collect()}
     assert set(got) == {hash(t) for t in texts[:4]}
     for t in texts[:4]:
         assert got[hash(t)].whole == pytest.approx(direct_word_loss(trusted, spelling, t), rel=1e-5)

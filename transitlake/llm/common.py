@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlake.session import shared_folder
+from transitlake.sources.tables import Files
+
+# Shuffle files of a query go as soon as it has ended.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -22,6 +26,35 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shelf:
+    """Relations that a job stores, each until the job drops it.
+
+    The shuffle files behind a relation go as soon as it is written, so that of a chain of
+    relations no more lies on disk than what is still read.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def put(self, df: DataFrame, label: str) -> DataFrame:
+        conf, path = self.spark.conf, shared_folder(self.spark, label)
+        before = conf.get(TIDY, None)
+        conf.set(TIDY, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            conf.unset(TIDY) if before is None else conf.set(TIDY, before)
+        self.paths[label] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *labels: str) -> None:
+        """Delete relations that nothing reads any more."""
+        for label in labels:
+            folder, _, name = self.paths.pop(label).rpartition("/")
+            Files(self.spark, folder).delete(name)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -10,8 +10,8 @@ interpolated model is a sum over the n-grams of a text:
 
 where a pair's value is what it adds to its word's, and a word's value holds the
 weight it leaves as a context. Unknown n-grams have the value 0, so the perplexity of
-a document is one join of its n-grams with the values and one sum, both sharded by
-n-gram. The model grows with the trusted text, and no task holds all of it. Only the
+a document is one join of its n-grams with the values and one sum, sharded by n-gram
+(the n-grams of a block of texts travel packed, one row a shard). The model grows with the trusted text, and no task holds all of it. Only the
 most frequent n-grams, at most HEAD of them, are sent to all tasks, which keeps those
 that nearly every document holds out of the join.
 """
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transitlake.llm.common import stored, text_blocks, whole_text
+from transitlake.llm.common import Shelf, text_blocks, whole_text
 
 BYTES = 256
 ORDER = 3
@@ -38,6 +38,12 @@ MOST_CELLS = 1 << 22
 BINS = 2000
 # Most n-grams whose values are sent to all tasks.
 HEAD = 1 << 20
+# Most words whose counts are sent to all tasks that value pairs.
+MOST_WORDS = 1 << 18
+# Bytes of text in a block; its n-grams travel in one row a shard.
+BLOCK = 8_000_000
+# A shard has about so many values, or the n-grams of so many bytes of text.
+SHARD_VALUES, SHARD_BYTES = 1 << 19, 1 << 25
 # Context of the first word and the word after the last; no text has these words.
 START, END = "\n", ""
 # Models: of all trusted text, and of each half of it for the documents of the other.
@@ -174,14 +180,16 @@ class Model:
         return float(self.losses[ngrams(text, table, self.size, self.order)].sum(dtype=np.float64))
 
 
-def train(trusted: DataFrame, size: int | None = None, order: int = ORDER) -> Model:
+def train(
+    trusted: DataFrame, size: int | None = None, order: int = ORDER, shelf: Shelf | None = None
+) -> Model:
     """Train on the ``text`` of all rows of ``trusted`` (which may be empty).
 
     The symbols are the bytes of UTF-8, so no script falls together with the padding;
     with ``size``, the ``size`` - 1 most frequent characters and one for all others. Over
     bytes, the n-grams of the highest order are rows for those seen, at most 256 ^ order.
     """
-    alphabet = None
+    alphabet, shelf = None, shelf or Shelf(trusted.sparkSession)
     if size is None:
         size = BYTES
     else:
@@ -189,7 +197,7 @@ def train(trusted: DataFrame, size: int | None = None, order: int = ORDER) -> Mo
             raise ValueError(f"{size}^{order} is over {MOST_CELLS} numbers")
         alphabet = choose_alphabet(trusted, size)
     grams = trusted.mapInArrow(_ngram_counts(alphabet, size, order), "gram bigint, n bigint")
-    counts = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")), "ngrams")
+    counts = shelf.put(grams.groupBy("gram").agg(F.sum("n").alias("n")), "ngrams")
     levels = [counts]
     for m in range(order - 1, 0, -1):
         # how many different symbols come before: one for each longer n-gram
@@ -312,28 +320,44 @@ def _count_discounts(df: DataFrame, names: list[str]) -> list[tuple[float, float
     return [discounts(*found[4 * i : 4 * i + 4]) for i in range(len(names))]
 
 
-def word_values(trusted: DataFrame, spelling: Model) -> tuple[DataFrame, list[float]]:
+def _beside(rows: DataFrame, words: DataFrame, key: str, most: int = MOST_WORDS) -> DataFrame:
+    """``rows`` with the columns of ``words`` for their word.
+
+    The ``most`` most frequent words (by ``n``, which goes) are sent to the tasks, so that only
+    rows of other words are shuffled, and no frequent word makes a hot key.
+    """
+    often, seldom = _most_frequent(words, most)
+    often, seldom = F.broadcast(often.drop("n")), seldom.drop("n")
+    others = rows.join(often.select(key), key, "left_anti").join(seldom, key)
+    return rows.join(often, key).unionByName(others)
+
+
+def word_values(
+    trusted: DataFrame, spelling: Model, shelf: Shelf | None = None, most: int = MOST_WORDS
+) -> tuple[DataFrame, list[float]]:
     """(gram, n, whole, half1, half0): count and value of each n-gram in each model; and
     per model the logarithm of the weight that single words leave to spelling.
 
     ``trusted`` has text and half. A gram is the key of a word or of a pair. Each
-    relation is keyed by a word or a pair; a few numbers come to the driver.
+    relation is keyed by a word or a pair; a few numbers come to the driver. ``most`` is
+    how many words have their counts sent to all tasks; it does not change the result.
     """
+    shelf = shelf or Shelf(trusted.sparkSession)
     sent = trusted.sparkSession.sparkContext.broadcast(spelling)
     raw = trusted.mapInArrow(_pair_counts(sent), "h bigint, w bigint, n0 bigint, n1 bigint")
     sums = raw.groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     # in the order of MODELS
-    pairs = stored(sums.selectExpr("h", "w", "n0 + n1 as m0", "n1 as m1", "n0 as m2"), "pairs")
+    pairs = shelf.put(sums.selectExpr("h", "w", "n0 + n1 as m0", "n1 as m1", "n0 as m2"), "pairs")
     models = range(len(MODELS))
     off2 = _count_discounts(pairs, [f"m{x}" for x in models])
-    contexts = stored(
+    contexts = shelf.put(
         pairs.groupBy("h").agg(
             *[F.sum(f"m{x}").alias(f"t{x}") for x in models],
             *[F.expr(f"sum({_off(f'm{x}', off2[x])}) / nullif(sum(m{x}), 0)").alias(f"g{x}") for x in models],
         ),
         "contexts",
     )
-    ends = stored(
+    ends = shelf.put(
         pairs.groupBy("w").agg(
             F.sum("m0").alias("n"), *[F.expr(f"count_if(m{x} > 0)").alias(f"c{x}") for x in models]
         ),
@@ -348,7 +372,7 @@ def word_values(trusted: DataFrame, spelling: Model) -> tuple[DataFrame, list[fl
     base = (
         trusted.mapInArrow(_bases(sent), "w bigint, base double").groupBy("w").agg(F.max("base").alias("base"))
     )
-    words = stored(
+    words = shelf.put(
         ends.join(base, "w").selectExpr(
             "w",
             "n",
@@ -370,25 +394,26 @@ def word_values(trusted: DataFrame, spelling: Model) -> tuple[DataFrame, list[fl
     own = [
         f"cast(coalesce((m{x} - {_off(f'm{x}', off2[x])}) / nullif(t{x}, 0) / g{x}, 0D) as float) as a{x}" for x in models
     ]
-    double = (
-        pairs.join(contexts, "h")
-        .selectExpr("w", f"{PAIR} as gram", "m0 as n", *own)
-        .join(words.drop("n", "base"), "w")
-        .selectExpr("gram", "n", *[
-            # the share of a long word that a half has not seen may be too small for a
-            # double; then the half has not seen the pair either
-            f"cast(coalesce(ln(1D + a{x} / nullif(p{x}, 0D)), 0D) as float) as {MODELS[x]}"
-            for x in models
-        ])
-    )
-    return stored(single.unionByName(double), "values"), [float(np.log(r)) for r in rest]
+    before = contexts.selectExpr("h", "t0 as n", *[f"t{x}" for x in models], *[f"g{x}" for x in models])
+    shares = _beside(pairs, before, "h", most).selectExpr("w", f"{PAIR} as gram", "m0 as m", *own)
+    last = words.select("w", "n", *[f"p{x}" for x in models])
+    double = _beside(shares, last, "w", most).selectExpr("gram", "m as n", *[
+        # the share of a long word that a half has not seen may be too small for a
+        # double; then the half has not seen the pair either
+        f"cast(coalesce(ln(1D + a{x} / nullif(p{x}, 0D)), 0D) as float) as {MODELS[x]}"
+        for x in models
+    ])
+    values = shelf.put(single.unionByName(double), "values")
+    sent.unpersist()
+    shelf.drop("pairs", "contexts", "ends", "words")
+    return values, [float(np.log(r)) for r in rest]
 
 
 # --- scores and thresholds ------------------------------------------------------
 
 
 def _most_frequent(values: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """The values of the most frequent n-grams, at most ``most``, and all others."""
+    """The rows of the greatest ``n``, at most ``most`` rows, and all others."""
     step = F.floor(F.log2("n") * 8)
     steps = values.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("step"))
     held, first = 0, None
@@ -420,87 +445,207 @@ class _Grams:
         )
 
 
-def _text_parts(sent):
-    """Per text its length, spelling and the values of its frequent n-grams."""
+def _planes(x: np.ndarray, kind: str) -> bytes:
+    """The numbers byte by byte: all lowest bytes, then the next ones. High bytes of small
+    numbers stand together as zeros, which compress to nothing."""
+    x = x.astype(kind)
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling, head, head_values = sent.value
-        table = lookup_table(spelling.alphabet)
-        for part, texts in text_blocks(batches):
-            g = _Grams(texts, spelling, table, head)
-            n, at, owner = len(texts), g.at[g.frequent], g.owner[g.frequent]
-            columns = [
-                np.bincount(g.doc, g.words.chars[g.ids], n),
-                np.bincount(g.doc, g.words.base[g.ids], n),
-                *[np.bincount(owner, v[at], n) for v in head_values],
-            ]
-            lengths = [len(d) - 1 for d in g.words.docs]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("key"), pa.array(lengths, pa.int64())]
-                # without any row bincount gives integers
-                + [pa.array(c.astype(float)) for c in columns],
-                names=["key", "n", "chars", "base", *MODELS],
-            )
 
-    return run
+def _columns(packed: bytes, *kinds: str) -> list[np.ndarray]:
+    """The numbers of columns that were packed one after the other."""
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    rows, out, at = len(packed) // sum(sizes), [], 0
+    for kind, size in zip(kinds, sizes, strict=True):
+        part = np.frombuffer(packed, np.uint8, rows * size, at)
+        out.append(np.ascontiguousarray(part.reshape(size, rows).T).view(kind).reshape(-1))
+        at += rows * size
+    return out
+
+
+def _pack(*columns: tuple[np.ndarray, str]) -> bytes:
+    return b"".join(_planes(x, kind) for x, kind in columns)
+
+
+# What a row carries: values of a shard; sums of a block's texts; n-grams of a block's
+# texts, of one shard; what these add to the sums.
+VALUES, SUMS, GRAMS, ADDED = range(4)
+PACKED = "shard int, kind int, block bigint, packed binary"
+GRAM_COLUMNS = ("<u8", "<u4", "<u4")  # difference to the n-gram before, text, count
+VALUE_COLUMNS = ("<u8", *["<f4"] * len(MODELS))
+SUM_COLUMNS = ("<i8", "<i8", *["<f8"] * (2 + len(MODELS)))  # key, n, chars, base, one a model
+ADDED_COLUMNS = ("<u4", *["<f4"] * len(MODELS))
+
+
+def _packed_rows(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    types = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
+    columns = list(zip(*rows, strict=True)) or [()] * len(types)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+        names=["shard", "kind", "block", "packed"],
+    )
+
+
+def _shard_cuts(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shards that sorted unsigned ``grams`` fall in, and where each begins, with the end."""
+    shard = (grams >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+    start = np.flatnonzero(np.diff(shard, prepend=-1))
+    return shard[start], np.append(start, len(grams))
 
 
-def _rare_grams(sent):
-    """One row for each different n-gram of a text that is not a frequent one."""
+def _pack_texts(sent, bits: int, most: int):
+    """Per block of texts one row of sums, and for each shard one row of the n-grams that
+    are not frequent: those of a text once, with their count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling, head, _ = sent.value
+        spelling, head, head_values = sent.value
         table = lookup_table(spelling.alphabet)
-        for part, texts in text_blocks(batches):
+        for part, texts in text_blocks(batches, most=most):
             found = _Grams(texts, spelling, table, head)
+            count, at, owner = len(texts), found.at[found.frequent], found.owner[found.frequent]
             key = part.column("key").to_numpy()
-            g, o = found.grams[~found.frequent], found.owner[~found.frequent]
-            order = np.lexsort((g, o))
+            # the same when a lost task runs again
+            block = xxhash.xxh3_64_intdigest(key.tobytes()) - (1 << 63)
+            sums = [
+                (key, "<i8"),
+                (np.array([len(d) - 1 for d in found.words.docs]), "<i8"),
+                (np.bincount(found.doc, found.words.chars[found.ids], count), "<f8"),
+                (np.bincount(found.doc, found.words.base[found.ids], count), "<f8"),
+                *[(np.bincount(owner, v[at], count), "<f8") for v in head_values],
+            ]
+            yield _packed_rows([(block % (1 << bits), SUMS, block, _pack(*sums))])
+            g, o = found.grams[~found.frequent].view(np.uint64), found.owner[~found.frequent]
+            order = np.lexsort((o, g))
             g, o = g[order], o[order]
             new = np.ones(len(g), bool)
             new[1:] = (g[1:] != g[:-1]) | (o[1:] != o[:-1])
             start = np.flatnonzero(new)
             n = np.diff(np.append(start, len(g)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[o[start]], pa.int64()), pa.array(g[start], pa.int64()), pa.array(n, pa.int64())],
-                names=["key", "gram", "n"],
-            )
+            g, o = g[start], o[start]
+            shards, cuts = _shard_cuts(g, bits)
+            for k, shard in enumerate(shards):
+                cut = slice(cuts[k], cuts[k + 1])
+                steps = np.diff(g[cut], prepend=np.uint64(0))
+                packed = _pack(*zip((steps, o[cut], n[cut]), GRAM_COLUMNS, strict=True))
+                yield _packed_rows([(shard, GRAMS, block, packed)])
 
     return run
 
 
+def _pack_values(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g = batch.column("gram").to_numpy().view(np.uint64)
+            order = np.argsort(g)
+            columns = [g[order], *(batch.column(m).to_numpy()[order] for m in MODELS)]
+            shards, cuts = _shard_cuts(columns[0], bits)
+            for k, shard in enumerate(shards):
+                cut = [c[cuts[k] : cuts[k + 1]] for c in columns]
+                yield _packed_rows([(shard, VALUES, 0, _pack(*zip(cut, VALUE_COLUMNS, strict=True)))])
+
+    return run
+
+
+def _found_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each block's n-grams add to its sums. Rows come by shard, values first; one
+    shard's values are held, and one row of n-grams."""
+    shard, parts, grams, values = None, [], np.zeros(0, np.uint64), []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["shard"] != shard:
+                shard, parts, grams = row["shard"], [], np.zeros(0, np.uint64)
+            if row["kind"] == VALUES:
+                parts.append(_columns(row["packed"], *VALUE_COLUMNS))
+                continue
+            if row["kind"] == SUMS:
+                yield _packed_rows([(0, SUMS, row["block"], row["packed"])])
+                continue
+            if parts:
+                grams, *values = (np.concatenate(c) for c in zip(*parts, strict=True))
+                order = np.argsort(grams)
+                grams, values, parts = grams[order], [v[order] for v in values], []
+            if not len(grams):
+                continue
+            steps, owner, n = _columns(row["packed"], *GRAM_COLUMNS)
+            asked = np.cumsum(steps, dtype=np.uint64)
+            at = np.minimum(np.searchsorted(grams, asked), len(grams) - 1)
+            hit = np.flatnonzero(grams[at] == asked)
+            if len(hit):
+                texts, owner = np.unique(owner[hit], return_inverse=True)
+                sums = (np.bincount(owner, v[at[hit]] * n[hit].astype(float)) for v in values)
+                packed = _pack(*zip((texts, *sums), ADDED_COLUMNS, strict=True))
+                yield _packed_rows([(0, ADDED, row["block"], packed)])
+
+
+def _whole_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n, chars, base, one sum a model) per text. Rows come by block, its sums first."""
+
+    def texts() -> pa.RecordBatch:
+        # equal blocks share their number and what was found, as they share their texts
+        sums = [own[0], own[1], own[2], own[3], *((s + a / copies) for s, a in zip(own[4:], added, strict=True))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in sums], names=["key", "n", "chars", "base", *MODELS]
+        )
+
+    block, own, added, copies = None, None, [], 0
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["block"] != block:
+                if own is not None:
+                    yield texts()
+                block, own, copies = row["block"], None, 0
+            if row["kind"] == SUMS:
+                own = _columns(row["packed"], *SUM_COLUMNS)
+                added = [np.zeros(len(own[0])) for _ in MODELS]
+                copies += 1
+                continue
+            if own is None:
+                raise RuntimeError("the texts came in another order when they were read again")
+            at, *found = _columns(row["packed"], *ADDED_COLUMNS)
+            for a, f in zip(added, found, strict=True):
+                a[at] += f
+    if own is not None:
+        yield texts()
+
+
 def text_losses(
-    texts: DataFrame, values: DataFrame, rest: list[float], spelling: Model, head: int = HEAD
+    texts: DataFrame,
+    values: DataFrame,
+    rest: list[float],
+    spelling: Model,
+    head: int = HEAD,
+    block: int = BLOCK,
 ) -> DataFrame:
     """(key, whole, half1, half0): nats a character of each different text in each model.
 
     ``texts`` has key and text; rows of one key have one text, and count once.
     A text without words has no row.
+
+    Texts are read once. The n-grams of a block of texts travel in one row for each
+    shard, sorted, as differences; a shard's values meet them in a task that holds these
+    values and one such row at a time.
     """
     frequent, others = _most_frequent(values, head)
     top = frequent.select("gram", *MODELS).toArrow().sort_by("gram")
     sent = texts.sparkSession.sparkContext.broadcast(
         (spelling, top["gram"].to_numpy(), [top[m].to_numpy() for m in MODELS])
     )
-    ddl = "key bigint, n bigint, chars double, base double, "
-    own = texts.mapInArrow(_text_parts(sent), ddl + ", ".join(f"{m} double" for m in MODELS))
-    own = own.withColumn("copies", F.lit(1))
-    # the texts are read twice, which takes less disk than keeping their n-grams
-    rare = texts.mapInArrow(_rare_grams(sent), "key bigint, gram bigint, n bigint")
-    found = rare.join(others.drop("n"), "gram").selectExpr(
-        "key", "0 as copies", "0L as n", "0D as chars", "0D as base", *[f"{m} * n as {m}" for m in MODELS]
-    )
-    sums = own.unionByName(found).groupBy("key").agg(
-        *[F.sum(c).alias(c) for c in ("copies", "n", "chars", "base", *MODELS)]
-    )
-    # copies of a text add the same to each sum, so that they cancel here
-    return sums.where("n > copies").select(
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(others.count() / SHARD_VALUES, size / SHARD_BYTES, 1)
+    bits = int(np.ceil(np.log2(shards)))
+    rows = others.select("gram", *MODELS).mapInArrow(_pack_values(bits), PACKED)
+    rows = rows.unionByName(texts.mapInArrow(_pack_texts(sent, bits, block), PACKED))
+    met = rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_found_values, PACKED)
+    ddl = "key bigint, n bigint, chars double, base double, " + ", ".join(f"{m} double" for m in MODELS)
+    sums = met.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_whole_sums, ddl)
+    losses = sums.where("n > 1").select(
         "key",
         *[
             (-(F.col("base") + F.col(m) + F.col("n") * F.lit(r)) / F.col("chars")).alias(m)
             for m, r in zip(MODELS, rest, strict=True)
         ],
     )
+    return losses.groupBy("key").agg(*[F.max(m).alias(m) for m in MODELS])
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -530,12 +675,12 @@ def thresholds(losses: DataFrame, quantile: float) -> DataFrame:
     each = bins.select(F.lit(False).alias("__all"), "lang", "bin", "n").unionByName(
         whole.select(F.lit(True).alias("__all"), F.lit(None).cast("string").alias("lang"), "bin", "n")
     )
-    each.createOrReplaceTempView("loss_bins")
     return losses.sparkSession.sql(
         f"""select __all, lang as __lang, (min(bin) + 1) / {BINS}D as __most, max(total) as __n
             from (select *, sum(n) over (partition by __all, lang order by bin) as upto,
-                         sum(n) over (partition by __all, lang) as total from loss_bins)
-            where upto >= {quantile}D * total group by __all, lang"""
+                         sum(n) over (partition by __all, lang) as total from {{each}})
+            where upto >= {quantile}D * total group by __all, lang""",
+        each=each,
     )
 
 
@@ -577,21 +722,25 @@ def judge(
     )
     # copies of a text fall in one half
     half = F.pmod(F.xxhash64("text"), F.lit(2)).alias("half")
-    trusted = stored(
+    shelf = Shelf(docs.sparkSession)
+    trusted = shelf.put(
         texts.join(trusted_ids(labels), "__trusted", "left_semi").select(
             "lang", half, F.xxhash64("text").alias("key"), "text"
         ),
         "trusted",
     )
-    spelling = train(trusted.select(spelled().alias("text")), alphabet, order)
-    values, rest = word_values(trusted.select("half", "text"), spelling)
-    losses = stored(
+    spelling = train(trusted.select(spelled().alias("text")), alphabet, order, shelf)
+    values, rest = word_values(trusted.select("half", "text"), spelling, shelf)
+    trusted = shelf.put(trusted.select("lang", "half", "key"), "trusted_keys")
+    shelf.drop("trusted", "ngrams")
+    losses = shelf.put(
         text_losses(docs.select(key.alias("key"), whole_text().alias("text")), values, rest, spelling, head),
         "losses",
     )
+    shelf.drop("values")
     unseen = F.when(F.col("half") == 0, F.col("half1")).when(F.col("half") == 1, F.col("half0"))
     held_out = trusted.select("lang", "half", "key").join(losses, "key").select("lang", unseen.alias("__loss"))
-    limits = stored(thresholds(held_out, quantile), "thresholds")
+    limits = shelf.put(thresholds(held_out, quantile), "thresholds")
     own = limits.where("not __all").select("__lang", "__most", "__n")
     overall = limits.where("__all").agg(F.max("__most").alias("__overall")).first()[0]
     pooled = F.lit(overall).cast("double")
