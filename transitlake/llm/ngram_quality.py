@@ -11,7 +11,8 @@ interpolated model is a sum over the n-grams of a text:
 where a pair's value is what it adds to its word's, and a word's value holds the
 weight it leaves as a context. Unknown n-grams have the value 0, so the perplexity of
 a document is one join of its n-grams with the values and one sum, sharded by n-gram
-(the n-grams of a block of texts travel packed, one row a shard). The model grows with the trusted text, and no task holds all of it. Only the
+(the n-grams of a block of texts travel packed, one row a shard). The model grows with
+the trusted text, and no task holds all of it. Only the
 most frequent n-grams, at most HEAD of them, are sent to all tasks, which keeps those
 that nearly every document holds out of the join.
 """
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,9 @@ HEAD = 1 << 20
 MOST_WORDS = 1 << 18
 # Bytes of text in a block; its n-grams travel in one row a shard.
 BLOCK = 8_000_000
+# Pairs are counted, and texts scored, in so many turns, each for its share of the n-grams:
+# texts are read once a turn, and a turn's shuffle is that part of the whole.
+TURNS = 2
 # A shard has about so many values, or the n-grams of so many bytes of text.
 SHARD_VALUES, SHARD_BYTES = 1 << 19, 1 << 25
 # Context of the first word and the word after the last; no text has these words.
@@ -274,7 +279,9 @@ def pair_key(before: np.ndarray, word: np.ndarray) -> np.ndarray:
 PAIR = "(shiftleft(h, 1) | shiftrightunsigned(h, 63)) ^ w"
 
 
-def _pair_counts(sent):
+def _pair_counts(sent, turn: int):
+    """Counts of the different pairs of each block that are this turn's."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelling = sent.value
         table = lookup_table(spelling.alphabet)
@@ -286,9 +293,11 @@ def _pair_counts(sent):
             lengths = [len(d) - 1 for d in words.docs]
             in_half = np.repeat(np.array(half, np.int64), lengths)
             pair, at = np.unique(pair, return_inverse=True)
-            n = [np.bincount(at[in_half == k], minlength=len(pair)) for k in (0, 1)]
+            h, w = words.keys[pair // size], words.keys[pair % size]
+            own = (h ^ w).view(np.uint64) % np.uint64(TURNS) == turn
+            n = [np.bincount(at[in_half == k], minlength=len(pair))[own] for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words.keys[pair // size]), pa.array(words.keys[pair % size]), *map(pa.array, n)],
+                [pa.array(h[own]), pa.array(w[own]), *map(pa.array, n)],
                 names=["h", "w", "n0", "n1"],
             )
 
@@ -339,15 +348,20 @@ def word_values(
     per model the logarithm of the weight that single words leave to spelling.
 
     ``trusted`` has text and half. A gram is the key of a word or of a pair. Each
-    relation is keyed by a word or a pair; a few numbers come to the driver. ``most`` is
+    relation is keyed by a word or a pair; a few numbers come to the driver. What ``shelf``
+    holds as "trusted" goes once it is read. ``most`` is
     how many words have their counts sent to all tasks; it does not change the result.
     """
     shelf = shelf or Shelf(trusted.sparkSession)
     sent = trusted.sparkSession.sparkContext.broadcast(spelling)
-    raw = trusted.mapInArrow(_pair_counts(sent), "h bigint, w bigint, n0 bigint, n1 bigint")
-    sums = raw.groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    # in the order of MODELS
-    pairs = shelf.put(sums.selectExpr("h", "w", "n0 + n1 as m0", "n1 as m1", "n0 as m2"), "pairs")
+    counted = []
+    for turn in range(TURNS):
+        raw = trusted.mapInArrow(_pair_counts(sent, turn), "h bigint, w bigint, n0 bigint, n1 bigint")
+        sums = raw.groupBy("h", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        # in the order of MODELS
+        sums = sums.selectExpr("h", "w", "n0 + n1 as m0", "n1 as m1", "n0 as m2")
+        counted.append(shelf.put(sums, f"pairs{turn}"))
+    pairs = reduce(DataFrame.unionByName, counted)
     models = range(len(MODELS))
     off2 = _count_discounts(pairs, [f"m{x}" for x in models])
     contexts = shelf.put(
@@ -403,9 +417,11 @@ def word_values(
         f"cast(coalesce(ln(1D + a{x} / nullif(p{x}, 0D)), 0D) as float) as {MODELS[x]}"
         for x in models
     ])
-    values = shelf.put(single.unionByName(double), "values")
     sent.unpersist()
-    shelf.drop("pairs", "contexts", "ends", "words")
+    if "trusted" in shelf.paths:
+        shelf.drop("trusted")
+    values = shelf.put(single.unionByName(double), "values")
+    shelf.drop(*[f"pairs{turn}" for turn in range(TURNS)], "contexts", "ends", "words")
     return values, [float(np.log(r)) for r in rest]
 
 
@@ -488,14 +504,17 @@ def _packed_rows(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
 
 def _shard_cuts(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Shards that sorted unsigned ``grams`` fall in, and where each begins, with the end."""
-    shard = (grams >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+    shard = (grams >> np.uint64(64 - bits)).astype(np.int64)
     start = np.flatnonzero(np.diff(shard, prepend=-1))
     return shard[start], np.append(start, len(grams))
 
 
-def _pack_texts(sent, bits: int, most: int):
-    """Per block of texts one row of sums, and for each shard one row of the n-grams that
-    are not frequent: those of a text once, with their count."""
+def _pack_texts(sent, bits: int, most: int, turn: int):
+    """Per block of texts one row of sums, and for each shard of the turn one row of the
+    n-grams that are not frequent: those of a text once, with their count.
+
+    Lengths, spelling and frequent n-grams are summed in the first turn, and 0 in others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelling, head, head_values = sent.value
@@ -506,15 +525,16 @@ def _pack_texts(sent, bits: int, most: int):
             key = part.column("key").to_numpy()
             # the same when a lost task runs again
             block = xxhash.xxh3_64_intdigest(key.tobytes()) - (1 << 63)
-            sums = [
-                (key, "<i8"),
+            sums = [(key, "<i8")] + [(x * (turn == 0), kind) for x, kind in (
                 (np.array([len(d) - 1 for d in found.words.docs]), "<i8"),
                 (np.bincount(found.doc, found.words.chars[found.ids], count), "<f8"),
                 (np.bincount(found.doc, found.words.base[found.ids], count), "<f8"),
                 *[(np.bincount(owner, v[at], count), "<f8") for v in head_values],
-            ]
+            )]
             yield _packed_rows([(block % (1 << bits), SUMS, block, _pack(*sums))])
-            g, o = found.grams[~found.frequent].view(np.uint64), found.owner[~found.frequent]
+            g = found.grams.view(np.uint64)
+            own = ~found.frequent & ((g >> np.uint64(64 - bits)) % np.uint64(TURNS) == turn)
+            g, o = g[own], found.owner[own]
             order = np.lexsort((o, g))
             g, o = g[order], o[order]
             new = np.ones(len(g), bool)
@@ -615,13 +635,14 @@ def text_losses(
     spelling: Model,
     head: int = HEAD,
     block: int = BLOCK,
+    shelf: Shelf | None = None,
 ) -> DataFrame:
     """(key, whole, half1, half0): nats a character of each different text in each model.
 
     ``texts`` has key and text; rows of one key have one text, and count once.
     A text without words has no row.
 
-    Texts are read once. The n-grams of a block of texts travel in one row for each
+    Texts are read once a turn. The n-grams of a block of texts travel in one row for each
     shard, sorted, as differences; a shard's values meet them in a task that holds these
     values and one such row at a time.
     """
@@ -631,21 +652,29 @@ def text_losses(
         (spelling, top["gram"].to_numpy(), [top[m].to_numpy() for m in MODELS])
     )
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(others.count() / SHARD_VALUES, size / SHARD_BYTES, 1)
+    shards = max(others.count() / SHARD_VALUES, size / SHARD_BYTES, TURNS)
     bits = int(np.ceil(np.log2(shards)))
-    rows = others.select("gram", *MODELS).mapInArrow(_pack_values(bits), PACKED)
-    rows = rows.unionByName(texts.mapInArrow(_pack_texts(sent, bits, block), PACKED))
-    met = rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_found_values, PACKED)
-    ddl = "key bigint, n bigint, chars double, base double, " + ", ".join(f"{m} double" for m in MODELS)
-    sums = met.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_whole_sums, ddl)
-    losses = sums.where("n > 1").select(
+    shelf = shelf or Shelf(texts.sparkSession)
+    names = ["n", "chars", "base", *MODELS]
+    ddl = "key bigint, n bigint, " + ", ".join(f"{c} double" for c in names[1:])
+    turns = []
+    for turn in range(TURNS):
+        asked = others.where(f"shiftrightunsigned(gram, {64 - bits}) % {TURNS} = {turn}")
+        rows = asked.select("gram", *MODELS).mapInArrow(_pack_values(bits), PACKED)
+        rows = rows.unionByName(texts.mapInArrow(_pack_texts(sent, bits, block, turn), PACKED))
+        met = rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_found_values, PACKED)
+        sums = met.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_whole_sums, ddl)
+        # copies of a text have equal sums
+        sums = sums.groupBy("key").agg(*[F.max(c).alias(c) for c in names])
+        turns.append(shelf.put(sums, f"sums{turn}"))
+    sums = reduce(DataFrame.unionByName, turns).groupBy("key").agg(*[F.sum(c).alias(c) for c in names])
+    return sums.where("n > 1").select(
         "key",
         *[
             (-(F.col("base") + F.col(m) + F.col("n") * F.lit(r)) / F.col("chars")).alias(m)
             for m, r in zip(MODELS, rest, strict=True)
         ],
     )
-    return losses.groupBy("key").agg(*[F.max(m).alias(m) for m in MODELS])
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -729,15 +758,18 @@ def judge(
         ),
         "trusted",
     )
+    keys = shelf.put(trusted.select("lang", "half", "key"), "trusted_keys")
     spelling = train(trusted.select(spelled().alias("text")), alphabet, order, shelf)
+    shelf.drop("ngrams")
     values, rest = word_values(trusted.select("half", "text"), spelling, shelf)
-    trusted = shelf.put(trusted.select("lang", "half", "key"), "trusted_keys")
-    shelf.drop("trusted", "ngrams")
+    trusted = keys
     losses = shelf.put(
-        text_losses(docs.select(key.alias("key"), whole_text().alias("text")), values, rest, spelling, head),
+        text_losses(
+            docs.select(key.alias("key"), whole_text().alias("text")), values, rest, spelling, head, shelf=shelf
+        ),
         "losses",
     )
-    shelf.drop("values")
+    shelf.drop("values", *[f"sums{turn}" for turn in range(TURNS)])
     unseen = F.when(F.col("half") == 0, F.col("half1")).when(F.col("half") == 1, F.col("half0"))
     held_out = trusted.select("lang", "half", "key").join(losses, "key").select("lang", unseen.alias("__loss"))
     limits = shelf.put(thresholds(held_out, quantile), "thresholds")
