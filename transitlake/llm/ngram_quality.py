@@ -45,8 +45,9 @@ MOST_WORDS = 1 << 18
 # Bytes of text in a block; its n-grams travel in one row a shard.
 BLOCK = 8_000_000
 # Pairs are counted, and texts scored, in so many turns, each for its share of the n-grams:
-# texts are read once a turn, and a turn's shuffle is that part of the whole.
-TURNS = 2
+# texts are read once a turn, and a turn's shuffle is that part of the whole. More turns
+# take less disk and more time.
+TURNS = 1
 # A shard has about so many values, or the n-grams of so many bytes of text.
 SHARD_VALUES, SHARD_BYTES = 1 << 19, 1 << 25
 # Context of the first word and the word after the last; no text has these words.
@@ -444,7 +445,10 @@ def _most_frequent(values: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
 
 
 class _Grams:
-    """The n-grams of a block of texts, with the number of the text that each is in."""
+    """The n-grams of each text of a block, with their counts and the text's number.
+
+    ``head`` holds the frequent n-grams, sorted as unsigned numbers.
+    """
 
     def __init__(self, texts: list[str], spelling: Model, table: np.ndarray, head: np.ndarray):
         self.words = words = Words(texts, spelling, table)
@@ -452,8 +456,16 @@ class _Grams:
         self.ids = ids = np.concatenate(words.docs)
         first = np.flatnonzero(ids != 1)  # a pair starts at each word but the END
         pairs = pair_key(words.keys[ids[first]], words.keys[ids[first + 1]])
-        self.grams = np.concatenate([words.keys[ids], pairs])
-        self.owner = np.concatenate([self.doc, self.doc[first]])
+        grams = np.concatenate([words.keys[ids], pairs]).view(np.uint64)
+        # texts stay in order where n-grams are equal
+        order = np.argsort(grams, kind="stable")
+        grams, owner = grams[order], np.concatenate([self.doc, self.doc[first]])[order]
+        new = np.ones(len(grams), bool)
+        new[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+        start = np.flatnonzero(new)
+        # one entry for each n-gram of a text, by n-gram
+        self.n = np.diff(np.append(start, len(grams)))
+        self.grams, self.owner = grams[start], owner[start]
         self.at = np.searchsorted(head, self.grams)
         self.at[self.at == len(head)] = 0
         self.frequent = (
@@ -522,6 +534,7 @@ def _pack_texts(sent, bits: int, most: int, turn: int):
         for part, texts in text_blocks(batches, most=most):
             found = _Grams(texts, spelling, table, head)
             count, at, owner = len(texts), found.at[found.frequent], found.owner[found.frequent]
+            times = found.n[found.frequent]
             key = part.column("key").to_numpy()
             # the same when a lost task runs again
             block = xxhash.xxh3_64_intdigest(key.tobytes()) - (1 << 63)
@@ -529,19 +542,11 @@ def _pack_texts(sent, bits: int, most: int, turn: int):
                 (np.array([len(d) - 1 for d in found.words.docs]), "<i8"),
                 (np.bincount(found.doc, found.words.chars[found.ids], count), "<f8"),
                 (np.bincount(found.doc, found.words.base[found.ids], count), "<f8"),
-                *[(np.bincount(owner, v[at], count), "<f8") for v in head_values],
+                *[(np.bincount(owner, v[at] * times.astype(float), count), "<f8") for v in head_values],
             )]
             yield _packed_rows([(block % (1 << bits), SUMS, block, _pack(*sums))])
-            g = found.grams.view(np.uint64)
-            own = ~found.frequent & ((g >> np.uint64(64 - bits)) % np.uint64(TURNS) == turn)
-            g, o = g[own], found.owner[own]
-            order = np.lexsort((o, g))
-            g, o = g[order], o[order]
-            new = np.ones(len(g), bool)
-            new[1:] = (g[1:] != g[:-1]) | (o[1:] != o[:-1])
-            start = np.flatnonzero(new)
-            n = np.diff(np.append(start, len(g)))
-            g, o = g[start], o[start]
+            own = ~found.frequent & ((found.grams >> np.uint64(64 - bits)) % np.uint64(TURNS) == turn)
+            g, o, n = found.grams[own], found.owner[own], found.n[own]
             shards, cuts = _shard_cuts(g, bits)
             for k, shard in enumerate(shards):
                 cut = slice(cuts[k], cuts[k + 1])
@@ -647,12 +652,13 @@ def text_losses(
     values and one such row at a time.
     """
     frequent, others = _most_frequent(values, head)
-    top = frequent.select("gram", *MODELS).toArrow().sort_by("gram")
+    top = frequent.select("gram", *MODELS).toArrow()
+    order = np.argsort(top["gram"].to_numpy().view(np.uint64))
     sent = texts.sparkSession.sparkContext.broadcast(
-        (spelling, top["gram"].to_numpy(), [top[m].to_numpy() for m in MODELS])
+        (spelling, top["gram"].to_numpy().view(np.uint64)[order], [top[m].to_numpy()[order] for m in MODELS])
     )
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(others.count() / SHARD_VALUES, size / SHARD_BYTES, TURNS)
+    shards = max(others.count() / SHARD_VALUES, size / SHARD_BYTES, TURNS, 2)
     bits = int(np.ceil(np.log2(shards)))
     shelf = shelf or Shelf(texts.sparkSession)
     names = ["n", "chars", "base", *MODELS]
