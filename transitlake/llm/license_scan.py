@@ -1,13 +1,14 @@
 """Licence scans by a trained paragraph classifier, on DataFrame functions alone.
 
-A paragraph is a line. Its features are the words and word pairs that occur in the
-training notices. A multinomial logistic regression over them names a family or
-``none``; its probabilities are calibrated by a temperature fitted on left-out
-notices, and below a limit the family is ``unknown``. A named family is confirmed by
-comparison with the notices of that family.
-
-Training reads the notices below and nothing of the corpus; the model is a few
-thousand numbers, which become literals and a small table of the plan.
+A paragraph is a line with the lines it was wrapped into: a line break joins two lines
+when the first is long and ends no sentence. Its features are the words and word pairs
+that occur in the training texts (``licences``). A multinomial logistic regression over
+them gives probabilities for the families, for licences of no family and for ``none``;
+they are calibrated by a temperature fitted on left-out texts. A named family is
+confirmed by comparison with the texts of that family.
+
+Training reads the bounded texts of ``licences`` and nothing of the corpus; the model is
+a table of some thousand features, whose names become literals of the plan.
 """
 
 from __future__ import annotations
@@ -15,120 +16,18 @@ from __future__ import annotations
 import math
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitlake.llm.common import whole_text
+from transitlake.llm.common import stored, whole_text
+from transitlake.llm.licences import FORMS, NAMES, NONE, NOTICES, STOP, UNKNOWN
 
-NONE, UNKNOWN = "none", "unknown"
-STEPS, RATE, DECAY = 150, 0.5, 1e-3
-# A line with fewer features of the model says too little to be anything but ``none``.
-FEWEST = 2
+STEPS, RATE, DECAY, FOLDS = 300, 0.3, 6e-3, 3
+# A line of at least this many characters that ends no sentence goes on in the next one.
+WRAPPED = 40
 # Training rows without any feature, for the weight of ``none`` where little is said.
 BLANKS = 60
-
-# Usual wordings of public licence notices by family, and sentences
-# that use the same words without licensing anything.
-NOTICES: dict[str, tuple[str, ...]] = {
-    "apache": (
-        "Licensed under the Apache License, Version 2.0",
-        "you may not use this file except in compliance with the Apache License",
-        "SPDX-License-Identifier: Apache-2.0",
-        "This project is released under the Apache License 2.0",
-        "distributed under the terms of the Apache License version 2.0",
-        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-    ),
-    "mit": (
-        "Released under the MIT License",
-        "Licensed under the MIT license",
-        "SPDX-License-Identifier: MIT",
-        "This software is distributed under the MIT License",
-        "The MIT License (MIT)",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-    ),
-    "bsd": (
-        "Licensed under the BSD 3-Clause License",
-        "Released under the BSD license",
-        "SPDX-License-Identifier: BSD-3-Clause",
-        "Use of this source code is governed by a BSD-style license",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted",
-    ),
-    "gpl": (
-        "This work is licensed under the GNU General Public License, version 3",
-        "Licensed under the GNU GPL v2",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
-        "you can redistribute it and/or modify it under the terms of the GNU General Public License",
-        "released under the GNU General Public License version 2",
-        "This program is distributed under the GPL",
-    ),
-    "lgpl": (
-        "Licensed under the GNU Lesser General Public License",
-        "SPDX-License-Identifier: LGPL-2.1",
-        "under the terms of the GNU Lesser General Public License version 2.1",
-        "This library is released under the LGPL",
-    ),
-    "mpl": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-        "Licensed under the Mozilla Public License 2.0",
-        "SPDX-License-Identifier: MPL-2.0",
-        "released under the MPL 2.0",
-    ),
-    "cc-by": (
-        "Licensed under CC BY 4.0",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License",
-        "SPDX-License-Identifier: CC-BY-4.0",
-        "available under the Creative Commons Attribution License",
-    ),
-    "cc-by-sa": (
-        "Licensed under CC BY-SA 4.0",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 License",
-        "SPDX-License-Identifier: CC-BY-SA-3.0",
-        "text is available under the Creative Commons Attribution-ShareAlike License",
-    ),
-    "cc-by-nc": (
-        "Licensed under CC BY-NC 4.0",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 License",
-        "SPDX-License-Identifier: CC-BY-NC-4.0",
-        "available under the Creative Commons Attribution-NonCommercial License",
-    ),
-    "public-domain": (
-        "This work is dedicated to the public domain",
-        "To the extent possible under law the author has waived all copyright under CC0 1.0",
-        "SPDX-License-Identifier: CC0-1.0",
-        "This is free and unencumbered software released into the public domain",
-    ),
-    "proprietary": (
-        "All rights reserved.",
-        "Copyright 2020 The Company. All rights reserved.",
-        "Unauthorized copying of this file is strictly prohibited",
-        "Proprietary and confidential",
-        "No part of this publication may be reproduced without prior written permission of the publisher",
-    ),
-    NONE: (
-        "the driver lost the license of the car",
-        "the license plate of the car was not visible",
-        "the public was granted a copy of the terms",
-        "the general of the army made a public statement on the version of events",
-        "the work is under way and the people are free to use this road",
-        "the rights of the people are reserved for another day",
-        "the library is open to any person with a card",
-        "version 2.0 of the file was released under the old name",
-        "permission to use the source was given by the creative director",
-        "all the software of the company is free of charge",
-        "the terms of the contract may be subject to law",
-        "er geht mit ihr und mit allen",
-        "sie kam mit der bahn, er mit dem rad",
-        "mit oder ohne",
-        "students of mit and of apache county met under the bridge",
-        "the common attribution of the painting is of the international school",
-        "the domain of this function is the set of all numbers",
-    ),
-}
-# Words that make no feature of their own.
-STOP = frozenset(
-    "a all and any are at be by for from in into is it may no not of on or the this to was "
-    "were with you can that".split()
-)
 WORD = r"[\p{L}\p{N}]+(?:[.+][\p{L}\p{N}]+)*"
 
 
@@ -158,30 +57,32 @@ Weights = dict[str, list[float]]
 
 
 def _probabilities(weights: Weights, bias: list[float], feats, heat: float = 1.0) -> list[float]:
-    z = [b + sum(weights[f][k] for f in feats if f in weights) for k, b in enumerate(bias)]
+    """Class probabilities; the weights of a text's features count by their root number."""
+    known = [weights[f] for f in feats if f in weights]
+    scale = math.sqrt(max(len(known), 1))
+    z = [b + sum(w[k] for w in known) / scale for k, b in enumerate(bias)]
     top = max(z)
     e = [math.exp((x - top) / heat) for x in z]
     return [x / sum(e) for x in e]
 
 
 def _fit(rows: list[tuple[frozenset[str], int]], classes: int) -> tuple[Weights, list[float]]:
-    """Gradient descent on the mean log loss with weight decay; deterministic."""
-    weights: Weights = {f: [0.0] * classes for feats, _ in rows for f in sorted(feats)}
-    bias = [0.0] * classes
+    """Gradient descent on the log loss with weight decay; deterministic."""
+    names = sorted({f for feats, _ in rows for f in feats})
+    place = {f: i for i, f in enumerate(names)}
+    x = np.zeros((len(rows), len(names)))
+    for i, (feats, _) in enumerate(rows):
+        for f in feats:
+            x[i, place[f]] = 1 / math.sqrt(len(feats))
+    goal = np.eye(classes)[[y for _, y in rows]]
+    w, bias = np.zeros((len(names), classes)), np.zeros(classes)
     for _ in range(STEPS):
-        slope = {f: [0.0] * classes for f in weights}
-        for feats, y in rows:
-            p = _probabilities(weights, bias, feats)
-            p[y] -= 1
-            for k in range(classes):
-                bias[k] -= RATE * p[k] / len(rows)
-            for f in sorted(feats):
-                for k in range(classes):
-                    slope[f][k] += p[k]
-        for f, g in slope.items():
-            for k in range(classes):
-                weights[f][k] -= RATE * (g[k] / len(rows) * 8 + DECAY * weights[f][k])
-    return weights, bias
+        z = x @ w + bias
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        off = p / p.sum(axis=1, keepdims=True) - goal
+        bias -= RATE * off.mean(axis=0)
+        w -= RATE * (x.T @ off + DECAY * w)
+    return dict(zip(names, w.tolist(), strict=True)), bias.tolist()
 
 
 @lru_cache
@@ -189,12 +90,27 @@ def trained() -> tuple[list[str], Weights, list[float], float]:
     """Families (``none`` first), weights, biases and the temperature."""
     families = sorted(NOTICES, key=lambda f: (f != NONE, f))
     rows = [(features(t), families.index(f)) for f in families for t in NOTICES[f]]
+    rows += [
+        (features(form.format(name)), families.index(f))
+        for f, names in NAMES.items()
+        for name in names
+        for form in FORMS
+    ]
     # most lines have no feature at all
     rows += [(frozenset(), 0)] * BLANKS
+    # what several families share licenses nothing alone, nor two of its words by chance
+    shared = sorted(
+        f
+        for f in {f for feats, _ in rows for f in feats}
+        if len({y for feats, y in rows if f in feats}) > 1
+    )
+    single = [f for f in shared if " " not in f]
+    rows += [(frozenset([f]), 0) for f in single]
+    rows += [(frozenset([f, single[i * 7 % len(single)]]), 0) for i, f in enumerate(single)]
     held = []
-    for part in range(3):
-        weights, bias = _fit([r for i, r in enumerate(rows) if i % 3 != part], len(families))
-        held += [(weights, bias, r) for i, r in enumerate(rows) if i % 3 == part]
+    for part in range(FOLDS):
+        weights, bias = _fit([r for i, r in enumerate(rows) if i % FOLDS != part], len(families))
+        held += [(weights, bias, r) for i, r in enumerate(rows) if i % FOLDS == part]
 
     def loss(heat: float) -> float:
         return -sum(math.log(_probabilities(w, b, f, heat)[y] + 1e-12) for w, b, (f, y) in held)
@@ -204,6 +120,14 @@ def trained() -> tuple[list[str], Weights, list[float], float]:
     return families, weights, bias, heat
 
 
+@lru_cache
+def telling() -> frozenset[str]:
+    """Features of licence names that alone make a paragraph anything but ``none``."""
+    _, weights, bias, heat = trained()
+    named = {f for names in NAMES.values() for name in names for f in features(name)}
+    return frozenset(f for f in named if _probabilities(weights, bias, [f], heat)[0] < 0.5)
+
+
 def _model_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     families, weights, _, _ = trained()
     model = spark.createDataFrame(
@@ -217,76 +141,124 @@ def _model_tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     return model, notices
 
 
-def marked_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 1) and hits: features of the model in a line."""
-    _, weights, _, _ = trained()
-    known = ", ".join("'" + f.replace("'", "''") + "'" for f in sorted(weights))
-    lines = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.posexplode(F.split(whole_text(), "\n")).alias("at", "line"),
+def _literals(values) -> str:
+    return ", ".join("'" + f.replace("'", "''") + "'" for f in sorted(values)) or "''"
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """doc_id, line_no (of the first line, from 1), n_lines and the paragraph's text."""
+    ends = r"""regexp(right(rtrim(get(l, i - 1)), 3), '[.:;!?]["'')]*$')"""
+    goes_on = (
+        f"i > 0 and length(rtrim(get(l, i - 1))) >= {WRAPPED} and trim(get(l, i)) != '' and not {ends}"
+    )
+    # lines are bound once as l, the places where a paragraph begins as s
+    cut = f"""transform(array(split(text, '\\n')), l ->
+      transform(array(filter(sequence(0, size(l) - 1), i -> not ({goes_on}))), s ->
+        transform(s, (from, k) -> named_struct('at', from,
+          'n', coalesce(get(s, k + 1), size(l)) - from,
+          'text', array_join(slice(l, from + 1, coalesce(get(s, k + 1), size(l)) - from), ' '))))[0])[0]"""
+    return (
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+        .select("doc_id", F.explode(F.expr(cut)).alias("p"))
+        .select(
+            "doc_id",
+            (F.col("p.at") + 1).cast("bigint").alias("line_no"),
+            F.col("p.n").cast("bigint").alias("n_lines"),
+            F.col("p.text").alias("paragraph"),
+        )
     )
-    found = f"regexp_extract_all(lower(line), '{WORD}', 0)".replace("\\", "\\\\")
+
+
+def marked_paragraphs(docs: DataFrame) -> DataFrame:
+    """doc_id, line_no, n_lines and hits: the features of the model in a paragraph.
+
+    A paragraph without features is ``none``, and so is one whose only feature is not
+    ``telling``.
+    """
+    _, weights, _, _ = trained()
+    found = f"regexp_extract_all(lower(paragraph), '{WORD}', 0)".replace("\\", "\\\\")
     # the words are bound once as w; a column would be worked out anew at each use.
-    # Pairs of stop words are in no model, so the intersection drops them.
-    hits = f"""transform(array({found}), w -> array_sort(array_intersect(
+    # Pairs of stop words are in no model, so the filter drops them.
+    hits = f"""transform(array({found}), w -> array_sort(array_distinct(filter(
         concat(w, transform(slice(w, 2, greatest(size(w) - 1, 0)), (x, i) -> concat(w[i], ' ', x))),
-        array({known}))))[0]"""
-    return lines.select(
-        "doc_id", (F.col("at") + 1).cast("bigint").alias("line_no"), F.expr(hits).alias("hits")
-    ).where(f"size(hits) >= {FEWEST}")
+        f -> f in ({_literals(weights)})))))[0]"""
+    return (
+        paragraphs(docs)
+        .select("doc_id", "line_no", "n_lines", F.expr(hits).alias("hits"))
+        .where(f"size(hits) >= 2 or get(hits, 0) in ({_literals(telling())})")
+    )
 
 
-def scan(docs: DataFrame, limit: float = 0.6, agreement: float = 0.5) -> DataFrame:
-    """Licence notices in documents: doc_id, line_no, family, probability, similarity,
-    confirmed.
+def scan(docs: DataFrame, limit: float = 0.5, agreement: float = 0.5) -> DataFrame:
+    """Licence paragraphs in documents: doc_id, line_no, n_lines, family, probability,
+    similarity, confirmed.
 
-    ``docs`` has doc_id and text. A line is reported when its best class is not
-    ``none``; the family is ``unknown`` when its calibrated probability is under
-    ``limit``. Similarity is the largest share of a notice of the family that the
-    line has (features of the notice); ``confirmed`` from ``agreement`` on.
+    ``docs`` has doc_id and text; other columns are ignored, whatever their names. A
+    paragraph is reported when ``none`` has a probability under one half. Its family is
+    the most probable one (ties: the first by name), or ``unknown`` if that is the class
+    of licences without a family or has a calibrated probability under ``limit``.
+    Similarity is the largest share of a text of the named family that the paragraph has
+    (features of the text; null beside ``unknown``); ``confirmed`` from ``agreement`` on,
+    never beside ``unknown``.
 
-    Null and empty texts have no lines. Lines repeated in a document, and repeated
-    documents, are reported each. Lines count from 1; texts of any length are read
-    whole. Different sets of features are classified once; a line goes through the
-    shuffle only when it has features of the model.
+    Null and empty texts have no paragraphs with features. Paragraphs repeated in a
+    document, repeated documents and documents without an id are reported each. Lines
+    count from 1; texts and lines of any length are read whole. Texts are read once:
+    what has features of the model is stored, its different sets of features are judged
+    once, and the judgements are stored too, so that a set that a third of all
+    paragraphs share is split over tasks in the last join. An empty table gives an empty
+    result.
     """
     families, _, bias, heat = trained()
     model, notices = _model_tables(docs.sparkSession)
-    marked = marked_lines(docs)
+    marked = stored(marked_paragraphs(docs), "licence-marks")
     sets = marked.select("hits").distinct()
     k = len(families)
     sums = (
         sets.select("hits", F.explode("hits").alias("feature"))
-        .join(F.broadcast(model), "feature")  # bounded by the notices above
+        .join(F.broadcast(model), "feature")  # bounded by the training texts
         .groupBy("hits")
         .agg(*[F.round(F.sum(F.col("weights")[i]), 6).alias(f"z{i}") for i in range(k)])
     )
-    logits = F.array(*[(F.col(f"z{i}") + F.lit(round(bias[i], 6))) / F.lit(heat) for i in range(k)])
-    scored = sums.select("hits", logits.alias("z")).select(
-        "hits", "z", F.array_max("z").alias("top")
+    logits = [
+        (F.col(f"z{i}") / F.sqrt(F.size("hits")) + F.lit(round(bias[i], 6))) / F.lit(heat)
+        for i in range(k)
+    ]
+    scored = sums.select("hits", F.array(*logits).alias("z")).select(
+        "hits",
+        "z",
+        F.expr("array_max(slice(z, 2, size(z)))").alias("top"),
+        F.expr("aggregate(z, 0D, (s, x) -> s + exp(x - array_max(z)))").alias("total"),
+        F.array_max("z").alias("most"),
     )
-    names = F.array(*[F.lit(f) for f in families])
-    best = scored.select(
+    named = F.array(*[F.lit(f) for f in families[1:]])
+    best = scored.where("exp(z[0] - most) / total < 0.5D").select(
         "hits",
-        F.element_at(names, F.array_position("z", F.col("top")).cast("int")).alias("best"),
-        F.expr("1 / aggregate(z, 0D, (s, x) -> s + exp(x - top))").alias("probability"),
-    ).where(F.col("best") != NONE)
+        F.element_at(named, F.expr("array_position(slice(z, 2, size(z)), top)").cast("int")).alias(
+            "best"
+        ),
+        F.expr("exp(top - most) / total").alias("probability"),
+    )
+    family = F.when(F.col("probability") < limit, UNKNOWN).otherwise(F.col("best"))
+    classed = best.select("hits", family.alias("family"), F.round("probability", 6).alias("probability"))
+    # compared with the texts of the family, some ten a set at most
     near = (
-        best.join(F.broadcast(notices), best["best"] == notices["family"])
+        classed.join(F.broadcast(notices.where(F.col("family") != UNKNOWN)), "family", "left")
         .select(
             "hits",
+            "family",
+            "probability",
             (F.size(F.array_intersect("hits", "notice")) / F.size("notice")).alias("share"),
         )
-        .groupBy("hits")
-        .agg(F.max("share").alias("similarity"))
+        .groupBy("hits", "family", "probability")
+        .agg(F.round(F.max(F.when(F.col("family") != UNKNOWN, F.col("share"))), 6).alias("similarity"))
     )
-    judged = best.join(near, "hits").select(
-        "hits",
-        F.when(F.col("probability") < limit, UNKNOWN).otherwise(F.col("best")).alias("family"),
-        F.round("probability", 6).alias("probability"),
-        F.round("similarity", 6).alias("similarity"),
-        (F.col("similarity") >= agreement).alias("confirmed"),
+    judged = stored(
+        near.select(
+            "*", F.coalesce(F.col("similarity") >= agreement, F.lit(False)).alias("confirmed")
+        ),
+        "licence-judgements",
     )
     return marked.join(judged, "hits").select(
-        "doc_id", "line_no", "family", "probability", "similarity", "confirmed"
+        "doc_id", "line_no", "n_lines", "family", "probability", "similarity", "confirmed"
     )
