@@ -84,6 +84,16 @@ def test_bad_host_is_blocked_and_thin_host_is_not(spark):
     assert got["bad.a.org"] == "block" and got["good.a.org"] == "allow"
 
 
+def test_carried_document_is_the_number_that_ends_the_path(spark):
+    urls = [
+        "http://a.org/en/17?page=2", "http://a.org/en/18.html#top", "http://a.org/en/19/", "http://a.org/5/en",
+        None, "", "http://a.org", "http://a.org/en/99999999999999999999", "http://a.org/en/17?page=2",
+    ]
+    pages = spark.createDataFrame(list(enumerate(urls[:8])) + [(0, urls[8])], "page_id bigint, url string")
+    got = spark.sql(url_reputation.carried_sql("{pages}"), pages=pages).collect()
+    assert sorted((r.page_id, r.doc_id) for r in got) == [(0, 17), (1, 18), (2, 19)]
+
+
 def test_page_takes_the_label_of_the_document_it_carries(spark):
     pages = spark.createDataFrame(
         [(i, "http://bad.a.org/" if i < 60 else "http://good.a.org/") for i in range(200)],

@@ -79,8 +79,10 @@ URL_RULES = (
 
 @query("op3_url_reputation", url_reputation.oracle_sql(URL_RULES))
 def op3_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    carried = spark.sql(url_reputation.carried_sql("{pages}"), pages=pages.select("page_id", "url"))
     judged = url_reputation.judge_urls(
-        table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES
+        pages, table(spark, folder, "labels"), URL_RULES, carried=carried
     )
     return judged.select(
         F.col("page_id").cast("bigint").alias("page_id"), "host", "path", "rule", "verdict"

@@ -39,6 +39,17 @@ def parsed_sql(source: str) -> str:
       from (select page_id, coalesce({rest}, '') as rest from {source}) as r"""
 
 
+def carried_sql(source: str) -> str:
+    """page_id and doc_id of the document a page carries: the number that ends its path.
+
+    A page without such a number carries none.
+    """
+    number = "try_cast(nullif(regexp_extract(path, '/([0-9]+)[^/]*/*$', 1), '') as bigint)"
+    return f"""select distinct page_id, doc_id
+      from (select page_id, {number} as doc_id from ({parsed_sql(source)}) as u) as c
+      where doc_id is not null"""
+
+
 def rule_sql(rules: Sequence[Rule], value: str) -> str:
     """The longest rule that fits: its text or its verdict; else null."""
     if value not in ("rule", "verdict"):
@@ -176,8 +187,12 @@ def oracle_sql(
     bound_sds: float = 1.645,
     long_suffixes: Sequence[str] = ("co.uk", "com.au", "co.jp", "com.br"),
 ) -> str:
+    """The same rows by any SQL engine, pages having the labels of what they carry."""
     return f"""with urls as ({parsed_sql("pages")}),
-      counts as ({host_counts_sql("urls", "labels", long_suffixes)}),
+      carried as ({carried_sql("pages")}),
+      page_labels as (select c.page_id as doc_id, l.quality, l.toxic
+                      from carried as c join labels as l on c.doc_id = l.doc_id),
+      counts as ({host_counts_sql("urls", "page_labels", long_suffixes)}),
       reputation as ({reputation_sql("counts", bound_sds)})
       select page_id, host, path, rule, verdict
       from ({judged_sql("urls", "reputation", rules, limit)}) as j"""
