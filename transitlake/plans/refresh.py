@@ -21,9 +21,10 @@ from transitlake.operators.quality import (
     run_suite,
 )
 from transitlake.plans import marts, staging, suites
-from transitlake.session import use_utc
+from transitlake.session import shared_folder, use_utc
 from transitlake.sources import tables
 from transitlake.sources.files import read_csv_feed, read_enveloped_json, read_json_array
+from transitlake.sources.lost_cells import land
 from transitlake.sources.versions import Versions
 
 
@@ -36,6 +37,8 @@ class Outcome:
     """What a refresh did."""
 
     load_modes: dict[str, str] = field(default_factory=dict)
+    # cells of CSV feeds that their types could not read, by feed and column
+    lost_cells: dict[str, dict[str, int]] = field(default_factory=dict)
     version: str = ""
     failures: dict[str, dict[tuple[str, str], int]] = field(default_factory=dict)
 
@@ -50,12 +53,25 @@ def load_raw(
     raw_root: str,
     feeds: Sequence[str] | None = None,
     now: datetime | None = None,
+    ledger_root: str | None = None,
+    lost: dict[str, dict[str, int]] | None = None,
 ) -> dict[str, str]:
-    """Append what is new in a day's feed files to the raw tables."""
+    """Append what is new in a day's feed files to the raw tables.
+
+    With ``ledger_root``, a CSV feed is landed typed first, so that its text is read
+    once; its lost cells are kept in ``ledger_root/<feed>`` and counted in ``lost``.
+    """
     modes = {}
     for name in feeds or schemas.FEEDS:
         kind, schema = schemas.FEEDS[name]
-        if kind == "csv":
+        if kind == "csv" and ledger_root is not None:
+            typed = shared_folder(spark, f"typed-{name}")
+            text = read_csv_feed(spark, feed_folder, name)
+            counts = land(text, schema, typed, f"{ledger_root}/{name}", now=now)
+            if lost is not None:
+                lost[name] = {c: n for c, n in counts.items() if n}
+            incoming = tables.read(spark, typed, schema)
+        elif kind == "csv":
             incoming = read_csv_feed(spark, feed_folder, name, schema)
         elif name in ENVELOPES:
             path = f"{feed_folder}/{name}.json"
@@ -204,17 +220,22 @@ def run(
     strict: bool = True,
     now: datetime | None = None,
     observed_stop_times: str | None = None,
+    ledger_root: str | None = None,
 ) -> Outcome:
     """Load a day's feeds and publish a new version of the star schema below ``out_root``.
 
     ``observed_stop_times`` (path or table) replaces the copy of the observed stop times
-    below ``raw_root``; without it the copy that is there is used.
+    below ``raw_root``; without it the copy that is there is used. ``ledger_root`` keeps
+    the cells that were lost to their types.
     """
     use_utc(spark)
     if observed_stop_times is not None:
         source = tables.read(spark, observed_stop_times)
         tables.full_refresh(source, f"{raw_root}/historical_stop_times")
-    outcome = Outcome(load_modes=load_raw(spark, feed_folder, raw_root, now=now))
+    outcome = Outcome()
+    outcome.load_modes = load_raw(
+        spark, feed_folder, raw_root, now=now, ledger_root=ledger_root, lost=outcome.lost_cells
+    )
     return build_marts(
         spark,
         lambda name: read_raw(spark, raw_root, name),

@@ -30,6 +30,7 @@ from transitlake.sources.files import (
     stop_locations,
 )
 from transitlake.sources.landing import read_landing, write_landing_partitioned
+from transitlake.sources.lost_cells import land
 from transitlake.sources.tables import full_refresh
 from transitlake.streaming.pings import (
     dropped_rows,
@@ -176,6 +177,79 @@ def csv_multipart(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv_feed(spark, base, "stop_times", schemas.STOP_TIMES)
 
 
+# Orders as a text feed in which some cells do not fit their types.
+_DIRTY_ORDERS = {
+    "order_id": "CAST(o_orderkey AS {text})",
+    "customer_id": "CASE WHEN o_orderkey % 5 = 0 THEN concat('c-', CAST(o_custkey AS {text})) "
+    "ELSE CAST(o_custkey AS {text}) END",
+    "price": "CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' WHEN o_orderkey % 11 = 0 THEN NULL "
+    "ELSE CAST(o_totalprice AS {text}) END",
+    "day": "CASE WHEN o_orderkey % 13 = 0 THEN '2024-13-45' "
+    "ELSE substring(CAST(o_orderdate AS {text}), 1, 10) END",
+    "priority": "o_orderpriority",
+}
+_ORDERS = T.StructType(
+    [
+        T.StructField("order_id", T.LongType()),
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("price", T.DoubleType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("priority", T.StringType()),
+    ]
+)
+_DIRTY_SQL = "SELECT {} FROM orders".format(
+    ", ".join(f"{e.format(text='VARCHAR')} AS {c}" for c, e in _DIRTY_ORDERS.items())
+)
+_LOST_SQL = " UNION ALL ".join(
+    f"SELECT order_id, '{c}' AS \"column\", {c} AS cell FROM dirty "
+    f"WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {kind}) IS NULL"
+    for c, kind in (("customer_id", "BIGINT"), ("price", "DOUBLE"), ("day", "DATE"))
+)
+
+
+def _landed_orders(spark: SparkSession, folder: str) -> tuple[str, dict[str, int]]:
+    base = shared_folder(spark, "lost-cells")
+    table(spark, folder, "orders").selectExpr(
+        *[f"{e.format(text='STRING')} AS {c}" for c, e in _DIRTY_ORDERS.items()]
+    ).write.option("header", True).csv(f"{base}/orders.csv")
+    text = read_csv_feed(spark, base, "orders")
+    return base, land(text, _ORDERS, f"{base}/typed", f"{base}/lost", ["order_id"])
+
+
+@query("lost_cells", f"WITH dirty AS ({_DIRTY_SQL}) {_LOST_SQL}")
+def lost_cells_of_a_load(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load of dirty text could not read, cell by cell, from its ledger."""
+    base, _ = _landed_orders(spark, folder)
+    ledger = spark.read.schema("record string, column string, cell string").parquet(f"{base}/lost")
+    return ledger.select(
+        F.get_json_object("record", "$.order_id").alias("order_id"), "column", "cell"
+    )
+
+
+@query(
+    "lost_cell_counts",
+    f"""WITH dirty AS ({_DIRTY_SQL}), lost AS ({_LOST_SQL}),
+        judged AS (SELECT unnest(['order_id', 'customer_id', 'price', 'day']) AS "column")
+        SELECT j."column", count(l.cell) AS n_lost, (SELECT count(price) FROM dirty) -
+          (SELECT count(*) FROM lost WHERE "column" = 'price') AS prices_kept
+        FROM judged j LEFT JOIN lost l ON j."column" = l."column" GROUP BY j."column\"""",
+)
+def lost_cell_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Lost cells per column as the write counted them, beside what it kept of a column."""
+    base, counts = _landed_orders(spark, folder)
+    kept = spark.read.schema(_ORDERS).parquet(f"{base}/typed").agg(
+        F.count("price").alias("prices_kept")
+    )
+    return kept.select(
+        F.expr(
+            "inline(array("
+            + ", ".join(f"named_struct('column', '{c}', 'n_lost', {n}L)" for c, n in counts.items())
+            + "))"
+        ),
+        "prices_kept",
+    )
+
+
 def _documents(df: DataFrame, base: str, envelope: str | None = None) -> str:
     """Write records as JSON documents of bounded size, one per file.
 
