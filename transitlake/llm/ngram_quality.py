@@ -43,7 +43,7 @@ HEAD = 1 << 20
 # Most words whose counts are sent to all tasks that value pairs.
 MOST_WORDS = 1 << 18
 # Bytes of text in a block; its n-grams travel in one row a shard.
-BLOCK = 8_000_000
+BLOCK = 4_000_000
 # Pairs are counted, and texts scored, in so many turns, each for its share of the n-grams:
 # texts are read once a turn, and a turn's shuffle is that part of the whole. More turns
 # take less disk and more time.
