@@ -264,3 +264,35 @@ def test_pings_are_combined_in_panes_before_they_are_copied(spark):
     assert shuffled_records(spark, windows.select("id", "window")) <= panes * 12 * 4
     want = windows.groupBy("id").count().collect()
     assert all(r["count"] == 60 + 11 for r in want)
+
+
+def test_a_day_of_a_batch_is_one_file(spark, tmp_path):
+    # four tasks hold pings of each of three days
+    write_files(
+        tmp_path / "in",
+        [[ping(86_400 * day + 40 * i, f"v{i}") for day in range(3) for i in range(40)]],
+    )
+    stream_to(spark, tmp_path)
+    written = sorted((tmp_path / "out").glob("day=*/batch=*/*.parquet"))
+    days = {str(p.parent) for p in written}
+    assert len(days) == 3 and len(written) == 3
+
+
+def test_panes_are_not_merged_into_few_tasks_before_they_are_copied(spark):
+    rows = spark.range(0, 20_000, 1, 4).selectExpr(
+        "cast(id % 400 as string) as id", "'t' as trip_id", f"{START} + id as timestamp",
+        "cast(1 as float) as lat", "cast(2 as float) as lon", "'x' as current_status",
+        "'r' as route_id", "'s' as stop_id",
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        windows = vehicle_windows(rows, slide="10 seconds")
+        windows.write.format("noop").mode("overwrite").save()
+        plan = windows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    # the shuffle below the copies keeps its number of tasks
+    below = plan[plan.index("Expand") :]
+    first = below[below.index("Exchange") :].splitlines()[0]
+    assert "REPARTITION_BY_NUM" in first and ", 40)" in first

@@ -19,14 +19,22 @@ from transitlake.sources import tables
 
 
 def _write(df: DataFrame, out: str) -> None:
-    # a day's rows of a batch are few: one file, or several if they are many
-    (
-        df.hint("rebalance", "day")
-        .write.partitionBy("day", "batch")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(out)
-    )
+    # a day's rows of a batch are few: one file, or several if they are many. The session of
+    # a stream has adaptive execution off, and there the hint would be passed over: every
+    # task would write a file for every day. The batch itself is planned already
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        (
+            df.hint("rebalance", "day")
+            .write.partitionBy("day", "batch")
+            .option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .parquet(out)
+        )
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def append_batch(out: str) -> Callable[[DataFrame, int], None]:
