@@ -11,7 +11,7 @@ from transitlake.operators.incremental import new_or_changed
 from transitlake.operators import quality
 from transitlake.operators.sequence import previous_value
 from transitlake.operators.joins import array_member_fold
-from transitlake.plans import staging
+from transitlake.plans import kpis, marts, staging
 from workloads import QUERIES, feeds
 from workloads.model_queries import Relations
 
@@ -221,3 +221,43 @@ def test_a_suite_reads_its_relation_once(spark, no_broadcast):
     assert text.count("FileScan") == 1
     assert "o_comment" not in text[text.index("ReadSchema") :]
     assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_days_of_trips_are_shuffled_as_lists(spark, no_broadcast):
+    trips = spark.range(0, 300, 1, 2).selectExpr(
+        "cast(id as string) as trip_id", "cast(id % 3 as string) as service_id",
+        "cast(id % 7 as string) as route_id", "id % 2 as direction_id",
+    )
+    days = spark.range(0, 600, 1, 2).selectExpr(
+        "cast(id % 3 as string) as service_id",
+        "date_add(date'2024-01-01', cast(id div 3 as int)) as date",
+    )
+    # 300 trips of 200 days each
+    dates = marts.trip_dates(trips, days)
+    assert dates.count() == 60_000
+    assert shuffled_records(spark, dates) < 6_000
+    stop_times = spark.range(0, 300, 1, 2).selectExpr(
+        "cast(id as string) as trip_id", "'08:00:00' as scheduled_start_time",
+        "'09:00:00' as scheduled_end_time", "3000D as shape_dist_traveled",
+        "4L as number_of_stops", "28800 as scheduled_start_s", "32400 as scheduled_end_s",
+    )
+    routes = spark.range(7).selectExpr(
+        "cast(id as string) as route_id", "concat('sk', id) as sk_routes",
+        "cast(id % 2 as string) as line_id",
+    )
+    calendar = days.selectExpr("date as date_day", "month(date) as month").distinct()
+    fact = marts.fact_trips(stop_times, trips, routes, days, listed=True)
+    assert fact.count() == 300
+    totals = kpis.trip_kpis(fact, routes, calendar, ["month", "line_id"], "rollup")
+    text = plan(totals)
+    # days become rows, and rows meet their day, above all shuffles but that of the totals
+    assert "Expand" not in text
+    assert text[: text.index("Generate explode(_days")].count("Exchange") == 1
+    flat = kpis.trip_kpis(
+        marts.fact_trips(stop_times, trips, routes, days), routes, calendar,
+        ["month", "line_id"], "rollup",
+    )
+    rows = sorted(map(str, totals.collect()))
+    assert rows == sorted(map(str, flat.collect()))
+    whole = totals.where("month is null and line_id is null").collect()
+    assert [r.number_of_trips for r in whole] == [60_000]

@@ -13,23 +13,19 @@ from transitlake.operators.joins import unnest
 GROUPINGS = ("plain", "rollup", "cube")
 
 
-def _with_dimensions(
-    fact: DataFrame, dim_routes: DataFrame, dim_date: DataFrame, by: Sequence[str]
-) -> DataFrame:
-    """Join only the dimensions that ``by`` needs."""
-    route_columns = [c for c in by if c in dim_routes.columns and c not in fact.columns]
-    date_columns = [
-        c for c in by if c in dim_date.columns and c not in fact.columns and c not in route_columns
-    ]
-    if route_columns:
-        routes = dim_routes.select(F.col("sk_routes").alias("_sk"), *route_columns)
-        fact = fact.join(routes, F.col("sk_routes") == F.col("_sk"), "left").drop("_sk")
-    if date_columns:
-        # the dimension may hold several rows per day; a fact row must meet one
-        days = dim_date.select(F.col("date_day").alias("_day"), *date_columns)
-        days = days.groupBy("_day").agg(*[F.min(c).alias(c) for c in date_columns])
-        fact = fact.join(days, F.col("planned_date") == F.col("_day"), "left").drop("_day")
-    return fact
+def _groupings(by: Sequence[str], grouping: str) -> list[tuple[int, list[str]]]:
+    """(level, columns kept) of each grouping; a bit of the level stands for a column left out."""
+    if grouping == "plain":
+        kept = [list(by)]
+    elif grouping == "rollup":
+        kept = [list(by[:n]) for n in range(len(by), -1, -1)]
+    else:
+        kept = [
+            [c for i, c in enumerate(by) if not mask >> (len(by) - 1 - i) & 1]
+            for mask in range(1 << len(by))
+        ]
+    bit = {c: 1 << (len(by) - 1 - i) for i, c in enumerate(by)}
+    return [(sum(bit[c] for c in by if c not in k), k) for k in kept]
 
 
 def trip_kpis(
@@ -46,6 +42,10 @@ def trip_kpis(
     its route). Each (group, trip, day) is first brought to one record, in a roll-up
     once for every level; this also spreads a large group over many tasks before its
     total is formed.
+
+    A fact with ``planned_dates`` (see :func:`marts.fact_trips`) is brought to one
+    record per (group, trip) with its days listed, and the days become rows after that:
+    what is joined and shuffled is a row per trip, not one per trip and day.
     """
     if grouping not in GROUPINGS:
         raise ValueError(f"unknown grouping {grouping!r}")
@@ -59,25 +59,57 @@ def trip_kpis(
             }
         )
         minutes = gt.duration_minutes("planned_start_s", "planned_end_s")
-    rows = _with_dimensions(fact, dim_routes, dim_date, by).select(
-        *by,
+    fact_columns = {*fact.columns} | {"planned_date"}
+    route_columns = [c for c in by if c in dim_routes.columns and c not in fact_columns]
+    date_columns = [
+        c for c in by if c in dim_date.columns and c not in fact_columns and c not in route_columns
+    ]
+    by_trip = [c for c in by if c not in date_columns and c != "planned_date"]
+    if route_columns:
+        routes = dim_routes.select(F.col("sk_routes").alias("_sk"), *route_columns)
+        fact = fact.join(routes, F.col("sk_routes") == F.col("_sk"), "left").drop("_sk")
+    rows = fact.select(
+        *by_trip,
         F.col("trip_id").alias("run_trip"),
-        F.expr("coalesce(planned_date, date'0001-01-01')").alias("run_day"),
+        F.col("planned_dates" if "planned_dates" in fact.columns else "planned_date").alias("_days"),
         (F.col("total_distance_traveled") * 0.001).alias("km"),
         minutes.alias("minutes"),
         F.col("average_speed_kmh").alias("speed"),
     )
-    once = [F.max(c).alias(c) for c in ("km", "minutes", "speed")]
-    if grouping == "plain":
-        runs = rows.groupBy(*by, "run_trip", "run_day").agg(*once).withColumn("_level", F.lit(0))
+    if "planned_dates" not in fact.columns:
+        rows = rows.withColumn("_days", F.array("_days"))
+    if route_columns:
+        # the join has placed rows by route; from here on they stay with their trip
+        rows = rows.repartition("run_trip")
+    # the levels as rows of structs: unlike grouping sets, they keep rows where they are
+    levels = _groupings(by, grouping)
+    if len(levels) > 1:
+        masked = [
+            F.struct(
+                F.lit(level).alias("_level"),
+                *[F.when(F.lit(c in kept), F.col(c)).alias(c) for c in by_trip],
+            )
+            for level, kept in levels
+        ]
+        rows = rows.select(
+            F.explode(F.array(*masked)).alias("_at"), "run_trip", "_days", "km", "minutes", "speed"
+        ).select("_at.*", "run_trip", "_days", "km", "minutes", "speed")
     else:
-        names = ", ".join(f"`{c}`" for c in by)
-        runs = rows.sparkSession.sql(
-            f"""select {names}, grouping_id() as _level, run_trip, run_day,
-                       max(km) as km, max(minutes) as minutes, max(speed) as speed
-                from {{rows}} group by run_trip, run_day, {grouping}({names})""",
-            rows=rows,
-        )
+        rows = rows.withColumn("_level", F.lit(0))
+    once = [F.max(c).alias(c) for c in ("km", "minutes", "speed")]
+    runs = rows.groupBy("_level", *by_trip, "run_trip", "_days").agg(*once)
+    runs = runs.withColumn("planned_date", F.explode_outer("_days")).drop("_days")
+    if date_columns:
+        # the dimension may hold several rows per day; a fact row must meet one. What is
+        # left is a row per day of the calendar, at any size of the fact
+        days = dim_date.select(F.col("date_day").alias("_day"), *date_columns)
+        days = days.groupBy("_day").agg(*[F.min(c).alias(c) for c in date_columns])
+        runs = runs.join(F.broadcast(days), F.col("planned_date") == F.col("_day"), "left")
+    if len(levels) > 1:
+        for c in by:
+            if c not in by_trip:
+                kept_at = [level for level, kept in levels if c in kept]
+                runs = runs.withColumn(c, F.when(F.col("_level").isin(*kept_at), F.col(c)))
     return (
         runs.groupBy(*by, "_level")
         .agg(

@@ -80,29 +80,44 @@ def dim_weather(weather_data: DataFrame, now: datetime | None = None) -> DataFra
     )
 
 
-def trip_dates(
+def _trip_date_lists(
     trips: DataFrame,
     calendar_dates: DataFrame,
     exception_types: Sequence[int] | None = None,
 ) -> DataFrame:
-    """The days on which each trip runs, each once.
+    """(trip_id, service_dates): the different days of each trip that runs, in one list.
 
-    Both sides are made distinct first: repeated trip versions or calendar rows
-    would otherwise multiply inside the join. After that a trip has at most a row
-    per day and service, so placing the rows by trip is even, and it serves both
-    the last ``distinct`` and the join to the fact without another shuffle.
+    A list is no longer than the calendar, so a trip's days travel, and are joined, as one
+    row. An unknown day is a NULL element.
     """
     if exception_types is not None:
         calendar_dates = calendar_dates.where(F.col("exception_type").isin(*exception_types))
-    days = calendar_dates.select(
-        F.col("service_id").alias("cal_service_id"), F.col("date").alias("service_date")
-    ).distinct()
+    days = calendar_dates.groupBy(F.col("service_id").alias("cal_service_id")).agg(
+        F.collect_set("date").alias("known"), F.max(F.col("date").isNull()).alias("unknown")
+    )
+    days = days.selectExpr(
+        "cal_service_id", "if(unknown, array_append(known, cast(null as date)), known) as listed"
+    )
     runs = trips.select(F.col("trip_id").alias("run_trip_id"), "service_id").distinct()
     return (
         runs.join(days, F.col("service_id") == F.col("cal_service_id"))
-        .select(F.col("run_trip_id").alias("trip_id"), "service_date")
-        .repartition("trip_id")
-        .distinct()
+        .groupBy(F.col("run_trip_id").alias("trip_id"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("listed"))).alias("service_dates"))
+    )
+
+
+def trip_dates(
+    trips: DataFrame,
+    calendar_dates: DataFrame,
+    exception_types: Sequence[int] | None = None,
+) -> DataFrame:
+    """The days on which each trip runs, each once.
+
+    Days are listed per service and then per trip, where repeated trip versions and
+    calendar rows fall together; only the finished lists become rows, in place.
+    """
+    return _trip_date_lists(trips, calendar_dates, exception_types).select(
+        "trip_id", F.explode("service_dates").alias("service_date")
     )
 
 
@@ -113,6 +128,7 @@ def fact_trips(
     calendar_dates: DataFrame,
     latest_only: Sequence[str] | None = None,
     exception_types: Sequence[int] | None = None,
+    listed: bool = False,
 ) -> DataFrame:
     """One row per trip, service date, route and direction.
 
@@ -120,7 +136,8 @@ def fact_trips(
     they meet. Their combinations are then distinct by themselves, and the fact
     itself needs no final ``distinct``, which would shuffle the largest table.
     ``latest_only`` names version columns by which only the newest row of a trip
-    is kept.
+    is kept. With ``listed`` a trip's days stay together, as ``planned_dates`` (NULL for
+    a trip without days); all rows of a trip have the same list.
     """
     if latest_only:
         trips = latest_per_key(trips, ["trip_id"], latest_only[0], latest_only[1:])
@@ -137,7 +154,7 @@ def fact_trips(
         .repartition("attr_trip_id")
         .distinct()
     )
-    days = trip_dates(trips, calendar_dates, exception_types).withColumnRenamed(
+    days = _trip_date_lists(trips, calendar_dates, exception_types).withColumnRenamed(
         "trip_id", "day_trip_id"
     )
     planned = stop_times.select(
@@ -165,7 +182,9 @@ def fact_trips(
         "trip_id",
         "planned_start_time",
         "planned_end_time",
-        F.col("service_date").alias("planned_date"),
+        F.col("service_dates").alias("planned_dates")
+        if listed
+        else F.explode_outer("service_dates").alias("planned_date"),
         "total_distance_traveled",
         "number_of_stops",
         "sk_routes",

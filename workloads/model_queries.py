@@ -427,7 +427,9 @@ _KPI_ONCE = """f.trip_id, planned_date AS day, max(average_speed_kmh) AS speed,
 def _kpis(spark, folder, by, grouping="plain"):
     r = Relations(spark, folder)
     routes = r.dim_routes()
-    fact = marts.fact_trips(r.stop_times(), r.trips(), routes, r.calendar_dates())
+    fact = marts.fact_trips(
+        r.stop_times(), r.trips(), routes, r.calendar_dates(), listed=True
+    )
     return kpis.trip_kpis(fact, routes, r.dim_date(), by, grouping)
 
 
