@@ -84,6 +84,13 @@ def aggregate_pings(
             F.max(fix).alias("_last"),
         )
     )
+    if not df.isStreaming:
+        # adaptive execution sizes tasks by the panes they read, of which each makes up to
+        # length / slide rows: a stated number of tasks is not merged. A busy vehicle is
+        # spread by hours
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hour = F.date_trunc("hour", F.col("_pane.start"))
+        panes = panes.repartition(tasks, F.col("id"), F.col("trip_id"), hour)
     windows = panes.groupBy("id", "trip_id", F.window("_pane", length, slide).alias("window")).agg(
         F.max("current_status").alias("current_status"),
         F.max("route_id").alias("route_id"),
