@@ -1,6 +1,7 @@
 """Operators of the llm subpackage against brute force, exact round trips and SQL."""
 
 import hashlib
+import os
 import random
 from collections import Counter
 from itertools import combinations
@@ -536,6 +537,38 @@ def test_word_model_by_definition(spark, head, monkeypatch):
         assert got[hash(t)].half0 == pytest.approx(direct_word_loss(trusted[::2], spelling, t), rel=1e-5)
 
 
+def test_word_model_is_stored_in_few_bytes(spark):
+    rng = random.Random(13)
+    # some words are frequent, as in real text
+    trusted = [" ".join(f"w{int(rng.paretovariate(0.6)) % 5000}" for _ in range(2000)) for _ in range(40)]
+    rows = spark.createDataFrame([(i % 2, t) for i, t in enumerate(trusted)], "half bigint, text string")
+    spelling = ngram_quality.train(rows.select(ngram_quality.spelled().alias("text")))
+    shelf = ngram_quality.Shelf(spark)
+    ngram_quality.word_values(rows, spelling, shelf)
+    pairs = {g for t in trusted for g in zip(t.split(), t.split()[1:])}
+    stored = [
+        os.path.getsize(os.path.join(at, f))
+        for path in shelf.paths.values()
+        for at, _, files in os.walk(path)
+        for f in files
+        if f.endswith(".parquet")
+    ]
+    assert 0 < sum(stored) < 8 * len(pairs)
+
+
+def test_texts_are_scored_in_turns_with_equal_results(spark, monkeypatch):
+    rng = random.Random(17)
+    docs = documents(spark, [" ".join(words(rng, 30, 60)) for _ in range(40)] + [None, "", "new words only"])
+    docs = docs.union(docs.limit(9))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(25)], "doc_id bigint, quality int, toxic int")
+    got = []
+    for turns in (1, 4):
+        monkeypatch.setattr(ngram_quality, "TURNS", turns)
+        rows = ngram_quality.judge(docs, labels).select("doc_id", "perplexity", "threshold", "kept").collect()
+        got.append(sorted((r.doc_id, r.kept, round(r.perplexity or 0, 4), round(r.threshold, 6)) for r in rows))
+    assert got[0] == got[1] and len(got[0]) == 52
+
+
 def test_quality_keeps_clean_text(spark):
     rng = random.Random(3)
     clean = [" ".join(words(rng, 50)) + "." for _ in range(60)]
