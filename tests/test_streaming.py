@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -19,6 +20,7 @@ from transitlake.streaming.pings import (
 )
 from transitlake.streaming import sink
 from transitlake.streaming.late import late_rows
+from transitlake.streaming.panes import state_on_disk, windows_of_panes
 
 START = int(datetime(2025, 1, 1, 10, tzinfo=timezone.utc).timestamp())
 
@@ -296,3 +298,91 @@ def test_panes_are_not_merged_into_few_tasks_before_they_are_copied(spark):
     below = plan[plan.index("Expand") :]
     first = below[below.index("Exchange") :].splitlines()[0]
     assert "REPARTITION_BY_NUM" in first and ", 40)" in first
+
+
+def mixed_pings(seed=7):
+    """Pings in order of time: gaps, busy minutes, an hour's end, unnamed vehicles and trips."""
+    draw = random.Random(seed)
+    second, pings = 3_400, []
+    for _ in range(260):
+        second += draw.choice([0, 1, 7, 12, 31, 64, 119, 121, 400])
+        pings.append(
+            ping(
+                second, draw.choice(["v1", "v2", None]), draw.choice(["t1", None]),
+                lat=38 + draw.random(), lon=-9 - draw.random(),
+                current_status=draw.choice(["A", "B", None]), stop_id=draw.choice(["s", None]),
+            )
+        )
+    return pings
+
+
+@pytest.mark.parametrize(
+    "window",
+    [{"slide": "10 seconds"}, {"slide": "30 seconds"}, {"length": "50 seconds", "slide": "20 seconds"}],
+)
+def test_windows_of_closed_panes_equal_the_batch_form(spark, tmp_path, window):
+    pings = mixed_pings()
+    write_files(tmp_path / "in", [pings[i : i + 24] for i in range(0, len(pings), 24)])
+    frame = vehicle_windows(read_pings(spark, f"{tmp_path}/in", 1), **window)
+    query = write_windows(frame, f"{tmp_path}/out", f"{tmp_path}/ck", trigger=None)
+    assert run(query, 120)
+    # Spark's state holds panes, and no windows
+    assert all(len(p.stateOperators) <= 1 for p in query.recentProgress)
+    out = sink.read_windows(spark, f"{tmp_path}/out", frame.schema)
+    batch = vehicle_windows(spark.read.schema(PING).json(f"{tmp_path}/in"), **window)
+    last = pings[-1]["timestamp"] - 180
+    closed = batch.where(F.unix_seconds("window.end") <= last)
+    assert closed.count() > 300
+    assert sorted(map(str, out.collect())) == sorted(map(str, closed.collect()))
+
+
+def test_busy_hours_and_vehicles_are_dealt_to_many_tasks(spark):
+    # one vehicle of a thousand panes and many vehicles, all in two hours
+    fix = "named_struct('ts', timestamp_seconds({0}), 'lat', 38f, 'lon', -9f)"
+    start = "if(id < 700, id * 10, 3000 + id % 60 * 10)"
+    panes = spark.range(0, 4_000, 1, 4).selectExpr(
+        f"{start} as _start", "if(id < 700, 'busy', cast(id as string)) as id", "'t' as trip_id",
+        "'x' as current_status", "'r' as route_id", "'s' as stop_id",
+        f"{fix.format(start)} as _first", f"{fix.format(start + ' + 5')} as _last",
+    )
+    windows = windows_of_panes(panes, 120, 10, 0, 100_000, 8)
+    plan = windows._jdf.queryExecution().executedPlan().toString()
+    # panes are shuffled once and windows not at all
+    assert plan.count("Exchange") == 1 and plan.index("Window") < plan.index("Exchange")
+    made = windows.groupBy(F.spark_partition_id()).count().collect()
+    assert len(made) == 8
+    # starts before 1970 end after it: windows that end later than 0 seconds
+    assert sum(r["count"] for r in made) == 700 + 11 + 3_300 * 12
+    assert max(r["count"] for r in made) < 2 * sum(r["count"] for r in made) / 8
+    busy = windows.where("id = 'busy'").selectExpr("unix_seconds(window.start) as w", "*")
+    assert busy.select("w").distinct().count() == busy.count() == 711
+    assert busy.where(
+        "unix_seconds(first_timestamp) <> greatest(w, 0)"
+        " or unix_seconds(last_timestamp) <> least(w + 110, 6990) + 5"
+    ).isEmpty()
+
+
+def test_a_checkpoint_without_panes_is_continued(spark, tmp_path):
+    pings = [ping(30 * i) for i in range(24)]
+    write_files(tmp_path / "in", [pings[:12]])
+    windows = vehicle_windows(read_pings(spark, f"{tmp_path}/in", 1))
+    # a derived frame runs as it is planned, windows in the state
+    query = write_windows(windows.select("*"), f"{tmp_path}/out", f"{tmp_path}/checkpoint", trigger=None)
+    assert run(query, 120)
+    assert not (tmp_path / "checkpoint" / "panes").exists()
+    write_files(tmp_path / "in", [pings[12:]], first=1)
+    assert stream_to(spark, tmp_path).count() == 17
+
+
+def test_state_settings_are_those_of_the_query_alone(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    session = spark.newSession()
+    before = session.conf.get(key)
+    with state_on_disk(session):
+        assert "RocksDB" in session.conf.get(key)
+    assert session.conf.get(key) == before and key not in session.conf.getAll
+    # a choice of the session's own holds
+    session.conf.set(key, before)
+    with state_on_disk(session):
+        assert session.conf.get(key) == before
+    assert session.conf.get(key) == before

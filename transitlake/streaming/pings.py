@@ -7,6 +7,7 @@ effect; there they serve backfills and comparison with SQL.
 from __future__ import annotations
 
 import math
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,13 @@ from pyspark.sql.streaming import StreamingQuery
 from transitlake.functions.geo import with_motion
 from transitlake.schemas import PING
 from transitlake.streaming.late import late_rows
+from transitlake.streaming.panes import (
+    PaneStream,
+    append_closed,
+    state_on_disk,
+    stored_form,
+    takes_panes,
+)
 from transitlake.streaming.sink import append_batch
 
 # Fixed values of the running job.
@@ -51,29 +59,18 @@ def _seconds(duration: str) -> int:
     return int(number) * _UNITS[unit.rstrip("s")]
 
 
-def aggregate_pings(
+def aggregate_panes(
     df: DataFrame,
     length: str = WINDOW_LENGTH,
     slide: str = WINDOW_SLIDE,
     watermark: str = WATERMARK,
 ) -> DataFrame:
-    """One row per vehicle, trip and sliding window.
-
-    First and last position are chosen by event time, ties by coordinates, so
-    the result does not depend on arrival order. Status, route and stop are the
-    highest text of the window, as in the original job.
-
-    A ping is aggregated once, into the pane it falls in: panes follow each other and
-    both length and slide are whole numbers of them. Windows are put together from
-    panes, so what is copied per overlapping window is a row per vehicle, trip and pane.
-    On a stream a ping is late when its pane has closed, so a ping that is later than the
-    watermark allows is left out of all its windows alike.
-    """
+    """One row per vehicle, trip and pane; see :func:`aggregate_pings`."""
     fix = F.struct(
         F.col("timestamp").alias("ts"), F.col("lat").alias("lat"), F.col("lon").alias("lon")
     )
     pane = f"{math.gcd(_seconds(length), _seconds(slide))} seconds"
-    panes = (
+    return (
         df.withWatermark("timestamp", watermark)
         .groupBy("id", "trip_id", F.window("timestamp", pane).alias("_pane"))
         .agg(
@@ -84,6 +81,27 @@ def aggregate_pings(
             F.max(fix).alias("_last"),
         )
     )
+
+
+def aggregate_pings(
+    df: DataFrame,
+    length: str = WINDOW_LENGTH,
+    slide: str = WINDOW_SLIDE,
+    watermark: str = WATERMARK,
+) -> DataFrame:
+    """One row per vehicle, trip and sliding window.
+
+    First and last position are chosen by event time, ties by coordinates, so
+    the result does not depend on arrival order. Status, route and stop are the
+    highest text of the window, as in the original job.
+
+    A ping is aggregated once, into the pane it falls in: panes follow each other and
+    both length and slide are whole numbers of them. Windows are put together from
+    panes, so what is copied per overlapping window is a row per vehicle, trip and pane.
+    On a stream a ping is late when its pane has closed, so a ping that is later than the
+    watermark allows is left out of all its windows alike.
+    """
+    panes = aggregate_panes(df, length, slide, watermark)
     if not df.isStreaming:
         # adaptive execution sizes tasks by the panes they read, of which each makes up to
         # length / slide rows: a stated number of tasks is not merged. A busy vehicle is
@@ -116,9 +134,18 @@ def aggregate_pings(
 
 def vehicle_windows(pings: DataFrame, **window) -> DataFrame:
     """Raw pings (epoch seconds) to windows with distance, time and speed."""
-    return (
-        pings.transform(with_event_time).transform(aggregate_pings, **window).transform(with_motion)
-    )
+    timed = pings.transform(with_event_time)
+    windows = timed.transform(aggregate_pings, **window).transform(with_motion)
+    if pings.isStreaming:
+        # the sink can make the same windows of closed panes (:func:`write_windows`). What
+        # a caller derives from the frame does not have this, and runs as it is planned
+        windows.made_of = PaneStream(
+            stored_form(aggregate_panes(timed, **window)),
+            _seconds(window.get("length", WINDOW_LENGTH)),
+            _seconds(window.get("slide", WINDOW_SLIDE)),
+            with_motion,
+        )
+    return windows
 
 
 def write_windows(
@@ -133,11 +160,23 @@ def write_windows(
     is run again after a failure replaces what it had written. ``trigger=None`` works off
     what is there and stops. The checkpoint is the stream's memory across restarts; it is
     never cleared here.
+
+    Of a stream as :func:`vehicle_windows` returns it, Spark keeps open panes alone as state,
+    on disk, and each batch makes its windows of closed panes
+    (:mod:`transitlake.streaming.panes`). A checkpoint that was begun without panes is
+    continued as it was begun.
     """
     # counts from the first batch on
-    late_rows(df.sparkSession)
+    spark = df.sparkSession
+    late_rows(spark)
+    made_of = getattr(df, "made_of", None)
+    of_panes = made_of is not None and takes_panes(spark, checkpoint)
+    if of_panes:
+        rows, append = made_of.panes, append_closed(made_of, out, checkpoint)
+    else:
+        rows, append = df, append_batch(out)
     writer = (
-        df.writeStream.foreachBatch(append_batch(out))
+        rows.writeStream.foreachBatch(append)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
@@ -145,7 +184,8 @@ def write_windows(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    with state_on_disk(spark) if of_panes else nullcontext():
+        return writer.start()
 
 
 def dropped_rows(query: StreamingQuery) -> int:

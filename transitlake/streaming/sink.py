@@ -8,7 +8,8 @@ batches up to ``n`` wrote for the day.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,36 +18,61 @@ from pyspark.sql import types as T
 
 from transitlake.sources import tables
 
+# Days that a task writes side by side; of more, its rows are sorted by day first.
+OPEN_DAYS = 32
 
-def _write(df: DataFrame, out: str) -> None:
-    # a day's rows of a batch are few: one file, or several if they are many. The session of
-    # a stream has adaptive execution off, and there the hint would be passed over: every
-    # task would write a file for every day. The batch itself is planned already
-    conf = df.sparkSession.conf
-    adaptive = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "true")
+
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for what is planned within; the session of a stream has it off.
+
+    Without it a rebalance hint would be passed over: every task would write a file for
+    every day. The batch itself is planned already.
+    """
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     try:
-        (
-            df.hint("rebalance", "day")
-            .write.partitionBy("day", "batch")
-            .option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .parquet(out)
-        )
+        yield
     finally:
-        conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def _write(df: DataFrame, out: str) -> None:
+    (
+        df.write.partitionBy("day", "batch")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(out)
+    )
+
+
+def _dated(batch: DataFrame, number: int) -> DataFrame:
+    day = F.to_date("window.start").alias("day")
+    return batch.select("*", day, F.lit(number).cast("bigint").alias("batch"))
 
 
 def append_batch(out: str) -> Callable[[DataFrame, int], None]:
     """What a streaming query does with each micro-batch."""
 
     def write(batch: DataFrame, number: int) -> None:
-        day = F.to_date("window.start").alias("day")
-        _write(batch.select("*", day, F.lit(number).cast("bigint").alias("batch")), out)
+        # a day's rows of a batch are few: one file, or several if they are many
+        with adaptive(batch.sparkSession):
+            _write(_dated(batch, number).hint("rebalance", "day"), out)
 
     return write
 
 
+def append_placed(batch: DataFrame, out: str, number: int) -> None:
+    """Append a batch of which each task holds few days; its rows are neither moved nor sorted."""
+    conf = batch.sparkSession.conf
+    before = conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_DAYS)
+    try:
+        _write(_dated(batch, number), out)
+    finally:
+        conf.set("spark.sql.maxConcurrentOutputFileWriters", before)
+
+
 def stored_batches(spark: SparkSession, out: str) -> dict[date, list[int]]:
     """Days with their batches, by the names of folders alone."""
     files = tables.Files(spark, out)
