@@ -18,9 +18,6 @@ from pyspark.sql import types as T
 
 from transitlake.sources import tables
 
-# Days that a task writes side by side; of more, its rows are sorted by day first.
-OPEN_DAYS = 32
-
 
 @contextmanager
 def adaptive(spark: SparkSession) -> Iterator[None]:
@@ -63,14 +60,8 @@ def append_batch(out: str) -> Callable[[DataFrame, int], None]:
 
 
 def append_placed(batch: DataFrame, out: str, number: int) -> None:
-    """Append a batch of which each task holds few days; its rows are neither moved nor sorted."""
-    conf = batch.sparkSession.conf
-    before = conf.get("spark.sql.maxConcurrentOutputFileWriters")
-    conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_DAYS)
-    try:
-        _write(_dated(batch, number), out)
-    finally:
-        conf.set("spark.sql.maxConcurrentOutputFileWriters", before)
+    """Append a batch of which each task holds few days; its rows stay in their tasks."""
+    _write(_dated(batch, number), out)
 
 
 def stored_batches(spark: SparkSession, out: str) -> dict[date, list[int]]:
